@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import langid, toxicity
+from matchledger.llm import fingerprints, langid, simhash, toxicity
 from matchledger.llm.common import crc_mod, table
 
 
@@ -17,15 +17,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", crc_mod("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = simhash.cluster(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~crc_mod("doc_id", 4, 2)))
     return langid.predict(docs, model).select("doc_id", crc_mod("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_simhash": op2_simhash,
     "op7_language_id": op7_language_id,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE_SQL: dict[str, str] = {}
