@@ -40,7 +40,7 @@ def sketch(texts: list[str], bins: int = BINS, bits: int = BITS, k: int = SHINGL
     attempt = 0
     while len(row):
         attempt += 1
-        at = (mix(np.arange(bins, dtype=np.uint64) + np.uint64(attempt) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bins)).astype(np.int64)[col]
+        at = (mix(np.arange(bins, dtype=np.uint64) + np.uint64(attempt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) % np.uint64(bins)).astype(np.int64)[col]
         hit = full[row, at]
         least[row[hit], col[hit]] = least[row[hit], at[hit]]
         row, col = row[~hit], col[~hit]
@@ -114,7 +114,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
             begun = begun or len(texts) > 1
             ids, texts = ids[-1:], texts[-1:]
         if ids:
-            yield batch_of(ids, id_type, dict.fromkeys(_compared([], []), [None]), [None if begun else texts[0]], texts)
+            yield batch_of(ids, id_type, dict.fromkeys((x.split()[0] for x in _DIGEST.split(", ")), [None]), [None if begun else texts[0]], texts)
 
     done = cut(ordered.mapInArrow(run, f"id {kind}, {_DIGEST}, head string, tail string"), "compared")
     # at most two rows for each partition
