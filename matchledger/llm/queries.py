@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import fingerprints, langid, simhash, toxicity
-from matchledger.llm.common import crc_mod, table
+from matchledger.llm import fingerprints, langid, simhash, tokens, toxicity
+from matchledger.llm.common import crc_mod, shared_dir, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +30,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", crc_mod("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table(spark, table(spark, sf_dir, "documents"))
+
+
+def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Writes the token files and reads them back."""
+    at = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex[:12]}"
+    tokens.write(docs, at, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read(spark, at, tokens.crc32, "ids_crc32 long").withColumnRenamed("id", "doc_id")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
@@ -36,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
     "op7_language_id": op7_language_id,
+    "op8_token_ids": op8_token_ids,
     "op10_fingerprints": op10_fingerprints,
 }
 
