@@ -3,7 +3,7 @@
 Labels are given for documents, so token labels come first: a token of a toxic document is toxic if its word is much
 commoner in toxic documents than in clean ones, or its first bytes are. A two-state chain (clean, toxic) with
 features of the word, its first bytes, the word before and the word after is fitted to these tokens; forward-backward gives each token's marginal. A document's
-score is a logistic function of its marginals (the highest, and the sum) and its length, fitted to the document labels.
+score is a logistic function of its marginals (the highest, and the sum of squares) and its length, fitted to the document labels.
 
 fit() learns on the driver from at most about 2 * per_class documents of at most max_words words each (documented
 bounds); score() broadcasts the model and takes whole texts. The chain of two states is a chain of fractional linear
@@ -101,13 +101,13 @@ def features(words: Words) -> np.ndarray:
 
 
 def doc_features(p: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """1, the highest marginal, log(1 + sum of marginals), log(1 + words)."""
+    """1, the highest marginal, log(1 + sum of squared marginals), log(1 + words). Squares keep a long text from adding up what every word has."""
     out = np.zeros((len(first) - 1, 4))
     out[:, 0], out[:, 3] = 1, np.log1p(np.diff(first))
     full = np.flatnonzero(np.diff(first))
     if len(full):
         out[full, 1] = np.maximum.reduceat(p, first[full])
-        out[full, 2] = np.log1p(np.add.reduceat(p, first[full]))
+        out[full, 2] = np.log1p(np.add.reduceat(p * p, first[full]))
     return out
 
 
@@ -120,7 +120,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, rounds: int = 30
     return w
 
 
-def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 5, gap: float = 2.5, epochs: int = 6, rate: float = 0.3) -> Model:
+def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 3, gap: float = 2.5, epochs: int = 6, rate: float = 0.3, batch: int = 32) -> Model:
     """tokens: for each document its features()."""
     count = np.array([t.shape[1] for t in tokens])
     first = np.concatenate(([0], np.cumsum(count)))
@@ -134,14 +134,15 @@ def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 5, gap: f
     n_pos, n_neg = toxic.sum(), len(toxic) - toxic.sum()
     odds = np.log((pos + 0.5) / (n_pos + 1)) - np.log((all_docs - pos + 0.5) / (n_neg + 1))
     known = all_docs >= min_docs
+    del flat, pair, in_doc, what
     label = ((odds > gap) & known)[ids].any(axis=0) & (toxic[doc] == 1)
-    renumber = np.where(known, np.cumsum(known), 0)
+    renumber = np.where(known, np.cumsum(known), 0).astype(np.int32)
     ids, vocab, y = renumber[ids], vocab[known], label.astype(np.float64)
     weight, bias, log_chain = np.zeros((4, len(vocab) + 1)), -3.0, np.zeros((2, 2))
     size = np.full(weight.shape, 1e-6), np.full((2, 2), 1e-6), np.full(1, 1e-6)
     order = np.random.default_rng(5).permutation(len(tokens))
     for _ in range(epochs):
-        for part in np.array_split(order, max(1, len(order) // 256)):
+        for part in np.array_split(order, max(1, len(order) // batch)):
             f = np.concatenate(([0], np.cumsum(count[part])))
             at = np.concatenate([np.arange(first[k], first[k + 1]) for k in part] or [np.zeros(0, np.int64)])
             if not len(at):
@@ -173,7 +174,7 @@ def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 5, gap: f
     return Model(vocab, weight, bias, chain, logistic(balance, toxic.astype(float)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", allowed: Column | None = None, per_class: int = 3000, max_words: int = 4096, seed: int = 11) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", allowed: Column | None = None, per_class: int = 2000, max_words: int = 2048, seed: int = 11) -> Model | None:
     """Learn from about per_class labelled documents of each class (those of at most max_words words), chosen by a hash of the id. allowed: a condition on the labels' rows. None without rows of both classes."""
     lab = labels.where(allowed) if allowed is not None else labels
     lab = lab.select(F.col(id_col).alias("id"), F.col(toxic).cast("int").alias("toxic")).where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
