@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import fingerprints, langid, simhash, tokens, toxicity
+from matchledger.llm import decontam, fingerprints, langid, mixing, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
 from matchledger.llm.common import crc_mod, shared_dir, table
 
 
@@ -24,6 +24,35 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.decide(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex[:12]}"
+    warc.write(table(spark, sf_dir, "pages"), at)
+    got = warc.records(spark, at)
+    refers = F.regexp_extract(warc.field(F.col("header"), "WARC-Refers-To"), "<urn:record:(-?[0-9]+)>", 1)
+    return got.select(
+        F.col("key").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        warc.field(F.col("header"), "WARC-Type").alias("record_type"),
+        refers.cast("long").alias("refers_to"),
+    )
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = tuple(r.kind for r in secrets.BASE)
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    spans = F.col("spans")
+    return secrets.scan(table(spark, sf_dir, "documents")).select("doc_id", *counts, F.sha2(secrets.joined(spans, base), 256).alias("base_sha256"), secrets.joined(spans).alias("spans"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~crc_mod("doc_id", 4, 2)))
@@ -41,6 +70,10 @@ def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return tokens.read(spark, at, tokens.crc32, "ids_crc32 long").withColumnRenamed("id", "doc_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
@@ -48,9 +81,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
+    "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
+    "op5_secrets": op5_secrets,
+    "op6_url_filter": op6_url_filter,
     "op7_language_id": op7_language_id,
     "op8_token_ids": op8_token_ids,
+    "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL
