@@ -1,4 +1,4 @@
-"""The registered queries and, for each, the same query in SQL."""
+"""The registered queries and, for each that SQL can express, the same query in SQL."""
 
 from __future__ import annotations
 
@@ -6,5 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from matchledger.plans import check_queries, join_queries, reconcile_queries
+
+_PARTS = (check_queries, reconcile_queries, join_queries)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for part in _PARTS for k, f in part.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {k: q for part in _PARTS for k, q in part.ORACLE_SQL.items()}
