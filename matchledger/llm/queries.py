@@ -44,7 +44,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = tuple(r.kind for r in secrets.BASE)
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    of_kind = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [of_kind(k) for k in base]
     spans = F.col("spans")
     return secrets.scan(table(spark, sf_dir, "documents")).select("doc_id", *counts, F.sha2(secrets.joined(spans, base), 256).alias("base_sha256"), secrets.joined(spans).alias("spans"))
 
