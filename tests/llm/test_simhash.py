@@ -62,12 +62,64 @@ def test_components_of_a_chain_and_a_star(spark):
 
 
 def test_cluster_and_keep_one(spark, docs):
-    rows = [(5, "same words here now ok"), (3, "same words here now ok"), (9, None), (2, "  "), (4, "another text entirely of its own"), (4, "another text entirely of its own"), (None, "x y z")]
+    rows = [(5, "same words here now ok"), (3, "Same words, here now ok"), (3, "same words here now ok"), (9, None), (2, "  "), (4, "another text entirely of its own"), (4, "another text entirely of its own"), (None, "x y z"), (None, "x y z")]
     got = {(r["doc_id"], r["component_id"]) for r in simhash.cluster(docs(rows)).collect()}
-    assert got == {(5, 3), (3, 3), (9, 2), (2, 2), (4, 4), (None, None)}
+    assert got == {(5, 3), (3, 3), (9, 2), (2, 2), (4, 4), (None, None)}  # the comma makes another text of 3, which is a component of its own id
     kept = simhash.keep_one(docs(rows))
     assert kept.columns == docs(rows).columns
-    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 2, 3, 4]
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 2, 3, 4]
+
+
+def shingle_set(text, k=5):
+    w = text.lower().split()
+    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))}
+
+
+def near_rows(seed, groups, copies, words=220):
+    """Groups of near copies (a few words changed) and lone documents."""
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for g in range(groups):
+        base = [rng.choice(vocab) for _ in range(words)]
+        for c in range(copies if g % 2 else 1):
+            t = list(base)
+            for _ in range(rng.randint(0, 4) if c else 0):
+                t[rng.randrange(words)] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(t)))
+    return rows
+
+
+@pytest.mark.parametrize(("groups", "copies"), [(40, 4), (1200, 3)])
+def test_near_groups_against_all_pairs(spark, docs, groups, copies):
+    rows = near_rows(7, groups, copies)
+    got = {r["id"]: r["component_id"] for r in simhash.near_groups(docs(rows)).collect()}
+    sets = {k: shingle_set(t) for k, t in rows}
+    similar = lost = 0
+    for a, b in zip(rows, rows[1:] + rows[:1], strict=True):  # copies stand side by side
+        x, y = sets[a[0]], sets[b[0]]
+        j = len(x & y) / len(x | y)
+        if j >= 0.8:
+            similar += 1
+            lost += got[a[0]] != got[b[0]]
+        if j < 0.4:
+            assert got[a[0]] != got[b[0]]
+    assert similar > groups / 2 and lost <= 0.03 * similar
+
+
+def test_large_buckets_meet_again(spark):
+    rng = random.Random(1)
+    base = [rng.getrandbits(64) for _ in range(simhash.WORDS)]
+    rows = []
+    for i in range(900):
+        f = list(base) if i % 3 else [rng.getrandbits(64) for _ in base]
+        for _ in range(rng.randint(1, 12)):
+            f[rng.randrange(simhash.WORDS)] ^= 1 << rng.randrange(64)
+        rows.append((i, *map(simhash.signed, f)))
+    df = spark.createDataFrame(rows, "rep long, " + ", ".join(f"{c} long" for c in simhash.WIDE))
+    got = {r["node"]: r["root"] for r in components(simhash.wide_links(df, 45, cap=64)).collect()}
+    assert {got.get(i, i) for i in range(900) if i % 3} == {1}
+    assert all(got.get(i, i) == i for i in range(0, 900, 3))
 
 
 def test_empty_table(spark, docs):

@@ -48,7 +48,7 @@ def test_trigram_queries():
 
 
 def test_secrets_edges(spark, docs):
-    rows = [(1, None), (2, ""), (3, "é TOKEN = 'abcdefgh1' token=short"), (4, "x" * 40 + " " + "0123456789abcdef" * 3), (5, "ghp_" + "a1" * 20), (6, "paſſword=abcdefghi"), (3, "nothing"), (None, "secret:12345678"), (7, "AKIA" + "Z" * 30000)]
+    rows = [(1, None), (2, ""), (3, "é TOKEN = 'abcdefgh1' token=short"), (4, "x" * 40 + " " + "0123456789abcdef" * 3), (5, "ghp_" + "Z1" * 20), (6, "paſſword=abcdefghi"), (3, "nothing"), (None, "secret:12345678"), (7, "AKIA" + "Z" * 30000)]
     got = [(r["doc_id"], [(s["kind"], s["start"], s["end"]) for s in r["spans"]]) for r in secrets.scan(docs(rows)).collect()]
     assert sorted(got, key=str) == sorted([(1, []), (2, []), (3, [("assign", 2, 20)]), (3, []), (4, [("hex", 41, 89)]), (5, [("github", 0, 44)]), (6, []), (None, [("assign", 0, 15)]), (7, [("access", 0, 30004)])], key=str)
     assert secrets.scan(docs([])).count() == 0
