@@ -135,27 +135,34 @@ def _links(rows: dict[str, np.ndarray], change: np.ndarray, most: int) -> pa.Rec
 def forest(fp: np.ndarray, pivots: np.ndarray, change: np.ndarray, n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """fp: (n, words of 64 bits); change: where a new bucket begins -> (row, root) of a spanning forest of each bucket's links. Pairs are taken by their distance in the list, all buckets side by side; a pair is dropped by its largest pivot coordinate difference before its bits are counted."""
     end = np.repeat(np.concatenate((change, [n])), np.diff(np.concatenate(([0], change, [n]))))  # of each row's bucket
-    i, step, found = np.arange(n), 1, []
+    root, i, step, found, waiting = np.arange(n), np.arange(n), 1, [], 0
     while len(i := i[i + step < end[i]]):
-        near = i[np.abs(pivots[i] - pivots[i + step]).max(axis=1) <= most]
+        near = i[root[i] != root[i + step]]  # pairs that are not in one tree already
+        near = near[np.abs(pivots[near] - pivots[near + step]).max(axis=1) <= most]
         near = near[np.bitwise_count(fp[near] ^ fp[near + step]).sum(axis=1, dtype=np.int16) <= most]
         found.append(np.array([near, near + step]))
-        step += 1
-    a, b = np.concatenate([*found, np.zeros((2, 0), np.int64)], axis=1)
-    root = np.arange(n)
-    while True:
-        least = np.minimum(root[a], root[b])
-        new = root.copy()
-        for x in (a, b, root[a], root[b]):
-            np.minimum.at(new, x, least)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
+        step, waiting = step + 1, waiting + len(near)
+        if waiting >= 2048:
+            root, found, waiting = merged(root, np.concatenate(found, axis=1)), [], 0
+    root = merged(root, np.concatenate([*found, np.zeros((2, 0), np.int64)], axis=1))
     child = np.flatnonzero(root != np.arange(n))
     return child, root[child]
 
 
+def merged(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """root: the smallest row of each row's tree -> the same after joining the trees of each pair."""
+    root = root.copy()
+    while True:
+        x, y = root[pairs[0]], root[pairs[1]]
+        if (x == y).all():
+            return root
+        least = np.minimum(x, y)
+        np.minimum.at(root, x, least)
+        np.minimum.at(root, y, least)
+        while not ((up := root[root]) == root).all():
+            root = up
+
+
 def links(prints: DataFrame, most: int = 4, bucket_rows: int = 4096) -> DataFrame:
     """prints: distinct fp, as a table that is cheap to read. (a, b): edges between fingerprints that differ in at most `most` bits, enough of them that their components are those of all such pairs."""
     at = masks(prints.count(), most)
