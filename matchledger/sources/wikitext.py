@@ -9,6 +9,8 @@ rows need a fold, over the rows between two labels of a table (a matchday), whic
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -257,16 +259,15 @@ def captions(tabled_lines: DataFrame, block: Column) -> DataFrame:
     return got.select("page", "block", F.coalesce("caption", F.lit("")).alias("caption"), F.array_distinct(F.transform("cs", lambda c: c["name"])).alias("columns"), "headers", "labelled")
 
 
-def matches(pages: DataFrame, about: DataFrame) -> DataFrame:
+def matches(pages: DataFrame, about: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
     """All matches of the pages, in the columns of working rows but for competition and season; row_id is page, place and leg.
 
     League pages: sections of results, tables outside of them (two-leg ones first; else those whose header is that of
     matches), and match templates. A row from a table outside is left out if the page already has it. Cup pages: the
-    tables in sections of rounds."""
+    tables in sections of rounds. keep may write the lines with what they belong to as a table, which is read often."""
     told = about.select("page", "first_year", "last_year", "from_month", "layout")
-    outline = outlined(lines(pages))
-    tables = tabled(outline)
-    wide = tables.join(small(told.select("page", "layout")), "page")
+    outline = keep(tabled(outlined(lines(pages))), "outline")
+    wide = outline.join(small(told.select("page", "layout")), "page")
     league = wide.where("layout = 'league'")
 
     in_results = F.when(F.col("results").isNotNull(), F.concat(F.lit("r"), F.col("results.pos")))
@@ -353,29 +354,31 @@ def bracket_legs(pages: DataFrame) -> DataFrame:
     return kept.join(one, tie).join(two, tie).select("page", "one", "one_article", "two", "two_article", F.col("k").alias("leg"), "a", "b")
 
 
-def noted_rows(pages: DataFrame) -> DataFrame:
-    """(page, pos, home, told, away, row) of every table row with a cell between two others that is a score or void for both."""
-    rows = table_rows(tabled(outlined(lines(pages))), F.col("table").cast("string"))
+def all_rows(pages: DataFrame) -> DataFrame:
+    """(page, pos, row) of every table's rows."""
+    return table_rows(tabled(outlined(lines(pages))), F.col("table").cast("string")).select("page", "pos", "row")
+
+
+def _with_cells(rows: DataFrame) -> DataFrame:
     cells = F.transform(text.row_cells(F.col("row")), lambda c: text.cell_text(c))
     return rows.select("page", "pos", "row", cells.alias("cells")).where("size(cells) >= 3")
 
 
-def voided(pages: DataFrame) -> DataFrame:
+def voided(rows: DataFrame) -> DataFrame:
     """(page, home, away): matches that are lost for both, which no score can tell."""
-    each = noted_rows(pages).select("page", "cells", F.posexplode("cells").alias("i", "cell")).where(F.col("cell").rlike(r"(?i)^\s*PP\s*-\s*PP\s*$") & F.col("i").between(1, F.size("cells") - 2))
+    each = _with_cells(rows).select("page", "cells", F.posexplode("cells").alias("i", "cell")).where(F.col("cell").rlike(r"(?i)^\s*PP\s*-\s*PP\s*$") & F.col("i").between(1, F.size("cells") - 2))
     return each.select("page", F.get("cells", F.col("i") - 1).alias("home"), F.get("cells", F.col("i") + 1).alias("away")).distinct()
 
 
-def unread_rulings(pages: DataFrame) -> DataFrame:
+def unread_rulings(rows: DataFrame) -> DataFrame:
     """(page, home, told, away): scored rows that speak of a ruling which status() could not read."""
-    own = noted_rows(pages).where(text.score(F.get("cells", 1)).isNotNull() & text.unread_ruling(F.col("row")))
+    own = _with_cells(rows).where(text.score(F.get("cells", 1)).isNotNull() & text.unread_ruling(F.col("row")))
     return own.select("page", F.get("cells", 0).alias("home"), F.get("cells", 1).alias("told"), F.get("cells", 2).alias("away")).distinct()
 
 
-def contradicted_highlights(pages: DataFrame) -> DataFrame:
+def contradicted_highlights(rows: DataFrame) -> DataFrame:
     """(page, home, away, hs, aws, says): rows of which exactly one of home, score and away is highlighted, against the score. Rows with notes or shootouts say nothing."""
-    rows = table_rows(tabled(outlined(lines(pages))), F.col("table").cast("string")).where(~F.col("row").rlike(r"(?i)<ref|\{\{\s*refn"))
-    raw = rows.select("page", text.row_cells(F.col("row")).alias("cells"))
+    raw = rows.where(~F.col("row").rlike(r"(?i)<ref|\{\{\s*refn")).select("page", text.row_cells(F.col("row")).alias("cells"))
     plain = r"^\s*(\d+)\s*-\s*(\d+)\s*$"
     first = F.try_element_at(F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("cells") - 2)), lambda k: text.cell_text(F.get("cells", k)).rlike(plain) | F.get("cells", k).rlike(r"(?i)\{\{\s*small|\bpen\.|\(\d+\)")), F.lit(1))
     got = raw.where("size(cells) >= 3").withColumn("k", first).where("k is not null")

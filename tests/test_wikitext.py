@@ -145,7 +145,7 @@ def about(spark):
 
 
 def test_league_page(pages, about):
-    got = wikitext.matches(pages, about).where("page = 'league'").orderBy("row_id").collect()
+    got = wikitext.matches(pages, about, lambda df, name: df.checkpoint()).where("page = 'league'").orderBy("row_id").collect()
     cells = [(r["date"], r["home"], r["hs"], r["aws"], r["away"], r["phase"], r["grp"], r["matchday"], r["section"], r["venue"], r["time"], r["neutral"], r["status"], r["hpens"], r["apens"]) for r in got]
     zone, ko = "groups", "knockout"
     assert cells == [
@@ -184,7 +184,7 @@ def test_bracket(pages):
 
 
 def test_odd_rows(pages):
-    own = pages.where("page = 'bracket'")
+    own = wikitext.all_rows(pages.where("page = 'bracket'"))
     assert [(r["home"], r["away"]) for r in wikitext.voided(own).collect()] == [("Norte", "Alfa")]
     assert [(r["home"], r["told"], r["away"]) for r in wikitext.unread_rulings(own).collect()] == [("Beta", "2-1", "Sur")]
     assert [(r["home"], r["away"], r["hs"], r["aws"], r["says"]) for r in wikitext.contradicted_highlights(own).collect()] == [("Sur", "Alfa", 0, 1, "home")]
