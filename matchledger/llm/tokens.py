@@ -43,7 +43,7 @@ class ChunkEncoder:
     cut there and the ids of the chunks are joined. A text that holds one of the tokenizer's added tokens is encoded
     as a whole."""
 
-    def __init__(self, path: str, keep: int = 800_000):
+    def __init__(self, path: str, keep: int = 1_600_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -51,17 +51,18 @@ class ChunkEncoder:
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space in the vocabulary's alphabet
-        self.keep, self.later = keep, {}
+        self.keep, self.later, self.older = keep // 2, {}, {}
 
     def _learn(self, chunks: set[str]) -> None:
         """The ids of these chunks, each with a space before it. Many are encoded as one text: of their tokens, those that begin with a space begin a chunk."""
-        if len(self.later) > self.keep:
-            self.later.clear()
+        if len(self.later) > self.keep:  # chunks that are used again come back from the older ones
+            self.older, self.later = self.later, {}
+        self.later |= {c: self.older[c] for c in chunks - self.later.keys() if c in self.older}
         new = [c for c in chunks if c not in self.later]
         plain = [c for c in new if " " not in c]
         for i in range(0, len(plain), 2000):
             part = plain[i : i + 2000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")  # without offsets
             begin = np.flatnonzero(self.spaced[ids])
             if len(begin) == len(part):
                 raw, at = ids.tobytes(), [*(4 * begin).tolist(), 4 * len(ids)]
@@ -69,7 +70,7 @@ class ChunkEncoder:
         self.later |= {c: self._one(" " + c) for c in new if c not in self.later}
 
     def _one(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [None if any(a in t for a in self.added) else (t.split(" ") if not INNER.search(t) else EDGE.split(t)) for t in texts]
