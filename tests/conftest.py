@@ -15,7 +15,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, os.environ.get("PYT
 def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")

@@ -149,6 +149,6 @@ def test_decontamination_edges(spark, docs):
 def test_proximity(spark, docs):
     bench = items(spark, [(1, "the rare word of gold lies in the old stone")])
     rows = [(1, "gold is in the stone, old and rare"), (2, "rare " + "filler " * 40 + "gold"), (3, "rare gold stone")]
-    index = decontam.Index(docs(rows), bench, rarest=3)
+    index = decontam.Index(docs(rows), bench, rarest=3, occurring=True)
     assert {(r["id"], r["item"]) for r in index.proximity().collect()} <= {(1, "1"), (3, "1")}
     assert index.proximity().count() > 0

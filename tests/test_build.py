@@ -12,6 +12,7 @@ from matchledger.plans import build
 from matchledger.schema import PUBLISHED_COLUMNS
 from matchledger.sinks import published as sink
 from matchledger.sources import published
+from matchledger.streaming import refresh
 
 CLUBS = ["Norte", "Sur", "Este", "Oeste"]
 
@@ -38,25 +39,28 @@ def files(out):
 
 def test_publish_reuse_and_guards(spark, given, tmp_path):
     out = str(tmp_path / "data")
-    first = build.run(spark, given, out)
-    assert first.code == 0 and first.written == {"dated": {"2009": 2, "2010": 1}, "undated": {"2010": 1}}
+    # pages arrive as a stream; of a page that comes twice the later text counts
+    arrived = [(r["page"], "2024-01-02T00:00:00Z", r["text"]) for r in given.pages.collect()] + [("p2", "2024-01-01T00:00:00Z", "old")]
+    spark.createDataFrame(arrived, "page string, fetched string, text string").write.json(str(tmp_path / "in"))
+    seen = []
+    refresh.refresh(spark, str(tmp_path / "in"), given, out, str(tmp_path / "ck"), lambda k, o: seen.append((k, o.code, o.written))).awaitTermination(600)
+    assert seen == [(0, 0, {"dated": {"2009": 2, "2010": 1}, "undated": {"2010": 1}})]
     before = files(out)
     text = next(v for k, v in before.items() if "dated/partition=2009" in k).decode()
     assert text == ",".join(PUBLISHED_COLUMNS) + "\n2009-05-05,16:00,Club Norte,Club Sur,2,1,,,Liga,2009,groups,Torneo,Fecha 1,x,false,http://x/p1,\n2009-05-06,16:00,Club Este,Club Oeste,0,0,,,Liga,2009,groups,Torneo,Fecha 1,x,false,http://x/p1,\n"
-    # again: the closed page is not read, nothing is written anew
-    lost_text = replace(given, pages=given.pages.where("page = 'p2'"))
-    again = build.run(spark, lost_text, out)
+    # closed pages are not read again, and nothing is written anew; a dry run writes nothing
+    closed = replace(given, catalog=given.catalog.withColumn("closed", F.lit(True)), pages=given.pages.limit(0))
+    again = build.run(spark, closed, out)
     assert again.code == 0 and again.written == {"dated": {}, "undated": {}} and files(out) == before
-    # a page that shrinks blocks, unless forced; a dry run writes nothing
+    assert build.run(spark, closed, out, dry=True).written == {}
+    # a page that shrinks blocks, and so does one that could not be fetched
     fewer = replace(given, pages=spark.createDataFrame([("p2", page([("Sur", "1-0", "Norte", "")]))], "page string, text string"))
     blocked = build.run(spark, fewer, out)
     assert blocked.code == 1 and [(r["tournament"], r["season"], r["vanished"]) for r in blocked.lost.collect()] == [("Copa", 2010, True)] and files(out) == before
-    all_closed = replace(given, catalog=given.catalog.withColumn("closed", F.lit(True)))
-    assert build.run(spark, all_closed, out, dry=True).written == {} and files(out) == before
-    forced = build.run(spark, fewer, out, force=True)
-    assert forced.code == 0 and forced.written["dated"] == {"2010": 0} and not any("dated/partition=2010" in k and "undated" not in k for k in files(out))
-    # a page that could not be fetched blocks
     assert build.run(spark, given, out, failed=given.catalog.select("page").limit(1)).code == 1
+    # a season without rows goes
+    kept = published.read(spark, f"{out}/dated/partition=*/*.csv").where("season = 2009").checkpoint()
+    assert sink.write(spark, kept, f"{out}/dated") == {"2010": 0} and [k for k in files(out) if k.startswith("dated")] == [k for k in before if "dated/partition=2009" in k]
 
 
 def test_severe_findings_block(spark, given, tmp_path):
@@ -96,14 +100,3 @@ def test_changes_by_season(spark):
     old = rows(("A", 1, 2008), ("A", 1, 2009), ("C", 2, 2009))
     assert sink.changes(rows(("C", 2, 2009), ("A", 1, 2009), ("A", 1, 2008)), old).count() == 0
     assert {(r["season"], r["n"]) for r in sink.changes(rows(("A", 1, 2009), ("C", 3, 2009), ("Z", 1, 2010)), old).collect()} == {("2008", 0), ("2009", 2), ("2010", 1)}
-
-
-def test_stream_of_pages(spark, given, tmp_path):
-    from matchledger.streaming import refresh
-
-    spark.createDataFrame([(r["page"], None, r["text"]) for r in given.pages.collect()], "page string, fetched timestamp, text string").write.json(str(tmp_path / "in"))
-    seen = []
-    q = refresh.refresh(spark, str(tmp_path / "in"), given, str(tmp_path / "out"), str(tmp_path / "ck"), lambda k, o: seen.append((k, o.code)))
-    q.awaitTermination(300)
-    assert seen == [(0, 0)]
-    assert published.read(spark, str(tmp_path / "out/dated/partition=*/*.csv")).agg(F.count("*")).first()[0] == 3
