@@ -1,11 +1,11 @@
 """Benchmark decontamination through a distributed positional inverted index.
 
 Words of the corpus are counted over all documents (those that the benchmark has); each window of a benchmark item is
-then looked up by its rarest word. The index stores postings (word, document, position) of these words. A posting of
-a word at position p, and the word at position q of an item, put the item at offset p - q; postings that agree on an
-offset are intersected, and the words of the document at that offset are compared with the item's, which gives every
-exact occurrence of every window. proximity() returns near matches from the postings: an item's rarest words close to
-each other in a document.
+then looked up by its rarest words. The index stores postings (word, document, position) of these words. A posting of
+a word at position p, and the word at position q of an item, put the item at offset p - q; the lists of a window's
+rarest words are intersected by offset. Where all of them agree, the words of the document at that offset are compared
+with the item's, which gives every exact occurrence of every window. proximity() returns near matches from the
+postings: an item's rarest words close to each other in a document.
 
 Everything is joins, aggregates and SQL functions. Words are runs of a-z, 0-9 and characters beyond ASCII after A-Z
 are lowered; a window is `size` consecutive words of an item, or all words of a shorter item.
@@ -20,17 +20,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchledger.llm.common import cut
+from matchledger.llm.common import cut, small
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # of the text as it is: with A-Z
-SIZE = 10
+#: What stands between words: to split at it is cheaper than to match each word.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SIZE, RAREST = 10, 3
 #: Benchmark words up to which tables of them are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_WORDS = 2_000_000
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), 0)
+    return F.array_remove(F.split(text, BETWEEN, -1), "")
 
 
 def fold(text: Column) -> Column:
@@ -52,9 +54,9 @@ def occurrences(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return each.select("id", "print", "pos", F.lower("word").alias("key")).join(keys, "key")
 
 
-def ranked_words(bench: DataFrame, counts: DataFrame, most: int) -> DataFrame:
-    """(item, copy, start, rank, pos, key): of each window its `most` rarest words, rank 0 the rarest."""
-    known = bench.join(counts, "key", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+def ranked_words(bench: DataFrame, counts: DataFrame, most: int, occurring: bool) -> DataFrame:
+    """(item, copy, start, rank, pos, key): of each window its `most` rarest words, rank 0 the rarest; `occurring` leaves out words that no document has."""
+    known = bench.join(counts, "key", "inner" if occurring else "left").withColumn("df", F.coalesce("df", F.lit(0)))
     windows = known.withColumn("start", F.explode(F.sequence(F.greatest(F.lit(0), F.col("pos") - F.col("size") + 1), F.least("pos", F.col("n") - F.col("size")))))
     rare = windows.groupBy("item", "copy", "start").agg(F.slice(F.array_sort(F.collect_list(F.struct("df", "pos", "key"))), 1, most).alias("rare"))  # of `size` words at most
     return rare.select("item", "copy", "start", F.posexplode("rare").alias("rank", "w")).select("item", "copy", "start", "rank", "w.pos", "w.key", "w.df")
@@ -63,24 +65,28 @@ def ranked_words(bench: DataFrame, counts: DataFrame, most: int) -> DataFrame:
 class Index:
     """Postings of the corpus for the rarest words of a benchmark's windows."""
 
-    def __init__(self, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = SIZE, rarest: int = 1):
+    def __init__(self, docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = SIZE, rarest: int = RAREST, occurring: bool = False):
         self.docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).withColumn("print", F.xxhash64("text"))
         self.bench = cut(item_words(items, item_col, item_text, size), "bench")
         self.hint = F.broadcast if self.bench.count() <= BROADCAST_WORDS else (lambda df: df)
         found = occurrences(self.docs.where("text is not null"), self.hint(self.bench.select("key").distinct()))
         counts = cut(found.groupBy("key").agg(F.count("*").alias("df")), "counts")
-        self.ranked = cut(ranked_words(self.bench, counts, rarest), "ranked")
+        self.ranked = cut(ranked_words(self.bench, counts, rarest, occurring), "ranked")
         wanted = self.hint(self.ranked.where("df > 0").select("key").distinct())
         self.postings = cut(occurrences(self.docs.where("text is not null"), wanted), "postings")
 
     def offsets(self) -> DataFrame:
-        """(id, print, item, copy, offset): where an item may lie, by the rarest word of one of its windows."""
-        anchors = self.ranked.where("rank = 0").select("item", "copy", "pos", "key").distinct().withColumnRenamed("pos", "at")
-        return self.postings.join(self.hint(anchors), "key").select("id", "print", "item", "copy", (F.col("pos") - F.col("at")).alias("offset")).distinct()
+        """(id, print, item, copy, offset): where an item may lie: as many of its anchors (the rarest words of its windows) agree on the offset as a window has."""
+        anchors = self.ranked.groupBy("item", "copy", "start").agg(F.count("*").alias("n")).groupBy("item", "copy").agg(F.min("n").alias("need"))
+        anchors = self.ranked.select("item", "copy", "pos", "key").distinct().withColumnRenamed("pos", "at").join(anchors, ["item", "copy"])
+        placed = self.postings.join(self.hint(anchors), "key").withColumn("offset", F.col("pos") - F.col("at"))
+        agreed = placed.groupBy("id", "print", "item", "copy", "offset", "need").agg(F.size(F.collect_set("at")).alias("n"))  # of an item's anchors
+        return agreed.where("n >= need").select("id", "print", "item", "copy", "offset")
 
     def matches(self) -> DataFrame:
         """(id, print, item, starts array<int>, hits array<int>): exact occurrences of windows; word positions in the document."""
-        listed = self.offsets().groupBy("id", "print").agg(F.collect_set(F.struct("item", "copy", "offset")).alias("places"))  # of one document
+        listed = cut(self.offsets(), "offsets").groupBy("id", "print").agg(F.collect_set(F.struct("item", "copy", "offset")).alias("places"))  # of one document
+        listed = small(listed)
         same = self.docs["id"].eqNullSafe(listed["id"]) & (self.docs["print"] == listed["print"])
         read = self.docs.join(listed, same).select(self.docs["id"], self.docs["print"], words(fold(F.col("text"))).alias("doc"), "places").distinct()
         each = read.select("id", "print", "doc", F.inline("places"))
@@ -94,7 +100,7 @@ class Index:
         return found.select("id", "print", "item", "starts", hits.alias("hits"))
 
     def proximity(self, slack: int = 5) -> DataFrame:
-        """(id, item): documents in which all indexed rare words of one of the item's windows stand within size + slack words. The index must hold two words a window and more."""
+        """(id, item): documents in which all indexed rare words of one of the item's windows stand within size + slack words. The index must be of `occurring` words and hold two words a window and more."""
         size = self.bench.groupBy("item", "copy").agg(F.max("size").alias("size"))
         places = self.postings.join(self.hint(self.ranked.drop("pos", "df")), "key").join(self.hint(size), ["item", "copy"])
         group = ["id", "print", "item", "copy", "start"]
@@ -108,8 +114,9 @@ class Index:
 def judge(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id", item_text: str = "text", size: int = SIZE) -> DataFrame:
     """id_col, n_words, n_hit, n_items, items_sha256, contaminated: one row for each row of docs."""
     index = Index(docs, items, id_col, text, item_col, item_text, size)
-    found = index.matches().groupBy("id", "print").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items"))  # of one document
+    found = cut(index.matches(), "matches").groupBy("id", "print").agg(F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"), F.array_sort(F.collect_set("item")).alias("items"))  # of one document
     counted = index.docs.select("id", "print", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    found = small(found)
     got = counted.join(found, counted["id"].eqNullSafe(found["id"]) & counted["print"].eqNullSafe(found["print"]), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items_ = F.coalesce("items", F.array().cast("array<string>"))
@@ -121,4 +128,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text:
     index = Index(docs, items, id_col, text, item_col, item_text, size)
     gone = cut(index.matches().select(F.col("id").alias("__id"), F.col("print").alias("__print")).distinct(), "contaminated")
     same = docs[id_col].eqNullSafe(gone["__id"]) & F.xxhash64(docs[text]).eqNullSafe(gone["__print"])
-    return docs.join(gone, same, "left_anti")
+    return docs.join(small(gone), same, "left_anti")
