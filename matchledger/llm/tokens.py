@@ -57,8 +57,9 @@ class ChunkEncoder:
         """The ids of these chunks, each with a space before it. Many are encoded as one text: of their tokens, those that begin with a space begin a chunk."""
         if len(self.later) > self.keep:  # chunks that are used again come back from the older ones
             self.older, self.later = self.later, {}
-        self.later |= {c: self.older[c] for c in chunks - self.later.keys() if c in self.older}
-        new = [c for c in chunks if c not in self.later]
+        missing = [c for c in chunks if c not in self.later]
+        self.later |= {c: self.older[c] for c in missing if c in self.older}
+        new = [c for c in missing if c not in self.older]
         plain = [c for c in new if " " not in c]
         for i in range(0, len(plain), 2000):
             part = plain[i : i + 2000]
