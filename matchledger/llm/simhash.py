@@ -200,9 +200,20 @@ WIDE = [f"f{i}" for i in range(WORDS)]
 WIDE_PIVOTS = mix(np.arange(101, 101 + 8 * WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(8, WORDS)
 
 
-def wide_fingerprint(texts: list[str], k: int) -> np.ndarray:
-    """(texts, WORDS) of uint64: SimHash of k-word shingles with several hash functions; zero without words."""
+def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each distinct k-word shingle, in order within a text; where each text starts and one more)"""
     h, first = shingle_hashes(Words(texts), k)
+    doc = np.repeat(np.arange(len(texts)), np.diff(first))
+    for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        h[i:j].sort()
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(texts)))))
+
+
+def wide_fingerprint(texts: list[str], k: int) -> np.ndarray:
+    """(texts, WORDS) of uint64: SimHash of the set of k-word shingles with several hash functions; zero without words."""
+    h, first = shingle_sets(texts, k)
     n = np.diff(first)
     full = np.flatnonzero(n)
     out = np.zeros((len(texts), WORDS), np.uint64)

@@ -107,6 +107,17 @@ def test_near_groups_against_all_pairs(spark, docs, groups, copies):
     assert similar > groups / 2 and lost <= 0.03 * similar
 
 
+def test_a_repeated_line_counts_once(spark, docs):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    line, first, second, third = text(12), text(150), text(150), text(150)
+    rows = [(1, f"{first} {line} " + f"{line} " * 200), (2, f"{second} {line} " + f"{line} " * 200), (3, f"{third} {line} {line}"), (4, f"{third} " + f"{line} " * 200)]
+    assert len(shingle_set(rows[0][1]) & shingle_set(rows[1][1])) < 0.1 * len(shingle_set(rows[0][1]) | shingle_set(rows[1][1]))
+    assert shingle_set(rows[2][1]) <= shingle_set(rows[3][1])
+    got = {r["id"]: r["component_id"] for r in simhash.near_groups(docs(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 3}
+
+
 def test_large_buckets_meet_again(spark):
     rng = random.Random(1)
     base = [rng.getrandbits(64) for _ in range(simhash.WORDS)]
