@@ -12,8 +12,8 @@ bucket that holds more than `bucket_rows` distinct fingerprints (thousands of ne
 each fingerprint names all points within half the limit; those that share a point are linked, and those that are
 linked share one. Cost then grows with the fingerprints, not with their square.
 
-Links are kept as a spanning forest of each bucket: no link between two components is lost, and no group is expanded
-into all its pairs.
+Links of 64-bit fingerprints are kept as a spanning forest of each bucket: no link between two components is lost, and
+no group is expanded into all its pairs.
 
 keep_one(), which takes five words and a similarity of 0.8, needs more bits: texts that are alike by 0.8 differ in every
 seventh bit, so 4 of 64 bits would miss most of them. It makes fingerprints of 256 bits with the same pivot tables, and
@@ -247,7 +247,8 @@ def samples(n: int, bucket: int = 256, differ: float = 0.152, recall: float = 0.
 
 
 def wide_keys(prints: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
-    """(band, key, rep, f0 ..): each fingerprint under every choice of bits."""
+    """(band, key, f0 .., rep, comp, n): each fingerprint under every choice of bits."""
+    kind = dict(prints.dtypes)["rep"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         fp = np.array([batch.column(c).to_numpy(zero_copy_only=False) for c in WIDE]).T.copy()
@@ -255,55 +256,100 @@ def wide_keys(prints: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
         keys = [bits[:, c].astype(np.int64) @ (np.int64(1) << np.arange(len(c), dtype=np.int64)) for c in chosen]
         again = np.tile(np.arange(len(fp)), len(chosen))
         cols = [np.repeat(np.arange(len(chosen), dtype=np.int32), len(fp)), np.concatenate(keys), *(fp[again, w] for w in range(WORDS))]
-        return pa.RecordBatch.from_arrays([*map(pa.array, cols), batch.column("rep").take(pa.array(again))], ["band", "key", *WIDE, "rep"])
-
-    return map_arrow(prints.select("rep", *WIDE), run, f"band int, key long, {', '.join(f'{c} long' for c in WIDE)}, rep {dict(prints.dtypes)['rep']}")
-
-
-def wide_bucket_links(batches: Iterator[pa.RecordBatch], most: int, hold: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket -> (a, b, edge, and the columns of a): edges of each bucket's forest, and (edge false) one row for each of its trees. Of a bucket that goes on after `hold` rows, the trees' roots are compared with the rows that follow."""
-    schema, held = None, None
-
-    def flush(t: pa.Table, whole: bool) -> tuple[pa.RecordBatch, pa.Table]:
-        band, key = (t.column(c).to_numpy() for c in ("band", "key"))
-        change = np.flatnonzero((key[1:] != key[:-1]) | (band[1:] != band[:-1])) + 1
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols), *(batch.column(c).take(pa.array(again)) for c in ("rep", "comp", "n"))], ["band", "key", *WIDE, "rep", "comp", "n"])
+
+    return map_arrow(prints.select("rep", "comp", "n", *WIDE), run, f"band int, key long, {', '.join(f'{c} long' for c in WIDE)}, rep {kind}, comp {kind}, n long")
+
+
+def bit_masks(chosen: list[np.ndarray]) -> np.ndarray:
+    """(choices, WORDS) of uint64: the bits of each choice."""
+    bits = np.zeros((len(chosen), 64 * WORDS), np.uint8)
+    for m, c in zip(bits, chosen, strict=True):
+        m[c] = 1
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").reshape(-1, WORDS)
+
+
+def block_pairs(fp: np.ndarray, comp: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, earlier: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a row of left and one of right (of each two rows, where both are the same rows) that differ in at most `most` bits, with different comp, of sizes that allow a similarity of 0.8, and that do not agree under an earlier choice of bits."""
+    same = left is right
+    step = max(1, (1 << 19) // max(1, len(right)))
+    for s in range(0, len(left), step):
+        x = left[s : s + step]
+        y = right[s:] if same else right
+        d = np.zeros((len(x), len(y)), np.int16)
+        for w in range(WORDS):
+            d += np.bitwise_count(fp[x, w][:, None] ^ fp[y, w][None])
+        hit = (d <= most) & (comp[x][:, None] != comp[y][None])
+        i, j = np.nonzero(np.triu(hit, 1) if same else hit)
+        for t in range(0, len(i), 1 << 14):
+            a, b = x[i[t : t + (1 << 14)]], y[j[t : t + (1 << 14)]]
+            fits = (5 * n[a] >= 4 * n[b]) & (5 * n[b] >= 4 * n[a])
+            a, b = a[fits], b[fits]
+            again = (((fp[a] ^ fp[b])[:, None] & earlier[None]) == 0).all(axis=2).any(axis=1)
+            yield a[~again], b[~again]
+
+
+def wide_bucket_links(batches: Iterator[pa.RecordBatch], most: int, masks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket (band, key) and block (i, j) -> (a, b): all pairs of part i and part j. A block's rows are kept until it ends."""
+
+    def told(found: list[np.ndarray], t: pa.Table) -> pa.RecordBatch:
+        both = np.concatenate(found, axis=1)
+        return pa.RecordBatch.from_arrays([t.column("rep").combine_chunks().take(pa.array(x)) for x in both], ["a", "b"])
+
+    waiting: list[pa.RecordBatch] = []
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            waiting.append(batch)
+        if not waiting:
+            continue
+        at = ["band", "key", "i", "j"]
+        if batch is not None and all(waiting[0].column(c)[0] == batch.column(c)[-1] for c in at):
+            continue  # the block goes on
+        t = pa.Table.from_batches(waiting).combine_chunks()
+        where = np.array([t.column(c).to_numpy() for c in at])
+        change = np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1
+        done = t.num_rows if batch is None else int(change[-1]) if len(change) else 0
+        waiting = t.slice(done).to_batches() if done < t.num_rows else []
+        if not done:
+            continue
         fp = np.array([t.column(c).to_numpy() for c in WIDE]).T.copy().view(np.uint64)
-        pivots = np.bitwise_count(fp[:, None, :] ^ WIDE_PIVOTS[None]).sum(axis=2, dtype=np.int16)
-        child, root = forest(fp, pivots, change, len(fp), most)
-        roots = np.setdiff1d(np.arange(len(fp)), child)
-        kept = roots[roots >= (change[-1] if len(change) else 0)] if not whole else roots[:0]  # of the bucket that goes on
-        told = np.setdiff1d(roots, kept)
-        first, second = np.concatenate((child, told)), np.concatenate((root, told))
-        out = t.take(pa.array(first)).append_column("b", t.column("rep").take(pa.array(second))).append_column("edge", pa.array(np.arange(len(first)) < len(child)))
-        return out, t.take(pa.array(kept))
-
-    for b in chain(batches, [None]):
-        if b is not None and b.num_rows:
-            schema = b.schema
-            held = pa.concat_tables([held, pa.Table.from_batches([b])]).combine_chunks() if held is not None else pa.Table.from_batches([b])
-        if held is not None and held.num_rows and (b is None or held.num_rows >= hold):
-            out, held = flush(held, b is None)
-            yield from out.combine_chunks().to_batches()
-
-
-def wide_links(prints: DataFrame, most: int, cap: int = 8192) -> DataFrame:
-    """prints (rep, f0 ..), distinct and cheap to read -> (a, b): edges between reps of fingerprints that share a choice of bits and differ in at most `most` bits.
-
-    A bucket of more than `cap` fingerprints (thousands of near copies) is split by a hash; the roots of its parts'
-    trees meet again in the bucket. Within a large bucket, a link whose two ends are no roots and in different parts
-    is found only through others; each pair meets under several choices of bits."""
+        comp, n, part = np.unique(t.column("comp").to_numpy(), return_inverse=True)[1], t.column("n").to_numpy(), t.column("part").to_numpy()
+        found, count = [], 0
+        for s, e in zip([0, *change[change < done].tolist()], [*change[change < done].tolist(), done], strict=True):
+            if e - s < 2:
+                continue
+            band, _, i, j = where[:, s]
+            left = s + np.flatnonzero(part[s:e] == i)
+            right = left if i == j else s + np.flatnonzero(part[s:e] == j)
+            for pair in block_pairs(fp, comp, n, left, right, masks[:band], most):
+                found.append(np.array(pair))
+                count += len(pair[0])
+                if count >= 1 << 16:
+                    yield told(found, t)
+                    found, count = [], 0
+        if count:
+            yield told(found, t)
+
+
+def wide_links(prints: DataFrame, most: int, cap: int = 4096) -> DataFrame:
+    """prints (rep, f0 .., and where given comp, n), distinct and cheap to read -> (a, b): each pair of reps, of different comp, whose fingerprints share a choice of bits and differ in at most `most` bits, once.
+
+    A bucket of more than `cap` fingerprints (thousands of near copies) is split by a hash into parts, and each part
+    meets each other part and itself as a block of its own; one that holds a single comp has no pairs."""
     chosen = samples(prints.count())
-    keys = wide_keys(prints, chosen)
+    given = {"comp": F.col("rep"), "n": F.lit(0).cast("long")}
+    keys = wide_keys(prints.select("rep", *WIDE, *(F.col(c) if c in prints.columns else v.alias(c) for c, v in given.items())), chosen)
     kind = dict(prints.dtypes)["rep"]
-    schema = f"band int, key long, {', '.join(f'{c} long' for c in WIDE)}, rep {kind}, b {kind}, edge boolean"
-    large = cut(keys.groupBy("band", "key").agg(F.count("*").alias("n")).where(F.col("n") > cap), "large")
-    dealt = keys.join(small(large), ["band", "key"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("rep"), F.ceil(F.col("n") / cap)), F.lit(0)))
-    cols = ["band", "key", *WIDE, "rep"]
-    link = lambda batches: wide_bucket_links(batches, most, cap)
-    found = cut(dealt.repartition("key", "band", "part").sortWithinPartitions("key", "band", "part").withColumn("band", F.col("band") + F.lit(len(chosen)) * F.col("part").cast("int")).select(*cols).mapInArrow(link, schema), "found")
-    roots = found.where("not edge").withColumn("band", F.col("band") % len(chosen)).join(small(large), ["band", "key"], "left_semi").select(*cols)
-    again = roots.repartition("key", "band").sortWithinPartitions("key", "band").mapInArrow(link, schema)
-    return found.where("edge").union(again.where("edge")).select(F.col("rep").alias("a"), "b")
+    masks = bit_masks(chosen)
+    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("rows"), (F.min("comp") != F.max("comp")).alias("mixed"))
+    large = cut(sizes.where(F.col("rows") > cap).select("band", "key", F.when(F.col("mixed"), F.ceil(F.col("rows") / cap)).otherwise(0).cast("int").alias("parts")), "large")
+    dealt = keys.join(small(large), ["band", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).where("parts > 0")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).select("band", "key", "i", "j", "part", *WIDE, "rep", "comp", "n")
+    at = ["band", "key", "i", "j"]
+    return dealt.repartition(*at).sortWithinPartitions(*at).mapInArrow(lambda batches: wide_bucket_links(batches, most, masks), f"a {kind}, b {kind}")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, most: int = WIDE_MOST) -> DataFrame:

@@ -133,6 +133,26 @@ def test_large_buckets_meet_again(spark):
     assert all(got.get(i, i) == i for i in range(0, 900, 3))
 
 
+def test_split_buckets_lose_no_link(spark):
+    """Chains of which only neighbours are alike: no link stands for another."""
+    rng = random.Random(2)
+    rows, want = [], {}
+    for c in range(10):
+        f = [rng.getrandbits(64) for _ in range(simhash.WORDS)]
+        order = list(range(256))
+        rng.shuffle(order)
+        for k in range(48):
+            for b in order[(k * 40) % 240 :][:40]:
+                f[b // 64] ^= 1 << b % 64
+            if k % 6 == 0:  # turned bits would come back
+                f = [rng.getrandbits(64) for _ in f]
+            want[len(rows)] = len(rows) - k % 6
+            rows.append((len(rows), *map(simhash.signed, f)))
+    df = spark.createDataFrame(rows, "rep long, " + ", ".join(f"{c} long" for c in simhash.WIDE))
+    got = {r["node"]: r["root"] for r in components(simhash.wide_links(df, 45, cap=64)).collect()}
+    assert {k: got.get(k, k) for k in want} == want
+
+
 def test_empty_table(spark, docs):
     assert simhash.cluster(docs([])).count() == 0 == simhash.keep_one(docs([])).count()
 
