@@ -16,8 +16,9 @@ Links of 64-bit fingerprints are kept as a spanning forest of each bucket: no li
 no group is expanded into all its pairs.
 
 keep_one(), which takes five words and a similarity of 0.8, needs more bits: texts that are alike by 0.8 differ in every
-seventh bit, so 4 of 64 bits would miss most of them. It makes fingerprints of 256 bits with the same pivot tables, and
-deals them out by random choices of bits instead of blocks, as many as find 95 of 100 such pairs.
+seventh bit, so 4 of 64 bits would miss most of them. It makes fingerprints of 256 bits and deals them out by random
+choices of bits instead of blocks, as many as find 999 of 1,000 such pairs. These are only proposed: the sets of
+shingles of each pair are compared before it is linked.
 
 Defined results: equal fingerprints are linked, and a text without words (or null) has fingerprint zero, linked like
 any other; an empty table gives an empty result; rows with equal or null ids are fingerprinted each by itself, and a
@@ -32,7 +33,7 @@ from itertools import accumulate, chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchledger.llm.common import Words, cut, map_arrow, mix, shingle_hashes, slices, small
@@ -193,9 +194,10 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-#: Words of 64 bits of a wide fingerprint, and the bits in which two texts may differ there. Shingle sets with a Jaccard
-#: similarity of 0.8 differ in 39 of 256 bits on average (a standard deviation of 6), those with 0.9 in 27, others in 128.
-WORDS, WIDE_MOST = 4, 45
+#: Words of 64 bits of a wide fingerprint, and the bits in which two texts may differ there to be compared by their sets.
+#: Shingle sets with a Jaccard similarity of 0.8 differ in 39 of 256 bits on average (a standard deviation of 6), those
+#: with 0.9 in 27, others in 128.
+WORDS, WIDE_MOST = 4, 60
 WIDE = [f"f{i}" for i in range(WORDS)]
 WIDE_PIVOTS = mix(np.arange(101, 101 + 8 * WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(8, WORDS)
 
@@ -211,12 +213,13 @@ def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(texts)))))
 
 
-def wide_fingerprint(texts: list[str], k: int) -> np.ndarray:
-    """(texts, WORDS) of uint64: SimHash of the set of k-word shingles with several hash functions; zero without words."""
-    h, first = shingle_sets(texts, k)
+def wide_fingerprint(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(texts, WORDS + 2) of uint64: SimHash of each set of shingle_sets() with several hash functions; zero without words. Then two sums of hashes, equal for equal sets."""
     n = np.diff(first)
     full = np.flatnonzero(n)
-    out = np.zeros((len(texts), WORDS), np.uint64)
+    out = np.zeros((len(n), WORDS + 2), np.uint64)
+    for w in (WORDS, WORDS + 1) if len(full) else ():
+        out[full, w] = np.add.reduceat(mix(h ^ np.uint64(0xD1B54A32D192ED03 * w & 0xFFFFFFFFFFFFFFFF)), first[full])
     for w in range(WORDS if len(full) else 0):
         bits = np.unpackbits(mix(h + np.uint64(w * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         over = 2 * np.add.reduceat(bits, first[full], axis=0, dtype=np.int32) > n[full][:, None]
@@ -225,20 +228,36 @@ def wide_fingerprint(texts: list[str], k: int) -> np.ndarray:
 
 
 def wide_fingerprints(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """(id, f0 .. bigint)"""
+    """(id, f0 .., node, again, n): node and again stand for the set of shingles, n is its size"""
+    cols = [*WIDE, "node", "again", "n"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        fp = np.zeros((len(texts), WORDS), np.uint64)
+        fp = np.zeros((len(texts), WORDS + 3), np.uint64)
         for i, j in slices(texts, 1 << 20):
-            fp[i:j] = wide_fingerprint(texts[i:j], k)
-        return pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(fp.T))], ["id", *WIDE])
+            h, first = shingle_sets(texts[i:j], k)
+            fp[i:j, :-1], fp[i:j, -1] = wide_fingerprint(h, first), np.diff(first)
+        return pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(fp.T))], ["id", *cols])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, " + ", ".join(f"{c} long" for c in WIDE))
+    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, " + ", ".join(f"{c} long" for c in cols))
 
 
-def samples(n: int, bucket: int = 256, differ: float = 0.152, recall: float = 0.95) -> list[np.ndarray]:
+def set_table(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
+    """(node, shingles array<bigint>): the distinct shingles of each text; node as in wide_fingerprints()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            for i, j in slices(texts, 1 << 20):
+                h, first = shingle_sets(texts[i:j], k)
+                node = np.ascontiguousarray(wide_fingerprint(h, first)[:, WORDS]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], ["node", "shingles"])
+
+    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).select("text").mapInArrow(run, "node long, shingles array<bigint>")
+
+
+def samples(n: int, bucket: int = 256, differ: float = 0.152, recall: float = 0.999) -> list[np.ndarray]:
     """Choices of bits, so that a bucket of n random fingerprints holds about `bucket`, and two fingerprints whose bits differ with probability `differ` (0.152: similarity 0.8) agree under at least one choice with probability `recall`."""
     b = int(np.clip(np.floor(np.log2(max(n, 1) / bucket)), 0, 60))
     m = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - differ) ** b))) if b else 1
@@ -352,13 +371,49 @@ def wide_links(prints: DataFrame, most: int, cap: int = 4096) -> DataFrame:
     return dealt.repartition(*at).sortWithinPartitions(*at).mapInArrow(lambda batches: wide_bucket_links(batches, most, masks), f"a {kind}, b {kind}")
 
 
+def bits_apart(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in WIDE), F.lit(0))
+
+
+def lead_links(prints: DataFrame, most: int, rows: int = 16, bands: int = 8) -> DataFrame:
+    """prints as for wide_links() -> (a, b): in buckets of many near copies, each row and one row of the bucket. As many links as rows: what they join need not be compared pair by pair afterwards."""
+    chosen = samples(prints.count(), bucket=1)
+    rng = np.random.default_rng(SEED + 1)
+    keys = wide_keys(prints.withColumn("comp", F.col("rep")), [np.sort(rng.choice(64 * WORDS, len(chosen[0]), replace=False)) for _ in range(bands)])
+    first = F.min(F.struct(F.xxhash64("rep", "band").alias("o"), "rep", "n", *WIDE)).alias("lead")
+    led = keys.groupBy("band", "key").agg(F.count("*").alias("rows"), first).where(F.col("rows") > rows).select("band", "key", "lead")
+    met = keys.select("band", "key", F.struct("rep", "n", *WIDE).alias("own")).join(small(cut(led, "leads")), ["band", "key"])
+    met = met.where((bits_apart("own", "lead") <= most) & (5 * F.least("own.n", "lead.n") >= 4 * F.greatest("own.n", "lead.n")))
+    return met.select(F.least("own.rep", "lead.rep").alias("a"), F.greatest("own.rep", "lead.rep").alias("b")).where("a <> b").distinct()
+
+
+def alike(pairs: DataFrame, unique: DataFrame, docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
+    """pairs (a, b) of nodes -> those whose sets have a Jaccard similarity of 0.8 or more, by the sets themselves."""
+    pairs = cut(pairs, "pairs")
+    nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    ids = small(cut(unique.join(small(nodes), "node", "left_semi").select(F.col("rep").alias(id_col)).distinct(), "ids"))
+    sets = cut(set_table(docs.join(ids, id_col, "left_semi"), id_col, text, k).join(small(nodes), "node", "left_semi"), "sets").dropDuplicates(["node"])
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return cut(both.where(5 * shared >= 4 * (F.size("x") + F.size("y") - shared)).select("a", "b"), "alike")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, most: int = WIDE_MOST) -> DataFrame:
-    """(id, component_id): documents whose sets of k-word shingles are alike (about 0.8 and more), transitively; component_id is the smallest id. Rows without an id are left out."""
-    prints = cut(wide_fingerprints(docs.where(F.col(id_col).isNotNull()), id_col, text, k), "wide")
-    unique = cut(prints.groupBy(*WIDE).agg(F.min("id").alias("rep")), "unique")
-    roots = components(wide_links(unique, most))
-    rooted = unique.join(roots, unique["rep"] == roots["node"], "left").select(*WIDE, F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(rooted, WIDE).select("id", "component_id")
+    """(id, component_id): documents whose sets of k-word shingles are alike by 0.8 or more, transitively; component_id is the smallest id. Rows without an id are left out.
+
+    Texts of one set are one node. Fingerprints only propose pairs of nodes, and the sets decide on each. Pairs within
+    what the lead links have joined are not proposed again; all others are."""
+    given = docs.where(F.col(id_col).isNotNull())
+    prints = cut(wide_fingerprints(given, id_col, text, k), "wide")
+    unique = cut(prints.groupBy("node", "again", "n", *WIDE).agg(F.min("id").alias("rep")), "unique")
+    nodes = unique.select(F.col("node").alias("rep"), "n", *WIDE)
+    led = alike(lead_links(nodes, most), unique, given, id_col, text, k)
+    joined = nodes.join(components(led), F.col("rep") == F.col("node"), "left").select("rep", "n", *WIDE, F.coalesce("root", "rep").alias("comp"))
+    rest = alike(wide_links(cut(joined, "joined"), most), unique, given, id_col, text, k)
+    roots = components(led.union(rest))
+    rooted = cut(unique.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "component_id")
+    return prints.select("id", "node").join(named, "node").select("id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, most: int = WIDE_MOST) -> DataFrame:

@@ -153,6 +153,26 @@ def test_split_buckets_lose_no_link(spark):
     assert {k: got.get(k, k) for k in want} == want
 
 
+def test_near_groups_are_those_of_all_sets(spark, docs):
+    """Pairs on both sides of 0.8, lone ones and a group large enough for lead links."""
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.randrange(10**5)}" for _ in range(n)]
+    rows = []
+    for g in range(260):
+        base = text(rng.choice((60, 150, 240)))
+        other = base[: len(base) - (cut := int(len(base) * rng.uniform(0.02, 0.25)))] + text(cut)
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(other))]
+    base = text(200)
+    for _ in range(60):
+        t = list(base)
+        t[rng.randrange(200)] = f"x{rng.randrange(10**5)}"
+        rows.append((len(rows), " ".join(t)))
+    sets = {k: shingle_set(t) for k, t in rows}
+    want = brute_components(sorted(sets), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    assert 80 < sum(want[k] != k for k in range(520)) < 220 and want[579] == 520
+    assert {r["id"]: r["component_id"] for r in simhash.near_groups(docs(rows)).collect()} == want
+
+
 def test_empty_table(spark, docs):
     assert simhash.cluster(docs([])).count() == 0 == simhash.keep_one(docs([])).count()
 
