@@ -111,17 +111,18 @@ def doc_features(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01, rounds: int = 30) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, each: np.ndarray, ridge: float = 0.01, rounds: int = 30) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(rounds):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        w += np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        h = (x * (each * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        w += np.linalg.solve(h, x.T @ (each * (y - p)) - ridge * w)
     return w
 
 
-def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 3, gap: float = 2.5, epochs: int = 6, rate: float = 0.3, batch: int = 32) -> Model:
-    """tokens: for each document its features()."""
+def train(tokens: list[np.ndarray], toxic: np.ndarray, each: np.ndarray | None = None, min_docs: int = 3, gap: float = 2.5, epochs: int = 6, rate: float = 0.3, batch: int = 32) -> Model:
+    """tokens: for each document its features(); each: for how many documents it stands (1 where none is given)."""
+    each = np.ones(len(toxic)) if each is None else each / each.mean()
     count = np.array([t.shape[1] for t in tokens])
     first = np.concatenate(([0], np.cumsum(count)))
     flat = np.concatenate([*tokens, np.zeros((2, 0), np.uint64)], axis=1)
@@ -151,7 +152,8 @@ def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 3, gap: f
             emit = emission(i, f, weight, bias)
             chain = np.exp(log_chain)
             fwd, bwd, p = forward_backward(emit, f, chain)
-            g = (t - p) / len(part)  # observed less expected
+            own = np.repeat(each[part], count[part])
+            g = own * (t - p) / len(part)  # observed less expected
             before, after = neighbours(i[0], f)
             grad = np.zeros_like(weight)
             for k, v in enumerate((i[0], i[1], before, after)):
@@ -160,8 +162,8 @@ def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 3, gap: f
             prev, cur = np.flatnonzero(inner) - 1, np.flatnonzero(inner)
             x = np.exp(np.clip(emit[cur], -30, 30)) * bwd[cur]
             joint = np.array([[np.full(len(cur), chain[0, 0]), chain[0, 1] * x], [fwd[prev] * chain[1, 0], fwd[prev] * chain[1, 1] * x]])
-            joint /= joint.sum(axis=(0, 1))
-            seen = np.array([[((1 - t[prev]) * (1 - t[cur])).sum(), ((1 - t[prev]) * t[cur]).sum()], [(t[prev] * (1 - t[cur])).sum(), (t[prev] * t[cur]).sum()]])
+            joint *= own[cur] / joint.sum(axis=(0, 1))
+            seen = np.array([[own[cur] @ ((1 - t[prev]) * (1 - t[cur])), own[cur] @ ((1 - t[prev]) * t[cur])], [own[cur] @ (t[prev] * (1 - t[cur])), own[cur] @ (t[prev] * t[cur])]])
             step = grad - 1e-4 * weight, (seen - joint.sum(axis=2)) / len(part), np.array([g.sum()])
             for v, s in zip(step, size, strict=True):
                 s += v * v
@@ -171,31 +173,31 @@ def train(tokens: list[np.ndarray], toxic: np.ndarray, min_docs: int = 3, gap: f
     chain = np.exp(log_chain)
     p = forward_backward(emission(ids, first, weight, bias), first, chain)[2] if first[-1] else np.zeros(0)
     balance = doc_features(p, first)
-    return Model(vocab, weight, bias, chain, logistic(balance, toxic.astype(float)))
+    return Model(vocab, weight, bias, chain, logistic(balance, toxic.astype(float), each))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", allowed: Column | None = None, per_class: int = 2000, max_words: int = 2048, seed: int = 11) -> Model | None:
-    """Learn from about per_class labelled documents of each class (those of at most max_words words), chosen by a hash of the id. allowed: a condition on the labels' rows. None without rows of both classes."""
+    """Learn from about per_class labelled documents of each class (those of at most max_words words), chosen by a hash of the id; each counts for all of its class that it stands for, so that scores mean the same at every size. allowed: a condition on the labels' rows. None without rows of both classes."""
     lab = labels.where(allowed) if allowed is not None else labels
     lab = lab.select(F.col(id_col).alias("id"), F.col(toxic).cast("int").alias("toxic")).where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
     share = lab.groupBy("toxic").agg((F.lit(float(per_class)) / F.count("*")).alias("share"))
     unit = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = lab.join(F.broadcast(share), "toxic").where(unit < F.col("share")).select("id", "toxic")  # share has two rows
+    chosen = lab.join(F.broadcast(share), "toxic").where(unit < F.col("share")).select("id", "toxic", (1 / F.least(F.lit(1.0), "share")).alias("stands"))  # share has two rows
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(chosen), "id")  # about 2 * per_class rows
 
     def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, toxic_, texts = (batch.column(x).to_pylist() for x in ("id", "toxic", "text"))
+        ids, toxic_, stands, texts = (batch.column(x).to_pylist() for x in ("id", "toxic", "stands", "text"))
         out = []
         for i, j in slices(texts):
             w = Words(fold(texts[i:j]), lower=False)
             f = features(w)
-            out += [(ids[i + k], toxic_[i + k], f[:, w.first[k] : w.first[k + 1]].tobytes()) for k in range(j - i) if w.count[k] <= max_words]
-        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((batch.column("id").type, pa.int32(), pa.binary()))], ["id", "toxic", "tokens"])
+            out += [(ids[i + k], toxic_[i + k], stands[i + k], f[:, w.first[k] : w.first[k + 1]].tobytes()) for k in range(j - i) if w.count[k] <= max_words]
+        return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((batch.column("id").type, pa.int32(), pa.float64(), pa.binary()))], ["id", "toxic", "stands", "tokens"])
 
-    got = map_arrow(rows, hashed, f"id {dict(rows.dtypes)['id']}, toxic int, tokens binary").collect()
+    got = map_arrow(rows, hashed, f"id {dict(rows.dtypes)['id']}, toxic int, stands double, tokens binary").collect()
     got.sort(key=lambda r: (r["id"], bytes(r["tokens"])))
     y = np.array([r["toxic"] for r in got], np.int64)
-    return train([np.frombuffer(r["tokens"], np.uint64).reshape(2, -1) for r in got], y) if len({*y.tolist()}) == 2 else None
+    return train([np.frombuffer(r["tokens"], np.uint64).reshape(2, -1) for r in got], y, np.array([r["stands"] for r in got])) if len({*y.tolist()}) == 2 else None
 
 
 def marginals(words: Words, m: Model) -> np.ndarray:

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from matchledger.llm import langid, toxicity
@@ -87,3 +89,13 @@ def test_language_edges(spark, docs):
     assert langid.predict(docs([]), model).count() == 0
     none = langid.fit(docs([]))
     assert [r["lang_pred"] for r in langid.predict(docs([(1, "abc")]), none).collect()] == ["und"]
+
+
+def test_toxicity_keeps_the_odds_of_the_classes(spark, docs):
+    """Texts that tell nothing score as often as their class occurs, whether all labels are learned from or a sample."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(20))) for i in range(1600)]
+    labels = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(1600)], "doc_id long, toxic int")
+    for per_class in (2000, 100):
+        model = toxicity.fit(docs(rows), labels, per_class=per_class)
+        assert toxicity.score(docs(rows), model).agg(F.avg("score")).first()[0] == pytest.approx(0.125, abs=0.05)
