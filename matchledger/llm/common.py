@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -21,19 +20,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, which must be set."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
     return f"{at.rstrip('/')}/matchledger-{spark.sparkContext.applicationId}"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: the lineage ends there, and nothing runs twice."""
+def _write(df: DataFrame, name: str) -> str:
     at = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    return at
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write df as a table in the shared folder and read it back: the lineage ends there, nothing runs twice, and Spark knows its size when it chooses a join."""
+    return df.sparkSession.read.schema(df.schema).parquet(_write(df, name))
+
+
+class Scratch:
+    """cut() for tables that only the steps within a `with` block read: they are deleted at its end, so what leaves the block must be a table of its own."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(_write(df, name))
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def __exit__(self, *_) -> None:
+        context = self.spark.sparkContext
+        for at in self.paths:
+            path = context._jvm.org.apache.hadoop.fs.Path(at)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def small(df: DataFrame, most: int = 100_000) -> DataFrame:
