@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchledger.llm import decontam, mixing, simhash, toxicity
+from matchledger.llm import decontam, mixing, near_sets, toxicity
 from matchledger.llm.common import cut, table
 from matchledger.llm.queries import token_table
 
@@ -21,7 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose sets of five-word shingles are alike by 0.8 or more, the one with the smallest id."""
-    return simhash.keep_one(docs)
+    return near_sets.keep_one(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
