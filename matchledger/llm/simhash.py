@@ -8,17 +8,11 @@ over the limit is discarded, and the survivors are verified bit by bit.
 Pivot coordinates of random fingerprints all lie near 32, so they cannot deal out the pairs by themselves. For that
 the 64 bits are cut into blocks: of r blocks, a pair that differs in at most `most` bits agrees in r - most of them
 (pigeonhole), so only pairs that agree in such a choice of blocks meet; r grows with the number of fingerprints. A
-bucket that holds more than `bucket_rows` distinct fingerprints (thousands of near copies) takes another exact way:
-each fingerprint names all points within half the limit; those that share a point are linked, and those that are
-linked share one. Cost then grows with the fingerprints, not with their square.
+bucket of more than `bucket_rows` distinct fingerprints (thousands of near copies) is split by a hash into parts, and
+each two parts meet as a bucket of their own. Links are kept as a spanning forest of each bucket: no link between two
+components is lost, and no group is expanded into all its pairs.
 
-Links of 64-bit fingerprints are kept as a spanning forest of each bucket: no link between two components is lost, and
-no group is expanded into all its pairs.
-
-keep_one(), which takes five words and a similarity of 0.8, needs more bits: texts that are alike by 0.8 differ in every
-seventh bit, so 4 of 64 bits would miss most of them. It makes fingerprints of 256 bits and deals them out by random
-choices of bits instead of blocks, as many as find 999 of 1,000 such pairs. These are only proposed: the sets of
-shingles of each pair are compared before it is linked.
+keep_one(), the near-duplicate stage of five words and a similarity of 0.8, is in near_sets.
 
 Defined results: equal fingerprints are linked, and a text without words (or null) has fingerprint zero, linked like
 any other; an empty table gives an empty result; rows with equal or null ids are fingerprinted each by itself, and a
@@ -33,10 +27,10 @@ from itertools import accumulate, chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchledger.llm.common import Words, cut, map_arrow, mix, shingle_hashes, slices, small
+from matchledger.llm.common import cut, map_arrow, mix, slices
 from matchledger.llm.components import components
 
 SEED = 42
@@ -101,14 +95,18 @@ def masks(n: int, most: int, bucket: int = 16) -> list[int]:
     return [signed(sum(block[i] for i in c)) for c in combinations(range(r), r - most)]
 
 
-def pivot_table(prints: DataFrame) -> DataFrame:
-    """(fp, p0, p1): each long packs eight distances of a byte each."""
+#: What tells buckets apart: the choice of blocks, their bits, and two parts of a bucket that is split.
+BUCKET = ["band", "key", "i", "j"]
+
+
+def pivot_table(prints: DataFrame, *also: str) -> DataFrame:
+    """(also, fp, p0, p1): each long packs eight distances of a byte each."""
     packed = [sum((F.shiftleft(F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))).cast("long"), 8 * i) for i, p in enumerate(PIVOTS[k : k + 8])), F.lit(0).cast("long")) for k in (0, 8)]
-    return prints.select("fp", packed[0].alias("p0"), packed[1].alias("p1"))
+    return prints.select(*also, "fp", packed[0].alias("p0"), packed[1].alias("p1"))
 
 
 def bucket_links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows (band, key, fp, p0, p1), a bucket's rows together -> a spanning forest of the links in each bucket."""
+    """Rows (band, key, i, j, fp, p0, p1), those of a bucket and its parts i and j together -> a spanning forest of the links of each."""
     held: dict[str, np.ndarray] | None = None
     for b in chain(batches, [None]):
         if b is not None:
@@ -119,7 +117,7 @@ def bucket_links(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Re
         if not held:
             continue
         n = len(held["fp"])
-        change = np.flatnonzero((held["key"][1:] != held["key"][:-1]) | (held["band"][1:] != held["band"][:-1])) + 1
+        change = np.flatnonzero(np.any([held[c][1:] != held[c][:-1] for c in BUCKET], axis=0)) + 1
         done = n if b is None else int(change[-1]) if len(change) else 0
         rows, held = {c: v[:done] for c, v in held.items()}, {c: v[done:] for c, v in held.items()}
         if done:
@@ -167,21 +165,13 @@ def merged(root: np.ndarray, pairs: np.ndarray) -> np.ndarray:
 def links(prints: DataFrame, most: int = 4, bucket_rows: int = 4096) -> DataFrame:
     """prints: distinct fp, as a table that is cheap to read. (a, b): edges between fingerprints that differ in at most `most` bits, enough of them that their components are those of all such pairs."""
     at = masks(prints.count(), most)
-    keys = pivot_table(prints).select("fp", "p0", "p1", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in at))).alias("band", "key"))
-    dealt = keys.withColumn("n", F.count("*").over(Window.partitionBy("key", "band"))).where("n > 1")
-    dealt = cut(dealt, "buckets")
-    small = dealt.where(F.col("n") <= bucket_rows).repartition("key", "band").sortWithinPartitions("key", "band")
-    got = small.select("band", "key", "fp", "p0", "p1").mapInArrow(lambda batches: bucket_links(batches, most), "a long, b long")
-    return got.union(ball_links(dealt.where(F.col("n") > bucket_rows).select("fp").distinct(), most))
-
-
-def ball_links(prints: DataFrame, most: int) -> DataFrame:
-    """For any number of fingerprints: those that share a point within most / 2 bits point to the smallest of them. (For an odd limit, one side reaches a bit further, and links are verified.)"""
-    near = [0, *(signed(sum(1 << b for b in c)) for k in range(1, most // 2 + 1) for c in combinations(range(64), k))]
-    far = near + [signed(sum(1 << b for b in c)) for c in combinations(range(64), most // 2 + 1)] if most % 2 else near
-    spread = lambda to: prints.select("fp", F.explode(F.lit(to)).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("point"))
-    least = spread(near).groupBy("point").agg(F.min("fp").alias("b"))
-    return spread(far).join(least, "point").where(f"fp <> b and bit_count(fp ^ b) <= {most}").select(F.col("fp").alias("a"), "b").distinct()
+    keys = prints.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in at))).alias("band", "key"))
+    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    parts = cut(sizes.select("band", "key", F.when(F.col("n") > bucket_rows, F.ceil(2 * F.col("n") / bucket_rows)).otherwise(1).cast("int").alias("parts")), "buckets")
+    dealt = keys.join(parts, ["band", "key"]).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("parts = 1 or part <> other")
+    met = met.select("band", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "fp").repartition(*BUCKET)
+    return pivot_table(met, *BUCKET).sortWithinPartitions(*BUCKET).mapInArrow(lambda batches: bucket_links(batches, most), "a long, b long")
 
 
 def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 4, most: int = 4, bucket_rows: int = 4096) -> DataFrame:
@@ -192,236 +182,3 @@ def cluster(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
     rooted = unique.join(roots, unique["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
     return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
-
-
-#: Words of 64 bits of a wide fingerprint, and the bits in which two texts may differ there to be compared by their sets.
-#: Shingle sets with a Jaccard similarity of 0.8 differ in 39 of 256 bits on average (a standard deviation of 6), those
-#: with 0.9 in 27, others in 128.
-WORDS, WIDE_MOST = 4, 60
-WIDE = [f"f{i}" for i in range(WORDS)]
-WIDE_PIVOTS = mix(np.arange(101, 101 + 8 * WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(8, WORDS)
-
-
-def shingle_sets(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each distinct k-word shingle, in order within a text; where each text starts and one more)"""
-    h, first = shingle_hashes(Words(texts), k)
-    doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        h[i:j].sort()
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-    return h[new], np.concatenate(([0], np.cumsum(np.bincount(doc[new], minlength=len(texts)))))
-
-
-def wide_fingerprint(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(texts, WORDS + 2) of uint64: SimHash of each set of shingle_sets() with several hash functions; zero without words. Then two sums of hashes, equal for equal sets."""
-    n = np.diff(first)
-    full = np.flatnonzero(n)
-    out = np.zeros((len(n), WORDS + 2), np.uint64)
-    for w in (WORDS, WORDS + 1) if len(full) else ():
-        out[full, w] = np.add.reduceat(mix(h ^ np.uint64(0xD1B54A32D192ED03 * w & 0xFFFFFFFFFFFFFFFF)), first[full])
-    for w in range(WORDS if len(full) else 0):
-        bits = np.unpackbits(mix(h + np.uint64(w * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        over = 2 * np.add.reduceat(bits, first[full], axis=0, dtype=np.int32) > n[full][:, None]
-        out[full, w] = np.packbits(over, axis=1, bitorder="little").view("<u8").reshape(-1)
-    return out
-
-
-def wide_fingerprints(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """(id, f0 .., node, again, n): node and again stand for the set of shingles, n is its size"""
-    cols = [*WIDE, "node", "again", "n"]
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        fp = np.zeros((len(texts), WORDS + 3), np.uint64)
-        for i, j in slices(texts, 1 << 20):
-            h, first = shingle_sets(texts[i:j], k)
-            fp[i:j, :-1], fp[i:j, -1] = wide_fingerprint(h, first), np.diff(first)
-        return pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(fp.T))], ["id", *cols])
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, " + ", ".join(f"{c} long" for c in cols))
-
-
-def set_table(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """(node, shingles array<bigint>): the distinct shingles of each text; node as in wide_fingerprints()."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            for i, j in slices(texts, 1 << 20):
-                h, first = shingle_sets(texts[i:j], k)
-                node = np.ascontiguousarray(wide_fingerprint(h, first)[:, WORDS]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], ["node", "shingles"])
-
-    return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).select("text").mapInArrow(run, "node long, shingles array<bigint>")
-
-
-def samples(n: int, bucket: int = 256, differ: float = 0.152, recall: float = 0.999) -> list[np.ndarray]:
-    """Choices of bits, so that a bucket of n random fingerprints holds about `bucket`, and two fingerprints whose bits differ with probability `differ` (0.152: similarity 0.8) agree under at least one choice with probability `recall`."""
-    b = int(np.clip(np.floor(np.log2(max(n, 1) / bucket)), 0, 60))
-    m = int(np.ceil(np.log(1 - recall) / np.log(1 - (1 - differ) ** b))) if b else 1
-    rng = np.random.default_rng(SEED)
-    return [np.sort(rng.choice(64 * WORDS, b, replace=False)) for _ in range(m)]
-
-
-def wide_keys(prints: DataFrame, chosen: list[np.ndarray]) -> DataFrame:
-    """(band, key, f0 .., rep, comp, n): each fingerprint under every choice of bits."""
-    kind = dict(prints.dtypes)["rep"]
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fp = np.array([batch.column(c).to_numpy(zero_copy_only=False) for c in WIDE]).T.copy()
-        bits = np.unpackbits(fp.view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
-        keys = [bits[:, c].astype(np.int64) @ (np.int64(1) << np.arange(len(c), dtype=np.int64)) for c in chosen]
-        again = np.tile(np.arange(len(fp)), len(chosen))
-        cols = [np.repeat(np.arange(len(chosen), dtype=np.int32), len(fp)), np.concatenate(keys), *(fp[again, w] for w in range(WORDS))]
-        return pa.RecordBatch.from_arrays([*map(pa.array, cols), *(batch.column(c).take(pa.array(again)) for c in ("rep", "comp", "n"))], ["band", "key", *WIDE, "rep", "comp", "n"])
-
-    return map_arrow(prints.select("rep", "comp", "n", *WIDE), run, f"band int, key long, {', '.join(f'{c} long' for c in WIDE)}, rep {kind}, comp {kind}, n long")
-
-
-def bit_masks(chosen: list[np.ndarray]) -> np.ndarray:
-    """(choices, WORDS) of uint64: the bits of each choice."""
-    bits = np.zeros((len(chosen), 64 * WORDS), np.uint8)
-    for m, c in zip(bits, chosen, strict=True):
-        m[c] = 1
-    return np.packbits(bits, axis=1, bitorder="little").view("<u8").reshape(-1, WORDS)
-
-
-def block_pairs(fp: np.ndarray, comp: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, earlier: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a row of left and one of right (of each two rows, where both are the same rows) that differ in at most `most` bits, with different comp, of sizes that allow a similarity of 0.8, and that do not agree under an earlier choice of bits."""
-    same = left is right
-    step = max(1, (1 << 19) // max(1, len(right)))
-    for s in range(0, len(left), step):
-        x = left[s : s + step]
-        y = right[s:] if same else right
-        d = np.zeros((len(x), len(y)), np.int16)
-        for w in range(WORDS):
-            d += np.bitwise_count(fp[x, w][:, None] ^ fp[y, w][None])
-        hit = (d <= most) & (comp[x][:, None] != comp[y][None])
-        i, j = np.nonzero(np.triu(hit, 1) if same else hit)
-        for t in range(0, len(i), 1 << 14):
-            a, b = x[i[t : t + (1 << 14)]], y[j[t : t + (1 << 14)]]
-            fits = (5 * n[a] >= 4 * n[b]) & (5 * n[b] >= 4 * n[a])
-            a, b = a[fits], b[fits]
-            again = (((fp[a] ^ fp[b])[:, None] & earlier[None]) == 0).all(axis=2).any(axis=1)
-            yield a[~again], b[~again]
-
-
-def wide_bucket_links(batches: Iterator[pa.RecordBatch], most: int, masks: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket (band, key) and block (i, j) -> (a, b): all pairs of part i and part j. A block's rows are kept until it ends."""
-
-    def told(found: list[np.ndarray], t: pa.Table) -> pa.RecordBatch:
-        both = np.concatenate(found, axis=1)
-        return pa.RecordBatch.from_arrays([t.column("rep").combine_chunks().take(pa.array(x)) for x in both], ["a", "b"])
-
-    waiting: list[pa.RecordBatch] = []
-    for batch in chain(batches, [None]):
-        if batch is not None:
-            if not batch.num_rows:
-                continue
-            waiting.append(batch)
-        if not waiting:
-            continue
-        at = ["band", "key", "i", "j"]
-        if batch is not None and all(waiting[0].column(c)[0] == batch.column(c)[-1] for c in at):
-            continue  # the block goes on
-        t = pa.Table.from_batches(waiting).combine_chunks()
-        where = np.array([t.column(c).to_numpy() for c in at])
-        change = np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1
-        done = t.num_rows if batch is None else int(change[-1]) if len(change) else 0
-        waiting = t.slice(done).to_batches() if done < t.num_rows else []
-        if not done:
-            continue
-        fp = np.array([t.column(c).to_numpy() for c in WIDE]).T.copy().view(np.uint64)
-        comp, n, part = np.unique(t.column("comp").to_numpy(), return_inverse=True)[1], t.column("n").to_numpy(), t.column("part").to_numpy()
-        found, count = [], 0
-        for s, e in zip([0, *change[change < done].tolist()], [*change[change < done].tolist(), done], strict=True):
-            if e - s < 2:
-                continue
-            band, _, i, j = where[:, s]
-            left = s + np.flatnonzero(part[s:e] == i)
-            right = left if i == j else s + np.flatnonzero(part[s:e] == j)
-            for pair in block_pairs(fp, comp, n, left, right, masks[:band], most):
-                found.append(np.array(pair))
-                count += len(pair[0])
-                if count >= 1 << 16:
-                    yield told(found, t)
-                    found, count = [], 0
-        if count:
-            yield told(found, t)
-
-
-def wide_links(prints: DataFrame, most: int, cap: int = 4096) -> DataFrame:
-    """prints (rep, f0 .., and where given comp, n), distinct and cheap to read -> (a, b): each pair of reps, of different comp, whose fingerprints share a choice of bits and differ in at most `most` bits, once.
-
-    A bucket of more than `cap` fingerprints (thousands of near copies) is split by a hash into parts, and each part
-    meets each other part and itself as a block of its own; one that holds a single comp has no pairs."""
-    chosen = samples(prints.count())
-    given = {"comp": F.col("rep"), "n": F.lit(0).cast("long")}
-    keys = wide_keys(prints.select("rep", *WIDE, *(F.col(c) if c in prints.columns else v.alias(c) for c, v in given.items())), chosen)
-    kind = dict(prints.dtypes)["rep"]
-    masks = bit_masks(chosen)
-    sizes = keys.groupBy("band", "key").agg(F.count("*").alias("rows"), (F.min("comp") != F.max("comp")).alias("mixed"))
-    large = cut(sizes.where(F.col("rows") > cap).select("band", "key", F.when(F.col("mixed"), F.ceil(F.col("rows") / cap)).otherwise(0).cast("int").alias("parts")), "large")
-    dealt = keys.join(small(large), ["band", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1))).where("parts > 0")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).select("band", "key", "i", "j", "part", *WIDE, "rep", "comp", "n")
-    at = ["band", "key", "i", "j"]
-    return dealt.repartition(*at).sortWithinPartitions(*at).mapInArrow(lambda batches: wide_bucket_links(batches, most, masks), f"a {kind}, b {kind}")
-
-
-def bits_apart(a: str, b: str) -> Column:
-    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in WIDE), F.lit(0))
-
-
-def lead_links(prints: DataFrame, most: int, rows: int = 16, bands: int = 8) -> DataFrame:
-    """prints as for wide_links() -> (a, b): in buckets of many near copies, each row and one row of the bucket. As many links as rows: what they join need not be compared pair by pair afterwards."""
-    chosen = samples(prints.count(), bucket=1)
-    rng = np.random.default_rng(SEED + 1)
-    keys = wide_keys(prints.withColumn("comp", F.col("rep")), [np.sort(rng.choice(64 * WORDS, len(chosen[0]), replace=False)) for _ in range(bands)])
-    first = F.min(F.struct(F.xxhash64("rep", "band").alias("o"), "rep", "n", *WIDE)).alias("lead")
-    led = keys.groupBy("band", "key").agg(F.count("*").alias("rows"), first).where(F.col("rows") > rows).select("band", "key", "lead")
-    met = keys.select("band", "key", F.struct("rep", "n", *WIDE).alias("own")).join(small(cut(led, "leads")), ["band", "key"])
-    met = met.where((bits_apart("own", "lead") <= most) & (5 * F.least("own.n", "lead.n") >= 4 * F.greatest("own.n", "lead.n")))
-    return met.select(F.least("own.rep", "lead.rep").alias("a"), F.greatest("own.rep", "lead.rep").alias("b")).where("a <> b").distinct()
-
-
-def alike(pairs: DataFrame, unique: DataFrame, docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """pairs (a, b) of nodes -> those whose sets have a Jaccard similarity of 0.8 or more, by the sets themselves."""
-    pairs = cut(pairs, "pairs")
-    nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
-    ids = small(cut(unique.join(small(nodes), "node", "left_semi").select(F.col("rep").alias(id_col)).distinct(), "ids"))
-    sets = cut(set_table(docs.join(ids, id_col, "left_semi"), id_col, text, k).join(small(nodes), "node", "left_semi"), "sets").dropDuplicates(["node"])
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return cut(both.where(5 * shared >= 4 * (F.size("x") + F.size("y") - shared)).select("a", "b"), "alike")
-
-
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, most: int = WIDE_MOST) -> DataFrame:
-    """(id, component_id): documents whose sets of k-word shingles are alike by 0.8 or more, transitively; component_id is the smallest id. Rows without an id are left out.
-
-    Texts of one set are one node. Fingerprints only propose pairs of nodes, and the sets decide on each. Pairs within
-    what the lead links have joined are not proposed again; all others are."""
-    given = docs.where(F.col(id_col).isNotNull())
-    prints = cut(wide_fingerprints(given, id_col, text, k), "wide")
-    unique = cut(prints.groupBy("node", "again", "n", *WIDE).agg(F.min("id").alias("rep")), "unique")
-    nodes = unique.select(F.col("node").alias("rep"), "n", *WIDE)
-    led = alike(lead_links(nodes, most), unique, given, id_col, text, k)
-    joined = nodes.join(components(led), F.col("rep") == F.col("node"), "left").select("rep", "n", *WIDE, F.coalesce("root", "rep").alias("comp"))
-    rest = alike(wide_links(cut(joined, "joined"), most), unique, given, id_col, text, k)
-    roots = components(led.union(rest))
-    rooted = cut(unique.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
-    named = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "component_id")
-    return prints.select("id", "node").join(named, "node").select("id", "component_id")
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, most: int = WIDE_MOST) -> DataFrame:
-    """The rows of docs but for those whose id is not the smallest of their near_groups(); of rows with one id, one stays. Rows without an id stay."""
-    labelled = cut(near_groups(docs, id_col, text, k, most), "groups")
-    gone = labelled.where("id <> component_id").select(F.col("id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    repeated = labelled.groupBy("id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(id_col).isNull()))

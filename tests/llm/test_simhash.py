@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from matchledger.llm import simhash
+from matchledger.llm import near_sets, simhash
 from matchledger.llm.components import components
 
 
@@ -65,7 +66,7 @@ def test_cluster_and_keep_one(spark, docs):
     rows = [(5, "same words here now ok"), (3, "Same words, here now ok"), (3, "same words here now ok"), (9, None), (2, "  "), (4, "another text entirely of its own"), (4, "another text entirely of its own"), (None, "x y z"), (None, "x y z")]
     got = {(r["doc_id"], r["component_id"]) for r in simhash.cluster(docs(rows)).collect()}
     assert got == {(5, 3), (3, 3), (9, 2), (2, 2), (4, 4), (None, None)}  # the comma makes another text of 3, which is a component of its own id
-    kept = simhash.keep_one(docs(rows))
+    kept = near_sets.keep_one(docs(rows))
     assert kept.columns == docs(rows).columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 2, 3, 4]
 
@@ -93,7 +94,7 @@ def near_rows(seed, groups, copies, words=220):
 @pytest.mark.parametrize(("groups", "copies"), [(40, 4), (1200, 3)])
 def test_near_groups_against_all_pairs(spark, docs, groups, copies):
     rows = near_rows(7, groups, copies)
-    got = {r["id"]: r["component_id"] for r in simhash.near_groups(docs(rows)).collect()}
+    got = {r["id"]: r["component_id"] for r in near_sets.near_groups(docs(rows)).collect()}
     sets = {k: shingle_set(t) for k, t in rows}
     similar = lost = 0
     for a, b in zip(rows, rows[1:] + rows[:1], strict=True):  # copies stand side by side
@@ -114,43 +115,47 @@ def test_a_repeated_line_counts_once(spark, docs):
     rows = [(1, f"{first} {line} " + f"{line} " * 200), (2, f"{second} {line} " + f"{line} " * 200), (3, f"{third} {line} {line}"), (4, f"{third} " + f"{line} " * 200)]
     assert len(shingle_set(rows[0][1]) & shingle_set(rows[1][1])) < 0.1 * len(shingle_set(rows[0][1]) | shingle_set(rows[1][1]))
     assert shingle_set(rows[2][1]) <= shingle_set(rows[3][1])
-    got = {r["id"]: r["component_id"] for r in simhash.near_groups(docs(rows)).collect()}
+    got = {r["id"]: r["component_id"] for r in near_sets.near_groups(docs(rows)).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 3}
 
 
-def test_large_buckets_meet_again(spark):
-    rng = random.Random(1)
-    base = [rng.getrandbits(64) for _ in range(simhash.WORDS)]
-    rows = []
-    for i in range(900):
-        f = list(base) if i % 3 else [rng.getrandbits(64) for _ in base]
-        for _ in range(rng.randint(1, 12)):
-            f[rng.randrange(simhash.WORDS)] ^= 1 << rng.randrange(64)
-        rows.append((i, *map(simhash.signed, f)))
-    df = spark.createDataFrame(rows, "rep long, " + ", ".join(f"{c} long" for c in simhash.WIDE))
-    got = {r["node"]: r["root"] for r in components(simhash.wide_links(df, 45, cap=64)).collect()}
-    assert {got.get(i, i) for i in range(900) if i % 3} == {1}
-    assert all(got.get(i, i) == i for i in range(0, 900, 3))
-
-
-def test_split_buckets_lose_no_link(spark):
-    """Chains of which only neighbours are alike: no link stands for another."""
+def test_split_blocks_lose_no_link(spark, docs):
+    """Chains of which only neighbours are alike, and texts that share two thirds: buckets are split into parts of a few rows."""
     rng = random.Random(2)
-    rows, want = [], {}
-    for c in range(10):
-        f = [rng.getrandbits(64) for _ in range(simhash.WORDS)]
-        order = list(range(256))
-        rng.shuffle(order)
-        for k in range(48):
-            for b in order[(k * 40) % 240 :][:40]:
-                f[b // 64] ^= 1 << b % 64
-            if k % 6 == 0:  # turned bits would come back
-                f = [rng.getrandbits(64) for _ in f]
-            want[len(rows)] = len(rows) - k % 6
-            rows.append((len(rows), *map(simhash.signed, f)))
-    df = spark.createDataFrame(rows, "rep long, " + ", ".join(f"{c} long" for c in simhash.WIDE))
-    got = {r["node"]: r["root"] for r in components(simhash.wide_links(df, 45, cap=64)).collect()}
-    assert {k: got.get(k, k) for k in want} == want
+    text = lambda n: [f"w{rng.randrange(10**5)}" for _ in range(n)]
+    rows = []
+    for _ in range(6):
+        t = text(200)
+        for k in range(12):
+            rows.append((len(rows), " ".join(t)))
+            t = [*t[18:], *text(18)] if k % 2 else [*text(18), *t[:-18]]
+    frame = text(160)
+    rows += [(len(rows) + i, " ".join(frame + text(60))) for i in range(40)]
+    base = rows[-1][1].split()
+    for i in range(40):
+        rows.append((len(rows), " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])))
+    sets = {k: shingle_set(t) for k, t in rows}
+    want = brute_components(sorted(sets), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    for part_rows in (3, 4096):
+        assert {r["id"]: r["component_id"] for r in near_sets.near_groups(docs(rows), part_rows=part_rows).collect()} == want
+
+
+def test_recall_at_the_threshold():
+    """Sets alike by 0.8: of 2,000 pairs at most 1 % share no key or differ in more bits than are allowed."""
+    rng = np.random.default_rng(4)
+    a, b = [], []
+    for _ in range(2000):
+        n = int(rng.integers(2, 40)) * 9  # 8/10 of the union in common: 8n/9 of each n
+        h = rng.integers(0, 2**64, n + n // 9, dtype=np.uint64)
+        a.append(np.sort(h[:n]))
+        b.append(np.sort(h[n // 9 :]))
+    each = []
+    for sets in (a, b):
+        first = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+        each.append((near_sets.band_keys(np.concatenate(sets), first), near_sets.simhash(np.concatenate(sets), first)))
+    met = (each[0][0] == each[1][0]).any(axis=1)
+    apart = np.bitwise_count(each[0][1] ^ each[1][1]).sum(axis=1)
+    assert (met & (apart <= near_sets.MOST)).mean() >= 0.99
 
 
 def test_near_groups_are_those_of_all_sets(spark, docs):
@@ -170,11 +175,11 @@ def test_near_groups_are_those_of_all_sets(spark, docs):
     sets = {k: shingle_set(t) for k, t in rows}
     want = brute_components(sorted(sets), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
     assert 80 < sum(want[k] != k for k in range(520)) < 220 and want[579] == 520
-    assert {r["id"]: r["component_id"] for r in simhash.near_groups(docs(rows)).collect()} == want
+    assert {r["id"]: r["component_id"] for r in near_sets.near_groups(docs(rows)).collect()} == want
 
 
 def test_empty_table(spark, docs):
-    assert simhash.cluster(docs([])).count() == 0 == simhash.keep_one(docs([])).count()
+    assert simhash.cluster(docs([])).count() == 0 == near_sets.keep_one(docs([])).count()
 
 
 def test_query_over_documents(spark):
