@@ -58,11 +58,6 @@ class Scratch:
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, most: int = 100_000) -> DataFrame:
-    """df with a broadcast hint if it has few rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def crc_mod(id_col: str, n: int, equals: int) -> Column:
     """crc32 of the id as text, mod n, equals the given value; false where the id is null."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n)) == equals, F.lit(False))

@@ -59,9 +59,21 @@ runs AS (SELECT doc_id, size, p, array_to_string(w[p : p + size - 1], ' ') AS g
   FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM doc, (SELECT DISTINCT size FROM wins) WHERE len(w) >= size)),
 found AS MATERIALIZED (SELECT doc_id, item_id, p, runs.size FROM runs JOIN wins ON runs.size = wins.size AND runs.g = wins.g),
 hit AS (SELECT doc_id, count(DISTINCT q)::BIGINT AS n_hit FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM found) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*)::BIGINT AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id)
-SELECT doc.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN items ON doc.doc_id = items.doc_id"""
+items AS (SELECT doc_id, count(*)::BIGINT AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM found) GROUP BY doc_id),
+texts AS (SELECT DISTINCT item_id::VARCHAR AS item, w FROM item WHERE len(w) > 0),
+own AS (SELECT item, md5(array_to_string(w, ' ')) AS copy, len(w) AS n, least(10, len(w)) AS size, unnest(list_transform(w, lambda x: lower(x))) AS key, unnest(range(len(w))) AS pos FROM texts),
+posted AS MATERIALIZED (SELECT doc_id, key, pos FROM (SELECT doc_id, unnest(list_transform(w, lambda x: lower(x))) AS key, unnest(range(len(w))) AS pos FROM doc) WHERE key IN (SELECT key FROM own)),
+known AS (SELECT own.*, coalesce(df, 0) AS df FROM own LEFT JOIN (SELECT key, count(*) AS df FROM posted GROUP BY key) USING (key)),
+windows AS (SELECT item, copy, key, pos, df, unnest(range(greatest(0, pos - size + 1), least(pos, n - size) + 1)) AS start FROM known),
+rare AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item, copy, start ORDER BY df, pos) AS rank FROM windows) WHERE rank <= 3),
+need AS (SELECT item, copy, min(n) AS need FROM (SELECT item, copy, start, count(*) AS n FROM rare GROUP BY ALL) GROUP BY ALL),
+anchors AS (SELECT DISTINCT item, copy, need, key, pos AS anchor FROM rare JOIN need USING (item, copy)),
+placed AS (SELECT doc_id, item, copy, need, p.pos - anchor AS shift, anchor FROM posted p JOIN anchors USING (key)),
+near AS (SELECT doc_id, count(DISTINCT item)::BIGINT AS n_near FROM (SELECT doc_id, item, need,
+  count(DISTINCT anchor) OVER (PARTITION BY doc_id, item, copy ORDER BY shift RANGE BETWEEN CURRENT ROW AND 5 FOLLOWING) AS held FROM placed) WHERE held >= need GROUP BY doc_id)
+SELECT doc.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near, 0) AS n_near
+FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN items ON doc.doc_id = items.doc_id LEFT JOIN near ON doc.doc_id = near.doc_id"""
 
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": _mixing(),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -146,9 +148,38 @@ def test_decontamination_edges(spark, docs):
     assert decontam.judge(docs([]), bench).count() == 0
 
 
+def brute_near(rows, bench, slack=5):
+    """(doc, item) by definition: windows of 10 words, their three rarest words, offsets within slack of each other."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+    docs = {k: cut(t) for k, t in rows}
+    df = Counter(w for ws in docs.values() for w in ws)
+    found = set()
+    for item, t in bench:
+        w = cut(t)
+        size = min(10, len(w))
+        picked = [sorted(range(s, s + size), key=lambda i: (df[w[i]], i))[:3] for s in range(len(w) - size + 1)] if w else []
+        for k, ws in docs.items():
+            shifts = sorted((p - i, i) for i in {i for x in picked for i in x} for p, v in enumerate(ws) if v == w[i])
+            if any(len({i for o, i in shifts if low <= o <= low + slack}) >= min(map(len, picked)) for low, _ in shifts):
+                found.add((k, str(item)))
+    return found
+
+
 def test_proximity(spark, docs):
-    bench = items(spark, [(1, "the rare word of gold lies in the old stone")])
-    rows = [(1, "gold is in the stone, old and rare"), (2, "rare " + "filler " * 40 + "gold"), (3, "rare gold stone")]
-    index = decontam.Index(docs(rows), bench, rarest=3, occurring=True)
-    assert {(r["id"], r["item"]) for r in index.proximity().collect()} <= {(1, "1"), (3, "1")}
-    assert index.proximity().count() > 0
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(14)]
+    bench = [(1, "the rare word of gold lies in the old stone"), (2, "rare gold"), (3, " ".join(base)), (4, "nowhere at all")]
+    rows = [(1, "the rare fine word of gold lies in the very old stone"), (2, "rare " + "filler " * 40 + "gold"), (3, "Stone gold rare"), (4, "rare gold"), (5, None), (6, " ".join(base[:4] + ["x", "y"] + base[4:])), (7, " ".join(f"{w} x y z" for w in base))]
+    for i in range(60):
+        words = list(base)
+        for _ in range(rng.randint(0, 6)):
+            words.insert(rng.randrange(len(words)), rng.choice(["x", "the", "gold", "w3"]))
+        for _ in range(rng.randint(0, 5)):
+            del words[rng.randrange(len(words))]
+        rows.append((10 + i, " ".join(words)))
+    want = brute_near(rows, bench)
+    index = decontam.Index(docs(rows), items(spark, bench))
+    got = {(r["id"], r["item"]) for r in index.proximity().collect()}
+    assert got == want and {(1, "1"), (4, "2"), (6, "3")} <= got and not {(2, "2"), (7, "3"), (3, "1")} & got
+    near = {r["doc_id"]: r["n_near"] for r in decontam.judge(docs(rows), items(spark, bench)).collect()}
+    assert near == {k: sum(d == k for d, _ in want) for k, _ in rows}
