@@ -8,21 +8,28 @@ _A_Z = f"'{urlfilter.UPPER}', '{urlfilter.LOWER}'"
 
 
 def _mixing() -> str:
-    """Raking written out: a step for each round and margin, then the scaling to what is kept."""
-    steps = ["c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens, sum(n_tokens)::DOUBLE AS w FROM facts GROUP BY ALL HAVING sum(n_tokens) > 0)"]
-    for m, power in mixing.POWERS.items():
-        steps.append(f"t_{m} AS MATERIALIZED (SELECT {m}, t / sum(t) OVER () AS target FROM (SELECT {m}, pow(sum(tokens)::DOUBLE, {power}) AS t FROM c0 GROUP BY {m}))")
+    """Raking written out: the targets, a step for each round and margin, and the first round whose error is small enough."""
+    keep, margins = mixing.KEEP, mixing.MARGINS
+    steps = [f"c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens) AS tokens, {keep} * sum(n_tokens) AS w FROM facts GROUP BY ALL HAVING sum(n_tokens) > 0)"]
+    steps.append("v0 AS (" + " UNION ALL ".join(f"SELECT '{m}' AS margin, {m} AS value, sum(tokens) AS tokens, pow(sum(tokens)::DOUBLE, {mixing.POWERS[m]}) AS part, false AS full_, NULL::DOUBLE AS scale FROM c0 GROUP BY {m}" for m in margins) + ")")
+    for i in range(mixing.FILLS):
+        scale = f"({keep} * sum(tokens) OVER g - coalesce(sum(tokens) FILTER (WHERE full_) OVER g, 0)) / nullif(sum(part) FILTER (WHERE NOT full_) OVER g, 0)"
+        steps.append(f"s{i} AS MATERIALIZED (SELECT margin, value, tokens, part, full_, {scale} AS scale FROM v{i} WINDOW g AS (PARTITION BY margin))")
+        steps.append(f"v{i + 1} AS MATERIALIZED (SELECT margin, value, tokens, part, full_ OR coalesce(part * scale >= tokens, true) AS full_, scale FROM s{i})")
+    steps.append(f"target AS MATERIALIZED (SELECT margin, value, CASE WHEN full_ THEN tokens ELSE part * scale END AS target FROM v{mixing.FILLS})")
     k = 0
-    for _ in range(mixing.ROUNDS):
-        for m in mixing.MARGINS:
-            steps.append(f"c{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, w * target / sum(w) OVER (PARTITION BY {m}) AS w FROM c{k} JOIN t_{m} USING ({m}))")
+    for r in range(mixing.ROUNDS):
+        for m in margins:
+            factor = "CASE WHEN sum(w) >= target THEN target / sum(w) WHEN sum(w) FILTER (WHERE w < tokens) > 0 THEN (target - coalesce(sum(tokens) FILTER (WHERE w >= tokens), 0)) / sum(w) FILTER (WHERE w < tokens) ELSE 1 END"
+            factors = f"SELECT {m}, {factor} AS f FROM c{k} JOIN target ON margin = '{m}' AND value = {m} GROUP BY {m}, target"
+            steps.append(f"c{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, least(tokens, w * f) AS w FROM c{k} JOIN ({factors}) USING ({m}))")
             k += 1
-    last, full = f"c{k}", "false"
-    for i in range(mixing.FILLS):
-        before = f", (SELECT s FROM s{i - 1}) AS s" if i else ""
-        full = "w * s >= tokens" if i else "false"
-        steps.append(f"s{i} AS MATERIALIZED (SELECT ({mixing.KEEP} * sum(tokens) - coalesce(sum(CASE WHEN {full} THEN tokens END), 0)) / sum(CASE WHEN NOT ({full}) THEN w END) AS s FROM (SELECT *{before} FROM {last}))")
-    steps.append(f"chance AS (SELECT source, lang, topic, round(least(1.0, w * (SELECT s FROM s{mixing.FILLS - 1}) / tokens), 6) AS p FROM {last})")
+        sums = " UNION ALL ".join(f"SELECT '{m}' AS margin, {m} AS value, sum(w) AS w FROM c{k} GROUP BY {m}" for m in margins)
+        steps.append(f"e{r} AS MATERIALIZED (SELECT max(most / all_) AS error FROM (SELECT max(abs(w - target)) AS most, sum(target) AS all_ FROM ({sums}) JOIN target USING (margin, value) GROUP BY margin))")
+    last = mixing.ROUNDS - 1
+    stalled = [f" OR (SELECT error FROM e{r}) > {mixing.STALLED} * (SELECT error FROM e{r - 2})" if r > 1 else "" for r in range(last)]
+    steps.append("ended AS (SELECT CASE " + " ".join(f"WHEN (SELECT error FROM e{r}) < {mixing.TOLERANCE}{stalled[r]} THEN {r}" for r in range(last)) + f" ELSE {last} END AS r)")
+    steps.append("chance AS (" + " UNION ALL ".join(f"SELECT source, lang, topic, round(w / tokens, 6) AS p FROM c{3 * r + 3} WHERE (SELECT r FROM ended) = {r}" for r in range(last + 1)) + ")")
     return f"""WITH facts AS MATERIALIZED (
   SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
     CASE WHEN regexp_matches(coalesce(text, ''), '[Ll]icen[sc]e|[Cc]opyright') THEN 'licence' WHEN regexp_matches(coalesce(text, ''), '@|://') THEN 'address'

@@ -107,15 +107,53 @@ def test_url_rules(spark):
     assert urlfilter.judge(pages(spark, [(1, "http://a.net/", None)] * 3)).count() == 3
 
 
+def cells_of(spark, rows):
+    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+
+
 def test_raking_meets_its_targets(spark):
-    cells = spark.createDataFrame([("a", "en", "p", 900), ("a", "de", "p", 50), ("b", "en", "q", 30), ("b", "de", "p", 20), ("a", "en", "q", 10)], "source string, lang string, topic string, tokens long")
-    raked = mixing.rake(cells, {m: mixing.tempered(cells, m, p) for m, p in mixing.POWERS.items()}, 60)
-    for m, power in mixing.POWERS.items():
-        sums = {r[m]: r["w"] for r in raked.groupBy(m).agg(F.sum("weight").alias("w")).collect()}
-        want = {r[m]: r["target"] for r in mixing.tempered(cells, m, power).collect()}
-        assert sums == pytest.approx(want, rel=1e-6)
-    p = mixing.probabilities(raked, 0.5, 10).collect()
-    assert sum(r["p"] * r["tokens"] for r in p) == pytest.approx(505, rel=1e-3) and all(0 < r["p"] <= 1 for r in p)
+    """Shares that can be met: within the tolerance of all kept tokens, also where cells end at their bound."""
+    cells = cells_of(spark, [("a", "en", "p", 900), ("a", "de", "p", 400), ("b", "en", "q", 300), ("b", "de", "p", 200), ("a", "en", "q", 300), ("b", "en", "p", 40)])
+    shares = spark.createDataFrame([("source", "a", 0.6), ("source", "b", 0.4), ("lang", "en", 0.6), ("lang", "de", 0.4), ("topic", "p", 0.7), ("topic", "q", 0.3)], "margin string, value string, share double")
+    chances, target = mixing.calibrated(cells, keep=0.5, shares=shares, tolerance=1e-6, rounds=40)
+    got = mixing.report(chances, target).collect()
+    want = {(r["margin"], r["value"]): r["share"] * 1070 for r in shares.collect()}
+    assert {(r["margin"], r["value"]): r["expected"] for r in got} == pytest.approx(want, rel=1e-5)
+    p = {(r["source"], r["lang"], r["topic"]): r["p"] for r in chances.collect()}
+    assert all(0 <= v <= 1 for v in p.values()) and len(p) == 6
+
+
+def test_targets_stay_within_the_tokens(spark):
+    """b has 50 of 1,010 tokens and a tempered share of 29 %: all of it is wanted, and a gives the rest."""
+    cells = cells_of(spark, [("a", "en", "p", 900), ("a", "de", "p", 50), ("b", "en", "q", 30), ("b", "de", "p", 20), ("a", "en", "q", 10)])
+    chances, target = mixing.calibrated(cells)
+    wanted = {(r["margin"], r["value"]): r["target"] for r in target.collect()}
+    assert wanted[("source", "b")] == 50 and wanted[("source", "a")] == pytest.approx(455) and wanted[("topic", "q")] == 40
+    for m in mixing.MARGINS:
+        assert sum(v for (k, _), v in wanted.items() if k == m) == pytest.approx(505)
+    told = mixing.report(chances, target).collect()
+    assert all(abs(r["residual"]) <= 0.05 * 505 for r in told)
+    p = {(r["source"], r["lang"], r["topic"]): (r["p"], r["tokens"]) for r in chances.collect()}
+    for r in told:  # what is reported is what the probabilities give
+        i = mixing.MARGINS.index(r["margin"])
+        assert r["expected"] == pytest.approx(sum(x * n for k, (x, n) in p.items() if k[i] == r["value"]))
+
+
+def test_decisions_meet_their_margins(spark):
+    """On the documents: expected shares of what decide() keeps against the targets, and their difference as told."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    cells = docs.select(*mixing.cell_keys(), mixing.n_tokens(F.col("text")).alias("n")).groupBy(*mixing.MARGINS).agg(F.sum("n").alias("tokens"))
+    chances, target = mixing.calibrated(cells)
+    kept = mixing.decide(docs).groupBy().agg(F.sum(F.col("n_tokens") * F.col("p")).alias("n")).first()["n"]
+    told = mixing.report(chances, target).collect()
+    assert kept == pytest.approx(sum(r["target"] for r in told if r["margin"] == "lang"), rel=0.01)
+    assert max(abs(r["residual"]) for r in told) < mixing.TOLERANCE * kept * 1.01
+
+
+def test_a_topic_column_takes_the_place_of_the_expressions(spark):
+    docs = spark.createDataFrame([(i, "some words here", "en", "a", "x" if i % 4 else None) for i in range(40)], "doc_id long, text string, lang string, source string, subject string")
+    got = mixing.decide(docs, topic="subject")
+    assert {r["topic"] for r in got.collect()} == {"x", ""} and mixing.sample(docs, topic="subject").columns == docs.columns
 
 
 def test_sampling_edges(spark, docs):
