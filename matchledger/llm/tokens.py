@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,8 +41,9 @@ class ChunkEncoder:
     """Encodes with the tokenizers library, each distinct chunk of a text once.
 
     A byte-level BPE with the usual pattern never has a token across a space that a non-space follows, so texts are
-    cut there and the ids of the chunks are joined. A text that holds one of the tokenizer's added tokens is encoded
-    as a whole."""
+    cut there and the ids of the chunks are joined: Arrow cuts many texts at once and numbers their distinct chunks,
+    and numpy lines up the ids. The same pattern never joins a letter to punctuation after it, so a chunk of ASCII
+    letters and one mark at its end is two. A text that holds one of the tokenizer's added tokens is encoded as a whole."""
 
     def __init__(self, path: str, keep: int = 1_600_000):
         from tokenizers import Tokenizer
@@ -52,33 +54,69 @@ class ChunkEncoder:
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True  # a space in the vocabulary's alphabet
         self.keep, self.later, self.older = keep // 2, {}, {}
+        self.mark = {m: self._one(m) for m in MARKS}
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         """The ids of these chunks, each with a space before it. Many are encoded as one text: of their tokens, those that begin with a space begin a chunk."""
         if len(self.later) > self.keep:  # chunks that are used again come back from the older ones
             self.older, self.later = self.later, {}
-        missing = [c for c in chunks if c not in self.later]
-        self.later |= {c: self.older[c] for c in missing if c in self.older}
-        new = [c for c in missing if c not in self.older]
-        plain = [c for c in new if " " not in c]
+        later, older = self.later, self.older
+        missing = [c for c in chunks if c not in later]
+        if older:
+            later.update((c, older[c]) for c in missing if c in older)
+            missing = [c for c in missing if c not in older]
+        plain = [c for c in missing if " " not in c]
         for i in range(0, len(plain), 2000):
             part = plain[i : i + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")  # without offsets
             begin = np.flatnonzero(self.spaced[ids])
             if len(begin) == len(part):
                 raw, at = ids.tobytes(), [*(4 * begin).tolist(), 4 * len(ids)]
-                self.later.update(zip(part, (raw[s:e] for s, e in zip(at, at[1:])), strict=True))  # noqa: B905
-        self.later |= {c: self._one(" " + c) for c in new if c not in self.later}
+                later.update(zip(part, (raw[s:e] for s, e in zip(at, at[1:])), strict=True))  # noqa: B905
+        later.update((c, self._one(" " + c)) for c in missing if c not in later)
 
     def _one(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [None if any(a in t for a in self.added) else (t.split(" ") if not INNER.search(t) else EDGE.split(t)) for t in texts]
-        self._learn(set().union(*(c[1:] for c in cut if c)))
-        return [self._one(t) if c is None else (self._one(c[0]) if c[0] else b"") + b"".join(map(self.later.__getitem__, c[1:])) for t, c in zip(texts, cut, strict=True)]
-
+    def _of(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        stem = [c[:-1] if c[-1:] in MARKS and c[:-1].isascii() and c[:-1].isalpha() else c for c in chunks]
+        self._learn(list(set(stem)))
+        later, mark = self.later, self.mark
+        return [later[x] if x is c else later[x] + mark[c[-1]] for x, c in zip(stem, chunks, strict=True)]
 
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        whole = [any(a in t for a in self.added) for t in texts]
+        cut = [EDGE.split(t) if INNER.search(t) and not w else None for t, w in zip(texts, whole, strict=True)]
+        even = [k for k, (c, w) in enumerate(zip(cut, whole, strict=True)) if c is None and not w]
+        out: list[bytes] = [b""] * len(texts)
+        lists = pc.split_pattern(pa.array([texts[k] for k in even], pa.large_string()), " ")
+        first = lists.offsets.to_numpy()
+        numbered = lists.values.dictionary_encode()
+        chunks = numbered.dictionary.to_pylist()
+        heads = lists.values.take(pa.array(first[:-1])).to_pylist()  # without a space before them
+        table = self._of(chunks) + [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
+        of_word = numbered.indices.to_numpy().copy()
+        of_word[first[:-1]] = len(chunks) + np.arange(len(heads))
+        size = np.fromiter(map(len, table), np.int32, len(table)) // 4
+        begin = np.cumsum(size, dtype=np.int32) - size
+        count = size[of_word]
+        end = np.cumsum(count, dtype=np.int64)
+        at = np.repeat(begin[of_word] - (end - count), count) + np.arange(end[-1] if len(end) else 0)
+        raw = np.frombuffer(b"".join(table), "<u4")[at].tobytes()
+        edge = (4 * np.concatenate(([0], end))[first]).tolist()
+        for k, s, e in zip(even, edge, edge[1:], strict=False):
+            out[k] = raw[s:e]
+        for k, c in enumerate(cut):
+            if whole[k]:
+                out[k] = self._one(texts[k])
+            elif c is not None:
+                out[k] = (self._one(c[0]) if c[0] else b"") + b"".join(self._of(c[1:]))
+        return out
+
+
+#: Marks that stand by themselves after letters. (An apostrophe may begin a token with letters.)
+MARKS = frozenset(".,;:!?)\"")
 EDGE = re.compile(r" (?=\S)")
 INNER = re.compile(r" (?!\S)")  # a space at which a text is not cut
 
@@ -170,7 +208,7 @@ def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id",
         size, id_type = 0, None
         for b in batches:
             ids, texts, id_type = b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("id").type
-            for i, j in slices(texts):
+            for i, j in slices(texts, 1 << 22):
                 for doc, got in zip(ids[i:j], encode(texts[i:j]), strict=True):
                     if held and size + len(got) // 4 + 1 > segment:
                         yield flush(id_type)
