@@ -239,7 +239,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text: st
         m = shared.value
         texts = [t or "" for t in batch.column("text").to_pylist()]
         value, spans = np.zeros(len(texts)), [[] for _ in texts]
-        for i, j in slices(texts) if m else ():
+        for i, j in slices(texts, 1 << 20) if m else ():
             w = Words(fold(texts[i:j]), lower=False)
             p = marginals(w, m)
             value[i:j] = 1 / (1 + np.exp(-np.clip(doc_features(p, w.first) @ m.doc, -30, 30)))
@@ -268,7 +268,7 @@ def keep_below(docs: DataFrame, model: Model | None, limit: float, text: str = "
         m = shared.value
         texts = [t or "" for t in batch.column(at).to_pylist()]
         keep = np.ones(len(texts), bool)
-        for i, j in slices(texts) if m else ():
+        for i, j in slices(texts, 1 << 20) if m else ():
             w = Words(fold(texts[i:j]), lower=False)
             keep[i:j] = 1 / (1 + np.exp(-np.clip(doc_features(marginals(w, m), w.first) @ m.doc, -30, 30))) < limit
         return batch.filter(pa.array(keep))
