@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from matchledger.functions.dates import day_number
 from matchledger.functions.text import label_number, pair_key, round_name, round_rank, winner
-from matchledger.operators.relational import small
 from matchledger.schema import GROUP, GROUPS, KNOCKOUT, MOST_GOALS, STAGE_GROUP
 
 
@@ -58,7 +57,7 @@ def undated(m: DataFrame) -> DataFrame:
 def unknown_names(m: DataFrame, known: DataFrame) -> DataFrame:
     """known: (name). Clubs that no registry entry has."""
     names = sides(m).where("club <> ''").select("page", F.col("club").alias("name")).distinct()
-    got = sample(names.join(small(known.select("name").distinct()), "name", "left_anti"), ["page"], ["name"], 6, F.col("name"))
+    got = sample(names.join(known.select("name").distinct(), "name", "left_anti"), ["page"], ["name"], 6, F.col("name"))
     return finding(got, "unknown_club", True, text(F.col("total")), F.col("shown"))
 
 
@@ -114,10 +113,13 @@ def numbered(m: DataFrame) -> DataFrame:
 
 
 def matchday_gaps(m: DataFrame) -> DataFrame:
-    """Numbers that are missing between a page's first matchday and its last."""
-    days = numbered(m).groupBy("page").agg(F.array_sort(F.collect_set("n")).alias("has"))  # of distinct matchdays
-    got = days.withColumn("lack", F.array_except(F.sequence(F.element_at("has", 1), F.element_at("has", -1)), "has")).where("size(lack) > 0")
-    return finding(got, "matchday_gap", False, text(F.element_at("has", 1), "-", F.element_at("has", -1)), F.array_join("lack", ", "))
+    """Numbers, and ranges of numbers, that are missing between a page's first matchday and its last."""
+    following = F.lead("n").over(Window.partitionBy("page").orderBy("n"))
+    days = numbered(m).select("page", "n").distinct().withColumn("next", following)
+    lack = F.when(F.col("next") == F.col("n") + 2, (F.col("n") + 1).cast("string")).when(F.col("next") > F.col("n") + 2, text(F.col("n") + 1, "-", F.col("next") - 1))
+    told = F.collect_list(F.when(lack.isNotNull(), F.struct("n", lack.alias("lack"))))  # of distinct matchdays
+    got = days.groupBy("page").agg(F.min("n").alias("first"), F.max("n").alias("last"), F.array_sort(told).alias("of")).where("size(of) > 0")
+    return finding(got, "matchday_gap", False, text(F.col("first"), "-", F.col("last")), F.array_join(F.transform("of", lambda x: x["lack"]), ", "))
 
 
 def upper_medians(m: DataFrame) -> DataFrame:
@@ -182,7 +184,7 @@ def chain(m: DataFrame) -> DataFrame:
         "passed": (F.lag("k").over(club) == F.col("k") - 1) & F.lag("wins").over(club),
         "reviewable": F.max("wins").over(before),
     }).where("reviewable")
-    fresh = sample(seen.where("debut = k"), [*key, "k"], ["club"], 1 << 30, F.col("club"))
+    fresh = seen.where("debut = k")
     drawn = rounds.where("won = '' and home <> '' and away <> ''").select(*key, (F.col("k") + 1).alias("k"), F.least("home", "away").alias("one"), F.greatest("home", "away").alias("two")).distinct()
     goes_on = lambda side: held.select(*key, "k", F.col("club").alias(side), F.lit(True).alias(f"{side}_on"))
     settled = drawn.join(goes_on("one"), [*key, "k", "one"], "left").join(goes_on("two"), [*key, "k", "two"], "left")
@@ -190,7 +192,7 @@ def chain(m: DataFrame) -> DataFrame:
     wrong = seen.where("debut < k and not coalesce(passed, false)").join(excused, [*key, "k", "club"], "left_anti").select(*key, "k", "club")
     broken = plays.join(wrong, [*key, "k", "club"])
     return (
-        told.union(finding(fresh, "chain_entrants", False, text(F.col("section"), " / ", F.col("k")), F.col("shown")))
+        told.union(finding(fresh, "chain_entrants", False, text(F.col("section"), " / ", F.col("k")), F.col("club")))
         .union(finding(broken, "chain_broken", False, text(F.col("section"), " / ", F.col("k")), text(F.col("row_id"), " ", F.col("club"))))
     )
 

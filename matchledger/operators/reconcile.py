@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from matchledger.functions.text import base_name, pair_key
 from matchledger.operators.checks import sample, sides
-from matchledger.operators.relational import small, top1
+from matchledger.operators.relational import top1
 from matchledger.schema import GROUPS, KNOCKOUT
 
 FIGURES = ("pj", "gf", "gc", "g", "e", "p")
@@ -67,7 +67,7 @@ def _widest(both: DataFrame) -> DataFrame:
 
 
 def not_waived(df: DataFrame, waivers: DataFrame | None) -> DataFrame:
-    return df if waivers is None else df.join(small(waivers.select("page", "club").distinct()), ["page", "club"], "left_anti")
+    return df if waivers is None else df.join(waivers.select("page", "club").distinct(), ["page", "club"], "left_anti")
 
 
 def goals_differ(published: DataFrame, m: DataFrame, waivers: DataFrame | None = None) -> DataFrame:
@@ -136,7 +136,7 @@ def bare_namesakes(m: DataFrame, published: DataFrame, linked: DataFrame, names:
     """Clubs of the matches without a parenthesis that the page never links, with a namesake that it both links and tabulates. linked: (page, club)."""
     own = sides(m).select("page", "club").distinct().where(~F.col("club").contains("(")).join(linked, ["page", "club"], "left_anti")
     sure = linked.join(published.select("page", "club").distinct(), ["page", "club"], "left_semi").select("page", F.col("club").alias("other"))
-    pairs = own.join(small(namesakes(names)), F.col("club") == F.col("entity")).join(sure, ["page", "other"])
+    pairs = own.join(namesakes(names), F.col("club") == F.col("entity")).join(sure, ["page", "other"])
     return pairs.select("page", "club", "other").distinct()
 
 
@@ -145,7 +145,7 @@ def bracket_clubs(bracket: DataFrame, m: DataFrame, names: DataFrame) -> DataFra
     unknown = bracket.where("club is null").select("page", F.lit("unknown").alias("kind"), F.col("written").alias("club"), F.lit("").alias("detail"))
     play = sides(m).select("page", "club").distinct()
     out = bracket.where("club is not null").select("page", "club").distinct().join(play, ["page", "club"], "left_anti")
-    near = out.join(small(namesakes(names)), F.col("club") == F.col("entity")).join(play.withColumnRenamed("club", "other"), ["page", "other"]).select("page", "club", "other")
+    near = out.join(namesakes(names), F.col("club") == F.col("entity")).join(play.withColumnRenamed("club", "other"), ["page", "other"]).select("page", "club", "other")
     with_namesake = near.groupBy("page", "club").agg(F.array_join(F.array_sort(F.collect_set("other")), ", ").alias("detail"))
     rest = sample(out.join(near, ["page", "club"], "left_anti"), ["page"], ["club"], 6, F.col("club"))
     return unknown.union(with_namesake.select("page", F.lit("namesake"), "club", "detail")).union(rest.select("page", F.lit("absent"), F.col("total").cast("string"), "shown"))
@@ -159,7 +159,7 @@ def bracket_scores(legs: DataFrame, m: DataFrame, waived_pairs: DataFrame | None
     have = ours.select("page", scored(F.col("home"), F.col("away"), F.col("hs"), F.col("aws")).alias("leg")).distinct()
     lack = told.join(have, ["page", "leg"], "left_anti")
     if waived_pairs is not None:
-        lack = lack.join(small(waived_pairs.select("page", pair_key(F.col("one"), F.col("two")).alias("pair")).distinct()), ["page", "pair"], "left_anti")
+        lack = lack.join(waived_pairs.select("page", pair_key(F.col("one"), F.col("two")).alias("pair")).distinct(), ["page", "pair"], "left_anti")
     met = ours.groupBy("page", "pair").agg(F.bool_or(F.col("phase") == KNOCKOUT).alias("in_knockout"))
     kind = F.when(F.col("in_knockout"), "other_score").when(F.col("in_knockout").isNotNull(), "only_groups").otherwise("never")
     return lack.join(met, ["page", "pair"], "left").select("page", "one", "two", "a", "b", kind.alias("kind"))
@@ -197,6 +197,6 @@ def dated_migrations(dated: DataFrame, undated: DataFrame, old_dated: DataFrame,
 
 def incompatible_levels(m: DataFrame, levels: DataFrame) -> DataFrame:
     """Clubs that play, in one season, competitions two levels or more apart. levels: (competition, level)."""
-    ranked = sides(m, "competition", "season").join(small(levels), "competition")
+    ranked = sides(m, "competition", "season").join(levels, "competition")
     held = ranked.groupBy("club", "season").agg(F.max("level").alias("high"), F.min("level").alias("low"), F.array_join(F.array_sort(F.collect_set("competition")), ", ").alias("competitions"))
     return held.where("high - low >= 2").select("club", "season", (F.col("high") - F.col("low")).alias("apart"), "competitions")

@@ -1,19 +1,10 @@
-"""Relational building blocks: size-checked broadcasts, as-of labels, top rows, ordered distinct and carried values."""
+"""Relational building blocks: as-of labels, top rows, ordered distinct and carried values."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Rows up to which small() broadcasts.
-BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has few rows, which is looked up by reading no more of them than that; else df as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def asof(df: DataFrame, keys: list[str], order: list[str], label: Column) -> Column:
     """The last label that is not null at or before a row."""
     return F.last(label, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from matchledger.functions.text import normalized, source_page
 from matchledger.operators import amend, checks, entities, joins, reconcile
 from matchledger.operators.checks import text
-from matchledger.operators.relational import small
 from matchledger.schema import FINDING, MATCH
 from matchledger.sinks import published as sink
 from matchledger.sources import published, wikitext
@@ -80,7 +79,7 @@ def extract(given: Inputs, names: DataFrame, articles: DataFrame | None) -> Data
     told = _cut(wikitext.matches(given.pages, about, _cut), "extracted")
     arts = wikitext.links(given.pages)
     by_page = _cut(entities.page_articles(arts), "links")
-    m = told.join(small(given.catalog.select("page", F.col("tournament").alias("competition"), "season")), "page").withColumn("date_credit", F.lit(""))
+    m = told.join(given.catalog.select("page", F.col("tournament").alias("competition"), "season"), "page").withColumn("date_credit", F.lit(""))
     for side in ("home", "away"):
         linked = m.join(by_page.select("page", F.col("visible").alias(side), F.col("article").alias("__art")), ["page", side], "left").withColumn("__art", F.coalesce("__art", F.lit("")))
         m = entities.canonized(linked, side, "__art", names, articles).drop("__art")
@@ -199,7 +198,7 @@ class Outcome:
 def reusable(old: DataFrame, catalog: DataFrame) -> DataFrame:
     """Published rows of closed pages, by the URL in their source."""
     closed = catalog.where("closed").select(F.col("url").alias("__url"))
-    return old.withColumn("__url", source_page(F.col("source"))).join(small(closed), "__url", "left_semi").drop("__url")
+    return old.withColumn("__url", source_page(F.col("source"))).join(closed, "__url", "left_semi").drop("__url")
 
 
 def run(spark: SparkSession, given: Inputs, out: str, failed: DataFrame | None = None, redo: bool = False, dry: bool = False, force: bool = False) -> Outcome:
@@ -212,9 +211,9 @@ def run(spark: SparkSession, given: Inputs, out: str, failed: DataFrame | None =
     before = _cut(old[0].union(old[1]), "before")
     kept = before.limit(0) if redo else reusable(before, given.catalog)
     have = kept.select(source_page(F.col("source")).alias("url")).distinct()
-    todo = given.catalog.join(small(have), "url", "left_anti")
+    todo = given.catalog.join(have, "url", "left_anti")
     if todo.limit(1).count():
-        built = process(replace(given, pages=given.pages.join(small(todo.select("page")), "page", "left_semi"), catalog=todo))
+        built = process(replace(given, pages=given.pages.join(todo.select("page"), "page", "left_semi"), catalog=todo))
     else:
         built = Built(spark.createDataFrame([], MATCH), spark.createDataFrame([], FINDING))
     if built.findings.where("severe").limit(1).count():
@@ -242,5 +241,5 @@ def resolved(ext: DataFrame, registry: DataFrame) -> DataFrame:
     names = entities.name_index(registry)
     got = ext
     for side in ("home", "away"):
-        got = got.withColumn(f"__{side}", normalized(F.col(side))).join(small(names.select(F.col("name").alias(f"__{side}"), F.col("entity").alias(f"{side}_club"))), f"__{side}", "left").drop(f"__{side}")
+        got = got.withColumn(f"__{side}", normalized(F.col(side))).join(names.select(F.col("name").alias(f"__{side}"), F.col("entity").alias(f"{side}_club")), f"__{side}", "left").drop(f"__{side}")
     return got

@@ -17,8 +17,18 @@ def _check(name: str):
     return lambda spark, sf_dir: checks.CHECKS[name](matches(spark, sf_dir))
 
 
+#: In one competition the fourth matchday is played 300 days before.
+EARLY = "CASE WHEN competition = 'RF' AND matchday = 'Fecha 8' AND date <> '' THEN CAST(CAST(date AS DATE) - INTERVAL 300 DAY AS DATE) ELSE CAST(NULLIF(date, '') AS DATE) END"
+
+
+def year_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = matches(spark, sf_dir)
+    return checks.year_order(m.withColumn("date", F.coalesce(F.expr(EARLY).cast("string"), F.lit(""))))
+
+
 QUERIES = {f"check_{name}": _check(name) for name in checks.CHECKS} | {
     "check_unknown_names": lambda spark, sf_dir: checks.unknown_names(matches(spark, sf_dir), known_clubs(spark, sf_dir)),
+    "check_year_order": year_order,
     "review": lambda spark, sf_dir: checks.review(matches(spark, sf_dir), known_clubs(spark, sf_dir)).groupBy("check", "severe").agg(F.count("*").alias("findings"), F.count_distinct("page").alias("pages")),
 }
 
@@ -27,6 +37,7 @@ def _select(check: str, severe: bool, subject: str, detail: str, rest: str) -> s
     return f"SELECT page, '{check}' AS \"check\", {str(severe).lower()} AS severe, {subject} AS subject, {detail} AS detail {rest}"
 
 
+_EARLY_ROWS = f"SELECT * EXCLUDE (date), coalesce(CAST({EARLY} AS VARCHAR), '') AS date FROM m"
 _FIRST = "array_to_string(list_sort(list({0}))[1:{1}], ', ')"
 _PLAYED = "sides WHERE phase = 'groups'"
 
@@ -56,7 +67,8 @@ held AS (SELECT page, grp, count(*) AS k, min(n) AS lo, max(n) AS hi, sum(n) AS
     "matchday_gaps": (f"""{M}, days AS (SELECT DISTINCT page, regexp_extract(matchday, '(\\d+)', 1)::INT AS n FROM m WHERE phase = 'groups' AND regexp_matches(matchday, '\\d')),
 ends AS (SELECT page, min(n) AS lo, max(n) AS hi FROM days WHERE n > 0 GROUP BY page), every AS (SELECT page, lo, hi, unnest(range(lo, hi + 1)) AS n FROM ends)""",
         [_select("matchday_gap", False, "lo || '-' || hi", "string_agg(n::VARCHAR, ', ' ORDER BY n)", "FROM every ANTI JOIN days USING (page, n) GROUP BY page, lo, hi")]),
-    "year_order": (f"""{M}, days AS (SELECT page, regexp_extract(matchday, '(\\d+)', 1)::INT AS n, list_sort(list(date)) AS d FROM m WHERE phase = 'groups' AND date <> '' AND regexp_matches(matchday, '\\d') GROUP BY ALL),
+    "year_order": (f"""{M}, early AS ({_EARLY_ROWS}),
+days AS (SELECT page, regexp_extract(matchday, '(\\d+)', 1)::INT AS n, list_sort(list(date)) AS d FROM early WHERE phase = 'groups' AND date <> '' AND regexp_matches(matchday, '\\d') GROUP BY ALL),
 mids AS (SELECT page, n, d[len(d) // 2 + 1] AS mid FROM days WHERE n > 0), seq AS (SELECT *, lag(mid) OVER w AS last, lag(n) OVER w AS last_n FROM mids WINDOW w AS (PARTITION BY page ORDER BY n))""",
         [_select("year_order", True, "n || ' after ' || last_n", "mid || ' ' || last", "FROM seq WHERE date_diff('day', mid::DATE, last::DATE) > 180")]),
     "one_group": (f"{SIDES}, held AS (SELECT page, section, club, grp, count(*) AS n FROM {_PLAYED} AND regexp_matches(grp, '(?i)^(.*- )?(zona|grupo)\\b') GROUP BY ALL)",
@@ -74,10 +86,10 @@ drawn AS (SELECT DISTINCT page, section, k + 1 AS k, least(home, away) AS a, gre
 free AS (SELECT page, section, k, unnest([a, b]) AS club FROM drawn d WHERE a = b
   OR NOT (EXISTS (FROM plays p WHERE p.page = d.page AND p.section = d.section AND p.k = d.k AND p.club = d.a) AND EXISTS (FROM plays p WHERE p.page = d.page AND p.section = d.section AND p.k = d.k AND p.club = d.b))),
 asked AS (SELECT page, section, k, row_id, club, debut FROM plays JOIN seen USING (page, section, club) SEMI JOIN wins USING (page, section, k))""", [
-        _select("chain_entrants", False, "section || ' / ' || k", "string_agg(club, ', ' ORDER BY club)", "FROM (SELECT DISTINCT page, section, k, club FROM asked WHERE debut = k) GROUP BY page, section, k"),
+        _select("chain_entrants", False, "section || ' / ' || k", "club", "FROM (SELECT DISTINCT page, section, k, club FROM asked WHERE debut = k)"),
         _select("chain_broken", False, "section || ' / ' || k", "row_id || ' ' || club", "FROM asked ANTI JOIN wins USING (page, section, k, club) ANTI JOIN free USING (page, section, k, club) WHERE debut < k"),
     ]),
 }
 
 ORACLE_SQL = {f"check_{name}": f"WITH {tables} {' UNION ALL '.join(selects)}" for name, (tables, selects) in _PARTS.items()}
-ORACLE_SQL["review"] = 'SELECT "check", severe, count(*) AS findings, count(DISTINCT page) AS pages FROM (' + " UNION ALL ".join(f"SELECT * FROM ({q})" for q in ORACLE_SQL.values()) + ") GROUP BY ALL"
+ORACLE_SQL["review"] = 'SELECT "check", severe, count(*) AS findings, count(DISTINCT page) AS pages FROM (' + " UNION ALL ".join(f"SELECT * FROM ({q})" for q in ORACLE_SQL.values()).replace(_EARLY_ROWS, "SELECT * FROM m") + ") GROUP BY ALL"

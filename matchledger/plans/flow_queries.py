@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from matchledger.operators import checks, joins
 from matchledger.plans import build
+from matchledger.plans.join_queries import ORACLE_SQL as JOIN_SQL
+from matchledger.plans.join_queries import resolved_external
 from matchledger.plans.views import M, matches, read
 from matchledger.sinks import published as sink
 from matchledger.sources import feeds, wikitext
@@ -54,11 +56,11 @@ def json_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A league page for each customer segment and nation: a table of its orders, of which every fourth has no score."""
+    """League pages for each customer segment, nation and range of orders: a table of the orders, of which every fourth has no score. A page's length does not grow with the table."""
     own = read(spark, sf_dir, "orders").join(read(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     score = F.when(F.col("o_orderkey") % 4 == 3, "-").otherwise(F.format_string("%d - %d", F.col("o_orderkey") % 5, F.col("o_custkey") % 4))
     row = F.concat_ws(" || ", F.concat(F.lit("| [[Club "), F.col("o_custkey") % 9, F.lit("|Team "), F.col("o_custkey") % 9, F.lit("]]")), score, F.concat(F.lit("'''Team "), F.col("o_orderkey") % 9, F.lit("'''")), "o_orderpriority", F.concat(F.dayofmonth("o_orderdate"), F.lit(" de mayo")), F.lit("16:00"))
-    held = own.groupBy(F.concat_ws("-", "c_mktsegment", "c_nationkey").alias("page")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("row")))).alias("rows"))
+    held = own.groupBy(F.concat_ws("-", "c_mktsegment", "c_nationkey", F.floor(F.col("o_orderkey") / 4000)).alias("page")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("row")))).alias("rows"))
     body = F.array_join(F.transform("rows", lambda r: F.concat(F.lit("|-\n"), r["row"])), "\n")
     return held.select("page", F.concat(F.lit('== Torneo ==\n=== Resultados ===\n{|\n! colspan="6" | Fecha 1\n|-\n! Local !! Resultado !! Visitante\n'), body, F.lit("\n|}\n")).alias("text"))
 
@@ -72,8 +74,6 @@ def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates filled and checked: the duplicates that remain by page."""
-    from matchledger.plans.join_queries import resolved_external
-
     got = joins.verified_fill(matches(spark, sf_dir), resolved_external(spark, sf_dir), "second").drop("fill")
     return checks.duplicates(got).groupBy("page").agg(F.count("*").alias("n"))
 
@@ -91,7 +91,11 @@ QUERIES = {
 _SHAPED = f"""{M}, s AS (SELECT date, time, home AS home_team, away AS away_team, hs AS home_score, aws AS away_score, hpens AS home_pens, apens AS away_pens, competition AS tournament, season, phase, grp AS "group", matchday, venue,
   coalesce(neutral, season = 1999) AS neutral, concat('http://x/', replace(page, ' ', '_'), CASE WHEN hs = 2 THEN ' + second' ELSE '' END) AS source, status FROM m)"""
 
+_FILL, _FILLED = JOIN_SQL["unique_key_fill"].replace("season = 1998", "false").rsplit("\nSELECT", 1)  # nothing is settled here
+
 ORACLE_SQL = {
+    "fill_then_check": f"""{_FILL}, filled AS (SELECT{_FILLED}), got AS (SELECT page, coalesce(filled.date, m.date) AS date, home, away FROM m LEFT JOIN filled USING (page, row_id))
+SELECT page, count(*) AS n FROM (SELECT page, date, home, away FROM got WHERE date <> '' GROUP BY ALL HAVING count(*) > 1) GROUP BY page""",
     "shape_for_publish": f"WITH {_SHAPED} SELECT * FROM s",
     "route_dated": f"WITH {_SHAPED} SELECT season, count(*) AS n, CASE WHEN date = '' THEN 'undated' ELSE 'dated' END AS part FROM s GROUP BY season, part",
     "changed_seasons": f"""WITH {_SHAPED}, n AS (SELECT season, count(*) AS n FROM s GROUP BY season)
@@ -99,6 +103,6 @@ SELECT season::VARCHAR AS season, CASE WHEN season = 1997 THEN 0 ELSE n END AS n
     "incremental_reuse": f"WITH {_SHAPED} SELECT tournament, season, count(*) AS n FROM s WHERE season < 1998 GROUP BY ALL",
     "json_feed_unnest": """WITH e AS (SELECT event_id, ts, user_id % 20 AS h, (props->>'$.k')::INT AS k FROM events)
 SELECT event_id::VARCHAR AS page, CAST(CAST(ts - INTERVAL 3 HOUR AS DATE) AS VARCHAR) AS date, concat('CLUB ', h) AS home, concat('CLUB ', k % 20) AS away, k % 4 AS hs, k % 5 AS aws FROM e WHERE h < 15 AND k % 20 < 15 AND k % 7 <> 0""",
-    "wiki_extraction": """SELECT concat_ws('-', c_mktsegment, c_nationkey) AS page, printf('1996-05-%02d', day(o_orderdate)) AS date, concat('Team ', o_custkey % 9) AS home, concat('Team ', o_orderkey % 9) AS away, (o_orderkey % 5)::INT AS hs, (o_custkey % 4)::INT AS aws,
+    "wiki_extraction": """SELECT concat_ws('-', c_mktsegment, c_nationkey, (o_orderkey // 4000)) AS page, printf('1996-05-%02d', day(o_orderdate)) AS date, concat('Team ', o_custkey % 9) AS home, concat('Team ', o_orderkey % 9) AS away, (o_orderkey % 5)::INT AS hs, (o_custkey % 4)::INT AS aws,
   'groups' AS phase, 'Torneo' AS grp, 'Fecha 1' AS matchday, 'Torneo' AS section, o_orderpriority AS venue, '16:00' AS time FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 4 <> 3""",
 }

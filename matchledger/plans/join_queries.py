@@ -9,13 +9,18 @@ from matchledger.functions.text import normalized
 from matchledger.operators import amend, entities, joins
 from matchledger.plans.views import EXTERNAL, MATCH, M, X, external, matches, read, select, sql
 
-VOTING = "l_orderkey % 40 = 1"
+#: Finer pages, so that scores are often unique in a matchday.
+FINER = {"page": "concat(CAST(l_orderkey % 400 AS STRING), ' ', {0})"}
+
+
+def finer(view: dict[str, str]) -> dict[str, str]:
+    return view | {"page": FINER["page"].format(view["page"])}
 
 
 def voting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few matches, so that scores are often unique in a matchday; away sides of one club in four are told wrongly."""
-    some = read(spark, sf_dir, "lineitem").where(VOTING)
-    return joins.vote_mapping(some.selectExpr(*select(MATCH)), some.where("l_orderkey % 3 <> 1").selectExpr(*select(EXTERNAL)))
+    """All matches, on finer pages."""
+    line = read(spark, sf_dir, "lineitem")
+    return joins.vote_mapping(line.selectExpr(*select(finer(MATCH))), line.selectExpr(*select(finer(EXTERNAL))))
 
 
 def resolved_external(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +94,8 @@ def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aliases = read(spark, sf_dir, "nation").select(F.concat(F.lit("p"), (F.col("n_nationkey") % 9).cast("string")).alias("page"), F.col("n_name").alias("name"), F.col("n_name").alias("entity"))
-    return entities.unused_aliases(aliases, written(spark, sf_dir).where("c_custkey % 10 = 0"))
+    aliases = read(spark, sf_dir, "nation").select(F.concat(F.lit("p"), (F.col("n_nationkey") % 9).cast("string")).alias("page"), F.when(F.col("n_nationkey") % 4 == 0, F.concat("n_name", F.lit(" B"))).otherwise(F.col("n_name")).alias("name"), F.col("n_name").alias("entity"))
+    return entities.unused_aliases(aliases, written(spark, sf_dir))
 
 
 def contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +158,7 @@ QUERIES = {
     "nearest_by_date": repeats,
     "shared_venue_pairs": venues,
     "span_anti_join": spans,
-    "one_sided_names": lambda s, d: joins.one_sided(written(s, d).where("c_custkey % 5 = 0 and c_nationkey < 20"), registry(s, d).withColumnRenamed("entity", "name"), "name"),
+    "one_sided_names": lambda s, d: joins.one_sided(written(s, d).withColumn("name", F.when(F.substring_index("name", "_", -1).try_cast("int") >= 20, "nobody").otherwise(F.col("name"))), registry(s, d).withColumnRenamed("entity", "name"), "name"),
     "entity_resolution": resolution,
     "canonical_names": canonical,
     "unused_aliases": unused,
@@ -167,7 +172,7 @@ QUERIES = {
     "waiver_orphans": lambda s, d: amend.orphans(amendments(s, d).select("amendment", "page", "home", "away"), matches(s, d).where("hs = aws"), ["page", "home", "away"]),
 }
 
-_VOTING = f"m AS ({sql(MATCH, where=VOTING)}), x AS ({sql(EXTERNAL, where=VOTING + ' AND l_orderkey % 3 <> 1')})"
+_VOTING = f"m AS ({sql(finer(MATCH))}), x AS ({sql(finer(EXTERNAL))})"
 _DAY = "coalesce(try_cast(regexp_extract(matchday, '(\\d+)', 1) AS INT), 0)"
 _NAMED = f"""{X}, nx AS (SELECT page, date, matchday, home, away, home_id, away_id, hs, aws, section,
   CASE WHEN CAST(substr(home_id, 2) AS INT) < 10 OR (home <> '' AND home <> 'Club 15') THEN CASE WHEN CAST(substr(home_id, 2) AS INT) < 10 THEN 'Club ' || substr(home_id, 2) ELSE home END END AS home_club,
@@ -210,11 +215,12 @@ SELECT a.venue, a.club AS one, b.club AS two, a.n AS n_one, b.n AS n_two FROM h
 WHERE a.core = b.core OR starts_with(a.core, b.core || ' ') OR ends_with(a.core, ' ' || b.core) OR starts_with(b.core, a.core || ' ') OR ends_with(b.core, ' ' || a.core)""",
     "span_anti_join": """WITH e AS (SELECT concat('u', user_id % 10) AS page, event_id AS pos, event_type FROM events), s AS (SELECT page, pos AS a, pos + (pos % 7) * 5 AS b FROM e WHERE event_type = 'error')
 SELECT page, pos, event_type FROM e WHERE event_type <> 'error' AND NOT EXISTS (FROM s WHERE s.page = e.page AND a <= pos AND pos < b)""",
-    "one_sided_names": f"WITH {_WRITTEN} SELECT n_name AS name FROM nation EXCEPT SELECT name FROM w JOIN customer USING (c_custkey) WHERE c_custkey % 5 = 0 AND c_nationkey < 20",
+    "one_sided_names": f"WITH {_WRITTEN} SELECT n_name AS name FROM nation EXCEPT SELECT name FROM w JOIN customer USING (c_custkey) WHERE c_nationkey < 20",
     "entity_resolution": f"WITH {_WRITTEN}, {_NAMES}, {_ARTS} SELECT c_custkey, coalesce(ar.entity, al.entity) AS entity FROM w LEFT JOIN al ON nm = {_NORM.format('w.name')} LEFT JOIN ar ON art = {_NORM.format('w.article')}",
     "canonical_names": f"""WITH {_WRITTEN}, {_NAMES}, c AS (SELECT c_custkey, page, coalesce(entity, name) AS name FROM w LEFT JOIN al ON nm = {_NORM.format('w.name')})
 SELECT c_custkey, page, CASE WHEN page = 'p0' AND name = 'NATION_3' THEN 'NATION_3 (p0)' WHEN page = 'p1' AND name = 'nobody' THEN 'somebody' ELSE name END AS name FROM c""",
-    "unused_aliases": f"WITH {_WRITTEN} SELECT concat('p', n_nationkey % 9) AS page, n_name AS name, n_name AS entity FROM nation WHERE (concat('p', n_nationkey % 9), n_name) NOT IN (SELECT (page, name) FROM w WHERE c_custkey % 10 = 0)",
+    "unused_aliases": f"""WITH {_WRITTEN}, al AS (SELECT concat('p', n_nationkey % 9) AS page, CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' B' ELSE n_name END AS name, n_name AS entity FROM nation)
+SELECT page, name, entity FROM al WHERE (page, name) NOT IN (SELECT (page, name) FROM w)""",
     "contradictory_links": f"""WITH {_WRITTEN}, {_NAMES}, {_ARTS} SELECT DISTINCT page, article, name || ' ( )' AS visible, al.entity AS by_name, ar.entity AS by_article FROM w JOIN al ON nm = {_NORM.format('w.name')} JOIN ar ON art = {_NORM.format('w.article')}
 WHERE name <> '' AND article <> '' AND al.entity <> ar.entity""",
     "amend_update": f"WITH {_AMEND} SELECT m.row_id, CASE WHEN o.page IS NULL THEN m.home ELSE m.away END AS home, CASE WHEN o.page IS NULL THEN m.away ELSE m.home END AS away, CASE WHEN o.page IS NULL THEN m.venue ELSE 'moved' END AS venue FROM m LEFT JOIN (SELECT DISTINCT page, matchday, home, away, hs, aws FROM one) o USING (page, matchday, home, away, hs, aws)",

@@ -52,7 +52,7 @@ def merge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events").selectExpr("concat('u', CAST(user_id % 20 AS STRING)) AS page", "event_id AS pos", "event_type", "concat('Etapa ', CAST(event_id % 6 AS STRING)) AS title")
     heads = ev.where("event_type IN ('error', 'click')").select("page", "pos", F.when(F.col("event_type") == "error", 2).otherwise(3).alias("level"), "title")
-    stages = read(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").selectExpr("concat('u', CAST(o_custkey % 20 AS STRING)) AS page", "'groups' AS phase", "concat('Etapa ', CAST(o_orderkey % 6 AS STRING)) AS section")
+    stages = read(spark, sf_dir, "orders").selectExpr("concat('u', CAST(o_custkey % 20 AS STRING)) AS page", "'groups' AS phase", "concat(CASE WHEN o_orderkey % 4 = 0 THEN 'Etapa ' ELSE 'Otra ' END, CAST(o_orderkey % 6 AS STRING)) AS section")
     return reconcile.table_scopes(ev.where("event_type = 'view'").select("page", "pos"), heads, stages)
 
 
@@ -65,12 +65,12 @@ def closing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def highlights(spark: SparkSession, sf_dir: str) -> DataFrame:
     pub, m = both(spark, sf_dir)
-    accused = m.where("phase = 'groups' and hs > aws and season % 2 = 0 and matchday = 'Fecha 6'").select("page", "row_id", "home", "away")
+    accused = m.where("phase = 'groups' and hs > aws and matchday = 'Fecha 6'").select("page", "row_id", "home", "away")
     return reconcile.unanswered_highlights(accused, pub, m)
 
 
 def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part").where("p_size <= 12")
+    part = read(spark, sf_dir, "part")
     return part.selectExpr("concat(p_name, ' (', p_brand, ')') AS entity", "concat(upper(substr(p_name, 1, 1)), substr(p_name, 2), CASE WHEN p_size % 2 = 0 THEN ' (x)' ELSE '' END) AS name").distinct()
 
 
@@ -100,7 +100,7 @@ def bare_namesakes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bracket_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = matches(spark, sf_dir)
-    legs = m.where("season % 3 = 0 and matchday IN ('Final', 'Fecha 14') and home <> ''").select("page", F.col("home").alias("one"), F.when(F.col("aws") == 5, "Club 77").otherwise(F.col("away")).alias("two"), (F.col("hs") + 3).alias("a"), F.col("aws").alias("b")).distinct()
+    legs = m.where("matchday IN ('Final', 'Fecha 14') and home <> ''").select("page", F.col("home").alias("one"), F.when(F.col("aws") == 5, "Club 77").otherwise(F.col("away")).alias("two"), (F.col("hs") + 3).alias("a"), F.col("aws").alias("b")).distinct()
     waived = m.select("page").distinct().select("page", F.lit("Club 4").alias("one"), F.lit("Club 2").alias("two"))
     return reconcile.bracket_scores(legs, m, waived)
 
@@ -123,7 +123,7 @@ def migrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = spark.createDataFrame([("AF", 1), ("AO", 2), ("NF", 3), ("RF", 4)], "competition string, level int")
-    return reconcile.incompatible_levels(matches(spark, sf_dir).where("matchday = 'Fecha 2'"), given)
+    return reconcile.incompatible_levels(matches(spark, sf_dir), given)
 
 
 def blanked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,14 +190,14 @@ SELECT page, club, min(scope) AS scope FROM g WHERE NOT EXISTS (FROM sides s WHE
     "standings_merge": f"""WITH {PUB} SELECT page, scope, club, pj, gf, gc, g, e, p FROM (SELECT *, 1 AS seq FROM pub UNION ALL SELECT page, scope, club, pj + {_NUM.format("club")} % 3 - 1, 0, gc, g, e, p, 2 FROM pub)
 QUALIFY row_number() OVER (PARTITION BY page, scope, club ORDER BY pj DESC, seq) = 1""",
     "table_scopes": """WITH ev AS (SELECT concat('u', user_id % 20) AS page, event_id AS pos, event_type, concat('Etapa ', event_id % 6) AS title FROM events),
-st AS (SELECT DISTINCT concat('u', o_custkey % 20) AS page, concat('Etapa ', o_orderkey % 6) AS title FROM orders WHERE o_orderkey % 4 = 0),
+st AS (SELECT DISTINCT concat('u', o_custkey % 20) AS page, concat(CASE WHEN o_orderkey % 4 = 0 THEN 'Etapa ' ELSE 'Otra ' END, o_orderkey % 6) AS title FROM orders),
 h AS (SELECT t.page, t.pos, (SELECT arg_max(title, e.pos) FROM ev e WHERE e.page = t.page AND e.pos <= t.pos AND e.event_type = 'error') AS title FROM ev t WHERE event_type = 'view')
 SELECT page, pos, CASE WHEN (page, title) IN (SELECT (page, title) FROM st) THEN title ELSE '' END AS scope FROM h""",
     "rows_that_do_not_close": f"""WITH {PUB}, c AS (SELECT page, scope, club, concat_ws('; ', CASE WHEN {_NUM.format("club")} % 6 = 2 THEN concat('difference ', gf - gc + 1, ' is not ', gf - gc) END, CASE WHEN g + e + p <> pj THEN concat('played ', pj, ' is not ', g + e + p) END) AS why FROM pub) SELECT * FROM c WHERE why <> ''""",
     "unanswered_highlights": f"""WITH {PUB}, ok AS (SELECT DISTINCT page, club FROM cmp WHERE g = o_g AND e = o_e AND p = o_p)
-SELECT page, row_id, home, away FROM m WHERE phase = 'groups' AND hs > aws AND season % 2 = 0 AND matchday = 'Fecha 6'
+SELECT page, row_id, home, away FROM m WHERE phase = 'groups' AND hs > aws AND matchday = 'Fecha 6'
   AND NOT (EXISTS (FROM ok WHERE ok.page = m.page AND ok.club = m.home) AND EXISTS (FROM ok WHERE ok.page = m.page AND ok.club = m.away))""",
-    "namesakes": f"""WITH n AS (SELECT DISTINCT concat(p_name, ' (', p_brand, ')') AS entity, p_name AS name FROM part WHERE p_size <= 12), b AS (SELECT entity, {_BASE} AS base FROM n)
+    "namesakes": f"""WITH n AS (SELECT DISTINCT concat(p_name, ' (', p_brand, ')') AS entity, p_name AS name FROM part), b AS (SELECT entity, {_BASE} AS base FROM n)
 SELECT DISTINCT x.entity, y.entity AS other FROM b x JOIN b y USING (base) WHERE x.entity <> y.entity""",
     "bare_namesakes": f"""WITH {SIDES}, {_NEAR}, linked AS (SELECT DISTINCT page, c AS club FROM m, unnest(['Club 20', 'Club 22 (Sur)', 'Club 1', 'Club 6']) t(c) WHERE page < 'N' OR c <> 'Club 6')
 SELECT DISTINCT page, club, other FROM sides JOIN near ON club = entity ANTI JOIN linked USING (page, club) WHERE other IN ('Club 20', 'Club 22 (Sur)')""",
@@ -207,7 +207,7 @@ nm AS (SELECT o.page, o.club, p.club AS other FROM out o JOIN near ON o.club = e
 SELECT page, 'unknown' AS kind, concat('Club ', n) AS club, '' AS detail FROM b WHERE club IS NULL
 UNION ALL SELECT page, 'namesake', club, string_agg(other, ', ' ORDER BY other) FROM nm GROUP BY page, club
 UNION ALL SELECT page, 'absent', count(*)::VARCHAR, array_to_string(list_sort(list(club))[1:6], ', ') FROM out ANTI JOIN nm USING (page, club) GROUP BY page""",
-    "bracket_scores": f"""WITH {M}, legs AS (SELECT DISTINCT page, home AS one, CASE WHEN aws = 5 THEN 'Club 77' ELSE away END AS two, hs + 3 AS a, aws AS b FROM m WHERE season % 3 = 0 AND matchday IN ('Final', 'Fecha 14') AND home <> ''),
+    "bracket_scores": f"""WITH {M}, legs AS (SELECT DISTINCT page, home AS one, CASE WHEN aws = 5 THEN 'Club 77' ELSE away END AS two, hs + 3 AS a, aws AS b FROM m WHERE matchday IN ('Final', 'Fecha 14') AND home <> ''),
 have AS (SELECT DISTINCT page, {_LEG.format("home", "away", "hs", "aws")} AS leg FROM m), met AS (SELECT page, least(home, away) AS lo, greatest(home, away) AS hi, bool_or(phase = 'knockout') AS ko FROM m GROUP BY ALL)
 SELECT l.page, one, two, a, b, CASE WHEN ko THEN 'other_score' WHEN ko IS NOT NULL THEN 'only_groups' ELSE 'never' END AS kind
 FROM (SELECT x.* FROM (SELECT *, {_LEG.format("one", "two", "a", "b")} AS leg FROM legs) x ANTI JOIN have USING (page, leg)) l
@@ -218,6 +218,6 @@ SELECT page, row_id, CASE WHEN bad THEN '' ELSE matchday END AS matchday, coales
     "regression_counts": f"""WITH {_HALVES} SELECT tournament, season, d0.n AS had, coalesce(d1.n, 0) AS has, d1.n IS NULL AS vanished, 'dated' AS part FROM d0 LEFT JOIN d1 USING (tournament, season) WHERE coalesce(d1.n, 0) < d0.n
 UNION ALL SELECT tournament, season, u0.n, coalesce(u1.n, 0), u1.n IS NULL, 'undated' FROM u0 LEFT JOIN u1 USING (tournament, season) ANTI JOIN mig USING (tournament, season) WHERE coalesce(u1.n, 0) < u0.n""",
     "dated_migrations": f"WITH {_HALVES} SELECT * FROM mig",
-    "incompatible_levels": f"""WITH {SIDES}, r AS (SELECT club, season, competition, CASE competition WHEN 'AF' THEN 1 WHEN 'AO' THEN 2 WHEN 'NF' THEN 3 ELSE 4 END AS level FROM sides WHERE matchday = 'Fecha 2' AND competition IN ('AF', 'AO', 'NF', 'RF'))
+    "incompatible_levels": f"""WITH {SIDES}, r AS (SELECT club, season, competition, CASE competition WHEN 'AF' THEN 1 WHEN 'AO' THEN 2 WHEN 'NF' THEN 3 ELSE 4 END AS level FROM sides WHERE competition IN ('AF', 'AO', 'NF', 'RF'))
 SELECT club, season, max(level) - min(level) AS apart, string_agg(DISTINCT competition, ', ' ORDER BY competition) AS competitions FROM r GROUP BY club, season HAVING max(level) - min(level) >= 2""",
 }

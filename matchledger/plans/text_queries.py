@@ -42,8 +42,8 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     zipped = F.arrays_zip(F.regexp_extract_all("html", F.lit(pattern), 1).alias("a"), F.regexp_extract_all("html", F.lit(pattern), 2).alias("v"))
     # a visible name leads to the page's own path in some pages, so that it is not unique there
     each = read(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), F.explode(zipped).alias("x"))
-    own = each.select("page", F.when((F.col("page") % 3 == 0) & F.col("x.a").contains("t"), F.lower(F.concat("x.a", F.lit("-")))).otherwise(F.col("x.a")).alias("article"), F.substring("x.v", 1, 2).alias("visible"))
-    return entities.page_articles(own.where("visible rlike '^[a-zA-Z]+$' and article rlike '^[ -~]+$'"))
+    own = each.select("page", F.when((F.col("page") % 3 == 0) & F.col("x.a").contains("t"), F.lower(F.concat("x.a", F.lit("-")))).otherwise(F.col("x.a")).alias("article"), F.col("x.v").alias("visible"))
+    return entities.page_articles(own)
 
 
 def asof_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = read(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_nationkey").alias("k"))
+    a = read(spark, sf_dir, "customer").selectExpr("CASE WHEN c_custkey % 2 = 0 THEN c_nationkey ELSE c_nationkey + 9 END AS k")
     b = read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
     part = lambda df, name: df.distinct().select(F.lit(name).alias("op"), "k")
     return part(a.union(b), "union").union(part(a.intersect(b), "intersect")).union(part(a.subtract(b), "except")).union(part(b.subtract(a), "reverse"))
@@ -94,7 +94,7 @@ def first_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "clean_text": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{MESSY} AS raw").select("p_partkey", text.clean(F.col("raw")).alias("clean")),
-    "normalize_name": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(text.normalized(F.substring("text", 1, 300))).alias("name_md5")),
+    "normalize_name": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(text.normalized(F.col("text"))).alias("name_md5")),
     "core_name": lambda s, d: read(s, d, "part").selectExpr("p_partkey", "concat('Ñandú ', p_name, '. (', p_type, ') ', p_brand) AS n").select("p_partkey", text.core_name(F.col("n")).alias("core"), text.base_name(F.concat("n", F.lit(" (x)"))).alias("base")),
     "score_parse": lambda s, d: read(s, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{SCORE} AS told").select("l_orderkey", "l_linenumber", text.score(F.col("told"))["home"].alias("hs"), text.score(F.col("told"))["away"].alias("aws"), text.label_number(F.col("told")).alias("number")),
     "status_case": lambda s, d: read(s, d, "orders").selectExpr("o_orderkey", f"{NOTE} AS note").select("o_orderkey", text.status(F.col("note")).alias("status"), text.unread_ruling(F.col("note")).alias("unread")),
@@ -115,13 +115,15 @@ QUERIES = {
     "first_samples": first_samples,
 }
 
+#: What normalized() does, for ASCII, accents and quotes.
+_NORMALIZED = """trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(regexp_replace(translate(translate(translate({0}, '“”«»', '""""'), '‘’´`', ''''''''''), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ', 'aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY'), '[^\\x00-\\x7F]', '', 'g')), '\\.', ' ', 'g'), '(', ' ('), '\\s*\\(\\s*', ' (', 'g'), '\\s+', ' ', 'g'), ' ')"""
 _MONTH = "CASE month(o_orderdate) WHEN 11 THEN NULL ELSE month(o_orderdate) END"
 _UNFINISHED = "regexp_matches(note, '(?i)suspendid|abandon[oó]|no se present[oó]|interrumpi')"
 _DESK = "regexp_matches(note, '(?i)se le dio por (ganado|perdido)|(mala|indebida) inclusi[oó]n')"
 
 ORACLE_SQL = {
     "clean_text": """SELECT p_partkey, concat(p_name, ' ', p_brand, ' (', p_size % 3, ')', CASE p_size % 4 WHEN 0 THEN ' kept' WHEN 1 THEN ' x' ELSE '' END) AS clean FROM part""",
-    "normalize_name": """SELECT doc_id, md5(trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(regexp_replace(translate(translate(translate(substr(text, 1, 300), '“”«»', '""""'), '‘’´`', ''''''''''), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ', 'aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY'), '[^\\x00-\\x7F]', '', 'g')), '\\.', ' ', 'g'), '(', ' ('), '\\s*\\(\\s*', ' (', 'g'), '\\s+', ' ', 'g'), ' ')) AS name_md5 FROM documents""",
+    "normalize_name": f"SELECT doc_id, md5({_NORMALIZED.format('text')}) AS name_md5 FROM documents",
     "core_name": """SELECT p_partkey, concat('nandu ', p_name, ' ', regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS core, concat('nandu ', p_name, ' (', lower(p_type), ') ', lower(p_brand)) AS base FROM part""",
     "score_parse": """SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN l_suppkey WHEN 2 THEN l_partkey WHEN 3 THEN l_suppkey END::INT AS hs, CASE l_linenumber WHEN 1 THEN l_partkey WHEN 2 THEN l_linenumber WHEN 3 THEN l_partkey END::INT AS aws,
   CASE WHEN l_linenumber = 4 THEN 0 ELSE l_suppkey END::INT AS number FROM lineitem""",
@@ -133,8 +135,8 @@ SELECT o_orderkey, status, note = 'el tribunal decide' AS unread FROM s""",
     "heading_outline": """WITH h AS (SELECT page_id, regexp_extract_all(html, '(?s)<h([1-6])[^>]*>(.*?)</h', 1) AS l, regexp_extract_all(html, '(?s)<h([1-6])[^>]*>(.*?)</h', 2) AS t FROM pages), e AS (SELECT page_id, l, t, unnest(range(len(l))) AS seq FROM h)
 SELECT page_id, seq::INT AS seq, l[seq + 1]::INT AS level, trim(regexp_replace(t[seq + 1], '<[^>]+>', '', 'g'), ' ') AS title FROM e""",
     "link_map_unique": """WITH h AS (SELECT page_id AS page, regexp_extract_all(html, '<a href="([^"]+)">([^<]+)</a>', 1) AS a, regexp_extract_all(html, '<a href="([^"]+)">([^<]+)</a>', 2) AS v FROM pages), e AS (SELECT page, unnest(a) AS a, unnest(v) AS v FROM h),
-l AS (SELECT page, CASE WHEN page % 3 = 0 AND contains(a, 't') THEN lower(a || '-') ELSE a END AS article, substr(v, 1, 2) AS visible FROM e)
-SELECT page, visible, min(article) AS article FROM l WHERE regexp_matches(visible, '^[a-zA-Z]+$') AND regexp_matches(article, '^[ -~]+$') GROUP BY page, visible HAVING count(DISTINCT trim(regexp_replace(replace(lower(article), '.', ' '), '\\s+', ' ', 'g'))) = 1""",
+l AS (SELECT page, CASE WHEN page % 3 = 0 AND contains(a, 't') THEN lower(a || '-') ELSE a END AS article, v AS visible FROM e)
+SELECT page, visible, min(article) AS article FROM l GROUP BY page, visible HAVING count(DISTINCT """ + _NORMALIZED.format("article") + ") = 1",
     "asof_label": "SELECT event_id, user_id, max(CASE WHEN event_type = 'signup' THEN event_id END) OVER (PARTITION BY user_id ORDER BY event_id) AS signup FROM events",
     "bounded_carry": """WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth FROM events), l AS (SELECT *, max(CASE WHEN event_type = 'signup' THEN nth END) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM n)
 SELECT l.event_id, l.user_id, CASE WHEN l.nth < l.b + s.event_id % 4 + 1 THEN s.event_id END AS held FROM l LEFT JOIN n s ON s.user_id = l.user_id AND s.nth = l.b""",
@@ -145,7 +147,7 @@ SELECT l.event_id, l.user_id, CASE WHEN l.nth < l.b + s.event_id % 4 + 1 THEN s.
     "top1": "SELECT c_nationkey, c_mktsegment, c_custkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_acctbal DESC, c_custkey) = 1",
     "ordered_distinct": "SELECT o_custkey, o_orderpriority, min(o_orderkey) AS first_at FROM orders GROUP BY ALL",
     "only_unique_keys": "SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(*) = 1",
-    "set_ops": """WITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_custkey % 2 = 0), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier)
+    "set_ops": """WITH a AS (SELECT DISTINCT CASE WHEN c_custkey % 2 = 0 THEN c_nationkey ELSE c_nationkey + 9 END AS k FROM customer), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier)
 SELECT 'union' AS op, k FROM (SELECT k FROM a UNION SELECT k FROM b) UNION ALL SELECT 'intersect', k FROM (SELECT k FROM a INTERSECT SELECT k FROM b) UNION ALL SELECT 'except', k FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT 'reverse', k FROM (SELECT k FROM b EXCEPT SELECT k FROM a)""",
     "set_tests": """WITH a AS (SELECT DISTINCT c_nationkey AS k, floor(c_acctbal / 2000) AS v FROM customer), b AS (SELECT DISTINCT s_nationkey AS k, floor(s_acctbal / 2000) AS v FROM supplier), k AS (SELECT k FROM a UNION SELECT k FROM b)
 SELECT k, NOT EXISTS (FROM b WHERE b.k = k.k AND NOT EXISTS (FROM a WHERE a.k = b.k AND a.v = b.v)) AS covers,

@@ -30,9 +30,9 @@ MATCH = {
     "date_credit": "''",
 }
 
-#: Another telling of the same matches, as a second source would have them: every third order, with ids, and now and then another score.
+#: Another telling of the same matches, as a second source would have them, with ids, and now and then another score. It tells every third order under another page.
 EXTERNAL = {
-    "page": MATCH["page"],
+    "page": f"CASE WHEN l_orderkey % 3 = 1 THEN concat('other ', {MATCH['page']}) ELSE {MATCH['page']} END",
     "date": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
     "matchday": "CASE WHEN l_orderkey % 6 <> 0 THEN CAST(l_linenumber * 2 AS INT) ELSE 0 END",
     "home": MATCH["home"],
@@ -64,11 +64,11 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def external(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "lineitem").where("l_orderkey % 3 <> 1").selectExpr(*select(EXTERNAL))
+    return read(spark, sf_dir, "lineitem").selectExpr(*select(EXTERNAL))
 
 
 M = f"m AS ({sql(MATCH)})"
-X = f"x AS ({sql(EXTERNAL, where='l_orderkey % 3 <> 1')})"
+X = f"x AS ({sql(EXTERNAL)})"
 #: A row for each side of a match.
 SIDES = f"""{M},
 sides AS (SELECT *, home AS club, away AS rival, hs AS gf, aws AS gc, true AS at_home FROM m UNION ALL SELECT *, away, home, aws, hs, false FROM m)"""

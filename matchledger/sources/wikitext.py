@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchledger.functions import dates, text
-from matchledger.operators.relational import small
 from matchledger.schema import GROUPS, KNOCKOUT
 
 # Fixed values of the pages' language.
@@ -145,7 +144,7 @@ def league_rows(rows: DataFrame, ambiguous: DataFrame) -> DataFrame:
     is_round = ~is_day & (F.col("outside_league") | text.is_round(label))
     numbered = numbered.withColumn("label", F.when(has, label)).withColumn("kind", F.when(has, F.when(is_day, "day").when(is_round, "round").otherwise("group")))
     numbered = numbered.withColumn("group_label", F.when(F.col("kind") == "group", text.cross_group(F.col("label"))))
-    numbered = numbered.join(small(ambiguous.select("page", F.col("label").alias("group_label"), F.lit(True).alias("is_ambiguous"))), ["page", "group_label"], "left")
+    numbered = numbered.join(ambiguous.select("page", F.col("label").alias("group_label"), F.lit(True).alias("is_ambiguous")), ["page", "group_label"], "left")
     set_day = F.when(F.col("kind").isin("day", "round"), F.col("label")).when(F.col("title").isNotNull(), F.when(text.is_round(F.col("title")), F.col("title")).otherwise(""))
     set_round = F.when(F.col("kind") == "round", F.col("label")).when(F.col("kind").isin("day", "group"), "").when(text.is_round(F.col("title")), F.col("title"))
     qualified = F.when(F.col("is_ambiguous") & (F.col("section") != ""), F.concat("section", F.lit(" - "), "group_label")).otherwise(F.col("group_label"))
@@ -230,7 +229,7 @@ def template_rows(pages: DataFrame, outline: DataFrame, about: DataFrame) -> Dat
     found = templates(pages, r"Partidos?\s*\n")
     pairs = F.filter(F.split("body", r"\n\s*\|"), lambda s: s.contains("="))
     fields = F.transform(pairs, lambda s: F.struct(F.lower(F.trim(F.regexp_replace(F.regexp_extract(s, r"(?s)^([^=]*)=", 1), r"^\|+|[\s]+$", ""))).alias("key"), F.trim(F.regexp_extract(s, r"(?s)^[^=]*=(.*)$", 1)).alias("value")))
-    got = found.withColumn("fields", fields).join(small(about), "page")
+    got = found.withColumn("fields", fields).join(about, "page")
     f = lambda name: text.clean(_field(F.col("fields"), name))
     got = got.select("*", text.score(f("resultado")).alias("score"), text.score(f("resultado penalti")).alias("pens"), f("local").alias("home"), f("visita").alias("away")).where("score is not null")
     heads = outline.where("level is not null").select("page", "pos", "level", "title", F.lit(0).alias("kind"))
@@ -267,11 +266,11 @@ def matches(pages: DataFrame, about: DataFrame, keep: Callable[[DataFrame, str],
     tables in sections of rounds. keep may write the lines with what they belong to as a table, which is read often."""
     told = about.select("page", "first_year", "last_year", "from_month", "layout")
     outline = keep(tabled(outlined(lines(pages))), "outline")
-    wide = outline.join(small(told.select("page", "layout")), "page")
+    wide = outline.join(told.select("page", "layout"), "page")
     league = wide.where("layout = 'league'")
 
     in_results = F.when(F.col("results").isNotNull(), F.concat(F.lit("r"), F.col("results.pos")))
-    by_section = table_rows(league, in_results).join(small(told), "page")
+    by_section = table_rows(league, in_results).join(told, "page")
     parent = F.get("under", F.col("results.level") - 1)
     stage = F.get("under", F.least(F.col("results.level"), F.lit(3)) - 1)
     heads = captions(league, in_results)
@@ -286,13 +285,13 @@ def matches(pages: DataFrame, about: DataFrame, keep: Callable[[DataFrame, str],
     is_match = F.lit(False)
     for asked in MATCH_HEADERS:
         is_match = is_match | (F.size(F.array_except(F.lit(list(asked)), "headers")) == 0)
-    rows = table_rows(league, outside).join(small(told), "page").withColumn("section", F.get("under", 2)).withColumn("default_group", F.lit(""))
+    rows = table_rows(league, outside).join(told, "page").withColumn("section", F.get("under", 2)).withColumn("default_group", F.lit(""))
     legs = two_leg_rows(rows, shape.where(is_leg).select("page", "block", "caption", "columns"))
     single = rows.join(shape.where(~is_leg & is_match).select("page", "block", "labelled"), ["page", "block"])
     single = single.withColumn("outside_league", ~F.col("labelled") | text.is_round(F.col("section")) | F.col("section").rlike(KNOCKOUT_STAGE))
     extra = legs.unionByName(league_rows(single, ambiguous.limit(0))).withColumn("kind", F.lit(1))
 
-    by_template = template_rows(pages.join(small(told.where("layout = 'league'").select("page")), "page"), outline, told).withColumn("kind", F.lit(2))
+    by_template = template_rows(pages.join(told.where("layout = 'league'").select("page"), "page"), outline, told).withColumn("kind", F.lit(2))
     key = ["page", "date", "home", "away", "hs", "aws"]
     sure = first.unionByName(by_template)
     every = sure.unionByName(extra)
@@ -302,7 +301,7 @@ def matches(pages: DataFrame, about: DataFrame, keep: Callable[[DataFrame, str],
     kept = ranked.where("kind <> 1 or (not has_sure and nth = 1)").drop("has_sure", "nth")
 
     in_cup = F.when(F.col("cup").isNotNull(), F.concat(F.lit("c"), F.col("cup.pos")))
-    cup = cup_rows(table_rows(wide.where("layout = 'cup'"), in_cup).join(small(told), "page")).withColumn("kind", F.lit(0))
+    cup = cup_rows(table_rows(wide.where("layout = 'cup'"), in_cup).join(told, "page")).withColumn("kind", F.lit(0))
     return kept.unionByName(cup).withColumn("row_id", F.format_string("%s#%d-%08d-%d", "page", F.when(F.col("kind") == 2, 1).otherwise(0), "pos", "leg")).drop("kind", "pos", "leg")
 
 
