@@ -11,19 +11,19 @@ that sorts first. Only the id and text columns are read, so further columns of a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchledger.llm.common import map_arrow, mix, slices
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # of the letter categories: not ½, ², ① or Ⅷ
 
 
 @dataclass(frozen=True)

@@ -99,3 +99,10 @@ def test_toxicity_keeps_the_odds_of_the_classes(spark, docs):
     for per_class in (2000, 100):
         model = toxicity.fit(docs(rows), labels, per_class=per_class)
         assert toxicity.score(docs(rows), model).agg(F.avg("score")).first()[0] == pytest.approx(0.125, abs=0.05)
+
+
+def test_numbers_are_no_letters(spark, docs):
+    """Characters that are numeric but of no letter category leave a text without a letter."""
+    model = langid.fit(docs([(1, "hello there", "en", "a"), (2, "bonjour", "fr", "a")]))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(docs([(1, "½ ² ① Ⅷ 12 _"), (2, "ª")]), model).collect()}
+    assert got[1] == ("und", 0.0) and got[2][0] in ("en", "fr")
