@@ -48,7 +48,7 @@ MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 RULES = BASE + MORE
 
@@ -94,11 +94,16 @@ def _sequence(parts: list[Known]) -> Known:
     return Known(run, ANY) if whole else Known(None, _and(need, frozenset(_grams(s) for s in run)))
 
 
+def _lower(c: str) -> str:
+    """A-Z lowered, as in the texts that trigrams are looked up in."""
+    return c.lower() if c.isascii() else c
+
+
 def _node(kind, value) -> Known:
     if kind is op.LITERAL:
-        return Known(frozenset([chr(value).lower()]), ANY)
+        return Known(frozenset([_lower(chr(value))]), ANY)
     if kind is op.IN and all(k is op.LITERAL for k, _ in value):
-        return Known(frozenset(chr(v).lower() for _, v in value), ANY)
+        return Known(frozenset(_lower(chr(v)) for _, v in value), ANY)
     if kind is op.SUBPATTERN:
         return _sequence([_node(*x) for x in value[3]])
     if kind is op.BRANCH:

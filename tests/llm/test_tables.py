@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -49,6 +50,17 @@ def test_trigram_queries():
     assert secrets.trigram_query("foo[0-9]*barbaz") == [frozenset({"foo", "bar", "arb", "rba", "baz"})]
 
 
+def test_literals_beyond_ascii_and_long_runs(spark, docs):
+    rule = (secrets.Rule("own", "ÉCLAT[0-9]+"),)
+    assert [r["spans"] for r in secrets.scan(docs([(1, "x ÉCLAT12")]), rule).collect()] == [[("own", 2, 9)]]
+    jwt = next(r for r in secrets.RULES if r.kind == "jwt")
+    part = "eyJ" + "a" * 12
+    assert jwt.spans(f"x {part}.{part}.{part} y") == [(2, 49)] and secrets.trigram_query(jwt.pattern)
+    began = time.process_time()
+    assert jwt.spans("eyJ" * 200_000) == []
+    assert time.process_time() - began < 5  # linear: a quadratic scan takes minutes
+
+
 def test_secrets_edges(spark, docs):
     rows = [(1, None), (2, ""), (3, "é TOKEN = 'abcdefgh1' token=short"), (4, "x" * 40 + " " + "0123456789abcdef" * 3), (5, "ghp_" + "Z1" * 20), (6, "paſſword=abcdefghi"), (3, "nothing"), (None, "secret:12345678"), (7, "AKIA" + "Z" * 30000)]
     got = [(r["doc_id"], [(s["kind"], s["start"], s["end"]) for s in r["spans"]]) for r in secrets.scan(docs(rows)).collect()]
@@ -103,6 +115,11 @@ def test_url_rules(spark):
     ]
     index = {r["name"]: r["token"] for r in urlfilter.rarest(spark.createDataFrame([("example.net/en/",), ("b.net/en/",)], "place string"), urlfilter.BASE).collect()}
     assert index["example.net/en/"] == "example" and index["net/"] == "net"
+    table = spark.createDataFrame([(r.name, r.pattern, list(r.tokens) or None, r.verdict, r.rank) for r in urlfilter.RULES], "name string, pattern string, tokens array<string>, verdict string, rank int")
+    table = table.union(spark.createDataFrame([("odd", "x$", None, "block", 0)], table.schema))  # on every URL
+    again = {r["page_id"]: r for r in urlfilter.judge(pages(spark, [(i, u, None) for i, u in enumerate([*urls, "http://e.org/x", "http://ad.e.org/", "http://e.org/wp-login.php", "http://e.org/adslogin"])]), table).collect()}
+    assert all(again[i]["verdict"] == got[i]["verdict"] or (urls[i] or "").endswith("x") for i in range(len(urls)))
+    assert [again[len(urls) + i]["verdict"] for i in range(4)] == ["block", "block", "block", "allow"]
     assert urlfilter.judge(pages(spark, [])).count() == 0
     assert urlfilter.judge(pages(spark, [(1, "http://a.net/", None)] * 3)).count() == 3
 
