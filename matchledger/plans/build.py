@@ -52,12 +52,12 @@ class Built:
     findings: DataFrame
 
 
-def _cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again, so that what follows does not extract pages anew."""
     spark = df.sparkSession
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        return df.cache()
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
     path = f"{at.rstrip('/')}/matchledger-build/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -69,16 +69,16 @@ def findings(df: DataFrame, check: str, severe: bool, *subject) -> DataFrame:
 
 def indexes(given: Inputs) -> tuple[DataFrame, DataFrame | None]:
     """(names, articles) of the registry, written once."""
-    names = _cut(entities.name_index(given.registry), "names")
-    return names, _cut(entities.article_index(given.articles, given.registry), "articles") if given.articles is not None else None
+    names = cut(entities.name_index(given.registry), "names")
+    return names, cut(entities.article_index(given.articles, given.registry), "articles") if given.articles is not None else None
 
 
 def extract(given: Inputs, names: DataFrame, articles: DataFrame | None) -> DataFrame:
     """Matches of the pages with their clubs' own names."""
     about = given.catalog.select("page", F.col("season").alias("first_year"), "last_year", "from_month", "layout")
-    told = _cut(wikitext.matches(given.pages, about, _cut), "extracted")
+    told = cut(wikitext.matches(given.pages, about, cut), "extracted")
     arts = wikitext.links(given.pages)
-    by_page = _cut(entities.page_articles(arts), "links")
+    by_page = cut(entities.page_articles(arts), "links")
     m = told.join(given.catalog.select("page", F.col("tournament").alias("competition"), "season"), "page").withColumn("date_credit", F.lit(""))
     for side in ("home", "away"):
         linked = m.join(by_page.select("page", F.col("visible").alias(side), F.col("article").alias("__art")), ["page", side], "left").withColumn("__art", F.coalesce("__art", F.lit("")))
@@ -124,7 +124,7 @@ def fill_dates(m: DataFrame, given: Inputs, names: DataFrame) -> tuple[DataFrame
             mapping = joins.vote_mapping(m, ext)
             told.append(findings(mapping.where("clash").select("page").distinct(), "id_map_unusable", False, F.lit(credit)))
             ext = joins.named(ext, joins.usable(mapping), names)
-        got = _cut(joins.verified_fill(m, ext, credit, given.arbitrated), "filled")
+        got = cut(joins.verified_fill(m, ext, credit, given.arbitrated), "filled")
         held = got.groupBy("page", "fill").agg(F.count("*").alias("n")).where("fill is not null")
         told.append(held.select("page", F.concat(F.lit("dates_"), "fill").alias("check"), F.lit(False).alias("severe"), F.lit(credit).alias("subject"), text(F.col("n")).alias("detail")))
         m = got.drop("fill")
@@ -138,17 +138,17 @@ def cross_checked(m: DataFrame, given: Inputs, names: DataFrame, articles: DataF
     """Findings of the page's other witnesses: standings, brackets, notes and highlights; none is severe."""
     outline = wikitext.lines(given.pages)
     told = entities.resolve(wikitext.standings(given.pages), "club", "article", names, articles, "entity")
-    told = _cut(told, "standings")
+    told = cut(told, "standings")
     rows = reconcile.table_scopes(told.withColumn("club", F.coalesce("entity", "club")).where("closes"), wikitext.headings(outline), m)
-    table = _cut(reconcile.merged(rows), "tables")
+    table = cut(reconcile.merged(rows), "tables")
     club = F.col("club")
-    bracket = entities.resolve(_cut(wikitext.bracket_slots(given.pages), "slots"), "name", "article", names, articles, "club").select("page", F.col("name").alias("written"), "club").distinct()
-    legs = _cut(wikitext.bracket_legs(given.pages), "legs")
+    bracket = entities.resolve(cut(wikitext.bracket_slots(given.pages), "slots"), "name", "article", names, articles, "club").select("page", F.col("name").alias("written"), "club").distinct()
+    legs = cut(wikitext.bracket_legs(given.pages), "legs")
     for side in ("one", "two"):
         legs = entities.resolve(legs, side, f"{side}_article", names, articles, f"{side}_club")
     legs = legs.where("one_club is not null and two_club is not null").select("page", F.col("one_club").alias("one"), F.col("two_club").alias("two"), "a", "b")
     own_names = entities.alias_rows(given.registry)
-    rows_ = _cut(wikitext.all_rows(given.pages), "rows")
+    rows_ = cut(wikitext.all_rows(given.pages), "rows")
     accused = wikitext.contradicted_highlights(rows_).withColumn("row_id", F.concat_ws(" ", "home", "hs", "aws", "away"))
     parts = [
         findings(reconcile.goals_differ(table, m, given.waivers), "standings_goals", False, club),
@@ -178,13 +178,13 @@ def process(given: Inputs) -> Built:
     names, articles = indexes(given)
     m, problems = amended(extract(given, names, articles).drop("row"), given.amendments)
     blanked = reconcile.false_matchdays(m)
-    m, dates_told = fill_dates(_cut(blanked.drop("blanked"), "amended"), given, names)
-    m = _cut(m, "matches")
+    m, dates_told = fill_dates(cut(blanked.drop("blanked"), "amended"), given, names)
+    m = cut(m, "matches")
     known = given.registry.select(F.col("entity").alias("name"))
     unmatched = problems.select(F.lit("").alias("page"), F.concat(F.lit("amendment_"), "step").alias("check"), F.lit(True).alias("severe"), F.col("amendment").alias("subject"), text(F.col("matched")).alias("detail"))
     told = checks.review(m, known).union(cross_checked(m, given, names, articles)).union(dates_told).union(unmatched)
     told = told.union(findings(blanked.where("blanked").select("page", "row_id"), "matchday_blanked", False, F.col("row_id")))
-    return Built(m, _cut(told, "findings"))
+    return Built(m, cut(told, "findings"))
 
 
 @dataclass(frozen=True)
@@ -208,7 +208,7 @@ def run(spark: SparkSession, given: Inputs, out: str, failed: DataFrame | None =
     if failed is not None and failed.limit(1).count():
         return Outcome(1, {}, None, spark.createDataFrame([], FINDING))
     old = published.read_previous(spark, f"{out}/dated/partition=*/*.csv"), published.read_previous(spark, f"{out}/undated/partition=*/*.csv")
-    before = _cut(old[0].union(old[1]), "before")
+    before = cut(old[0].union(old[1]), "before")
     kept = before.limit(0) if redo else reusable(before, given.catalog)
     have = kept.select(source_page(F.col("source")).alias("url")).distinct()
     todo = given.catalog.join(have, "url", "left_anti")
@@ -218,7 +218,7 @@ def run(spark: SparkSession, given: Inputs, out: str, failed: DataFrame | None =
         built = Built(spark.createDataFrame([], MATCH), spark.createDataFrame([], FINDING))
     if built.findings.where("severe").limit(1).count():
         return Outcome(1, {}, None, built.findings)
-    rows = _cut(kept.unionByName(sink.shaped(built.matches, todo)), "rows")
+    rows = cut(kept.unionByName(sink.shaped(built.matches, todo)), "rows")
     dated, undated = sink.routed(rows)
     excused = reconcile.dated_migrations(dated, undated, *old)
     lost = reconcile.fewer_rows(dated, old[0]).union(reconcile.fewer_rows(undated, old[1], excused))

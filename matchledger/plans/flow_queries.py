@@ -66,9 +66,9 @@ def wiki_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = wiki_pages(spark, sf_dir)
+    pages = build.cut(wiki_pages(spark, sf_dir), "pages")
     about = pages.select("page", F.lit(1996).alias("first_year"), F.lit(None).cast("int").alias("last_year"), F.lit(8).alias("from_month"), F.lit("league").alias("layout"))
-    got = wikitext.matches(pages, about)
+    got = wikitext.matches(pages, about, build.cut)
     return got.select("page", "date", "home", "away", "hs", "aws", "phase", "grp", "matchday", "section", "venue", "time")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchledger.plans.build import cut
 from matchledger.plans.views import read
 from matchledger.sources import feeds, wikitext
 
@@ -25,7 +26,7 @@ def pages_of(spark: SparkSession, sf_dir: str, line: Column, before: str, after:
     """(page, text): the lines of a page's orders, in their order, between two texts."""
     rows = read(spark, sf_dir, "orders").selectExpr(*(f"{e} AS {c}" for c, e in ROW.items()))
     held = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("k", line.alias("line")))).alias("lines"))  # of one page's range of orders
-    return held.select("page", F.concat(F.lit(before), F.array_join(F.transform("lines", lambda x: x["line"]), ""), F.lit(after)).alias("text"))
+    return cut(held.select("page", F.concat(F.lit(before), F.array_join(F.transform("lines", lambda x: x["line"]), ""), F.lit(after)).alias("text")), "pages")
 
 
 def about(pages: DataFrame, layout: str) -> DataFrame:
@@ -44,7 +45,7 @@ def cup(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.when(c("k") % 6 == 1, "-").when(c("k") % 5 == 0, told(c("a"), "-", c("a"), " <small>(5)</small> - <small>(4)</small>")).otherwise(told(c("a"), "-", c("b")))
     line = told("|-\n| ", c("d"), " de marzo || Ground ", c("b"), " || ", c("home"), " || ", score, " || ", c("away"), "\n")
     pages = pages_of(spark, sf_dir, line, '== Octavos de final ==\n{| class="wikitable"\n! Fecha !! Estadio !! Equipo 1 !! Res. !! Equipo 2\n', "|}\n")
-    return wikitext.matches(pages, about(pages, "cup")).select("page", "date", "venue", "home", "away", "hs", "aws", "hpens", "apens", "matchday", "phase")
+    return wikitext.matches(pages, about(pages, "cup"), cut).select("page", "date", "venue", "home", "away", "hs", "aws", "hpens", "apens", "matchday", "phase")
 
 
 def two_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def two_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = told("|-\n|", c("home"), " ", c("k"), "\n|", c("a"), "-", c("b"), "\n|", c("b"), "–", c("a"), "\n|", c("away"), "\n")
     before = "== Torneo Clausura ==\n=== Llave ===\n{| class=\"wikitable\"\n|+ style=\"x\"| '''Final 10 y 17 de junio'''\n|-\n! Local - Ida\n! Ida\n! Vuelta\n! Local - Vuelta\n"
     pages = pages_of(spark, sf_dir, line, before, "|}\n")
-    return wikitext.matches(pages, about(pages, "league")).select("page", "date", "home", "away", "hs", "aws", "phase", "matchday", "section")
+    return wikitext.matches(pages, about(pages, "league"), cut).select("page", "date", "home", "away", "hs", "aws", "phase", "matchday", "section")
 
 
 def match_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ def match_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c("k") % 5 == 0, "|resultado penalti = 4 - 3\n").otherwise(""), "}}\n",
     )
     pages = pages_of(spark, sf_dir, line, "== Torneo Clausura ==\n==== Final ====\n")
-    return wikitext.matches(pages, about(pages, "league")).select("page", "date", "venue", "home", "away", "hs", "aws", "hpens", "apens", "phase", "matchday", "section")
+    return wikitext.matches(pages, about(pages, "league"), cut).select("page", "date", "venue", "home", "away", "hs", "aws", "hpens", "apens", "phase", "matchday", "section")
 
 
 def rowspans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +72,7 @@ def rowspans(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = told("|-\n| ", c("home"), " || ", c("a"), " - ", c("b"), " || ", c("away"), " || Ground || ", day, " || 16:00", note, "\n")
     before = '== Torneo Apertura ==\n=== Resultados ===\n{| class="wikitable"\n! colspan="6" | Interzonales\n|-\n! Local !! Resultado !! Visitante !! Estadio !! Fecha !! Hora\n'
     pages = pages_of(spark, sf_dir, line, before, "|}\n")
-    return wikitext.matches(pages, about(pages, "league")).select("page", "date", "time", "home", "away", "hs", "aws", "status", "grp", "section")
+    return wikitext.matches(pages, about(pages, "league"), cut).select("page", "date", "time", "home", "away", "hs", "aws", "status", "grp", "section")
 
 
 def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
