@@ -108,15 +108,21 @@ def once_per_matchday(m: DataFrame) -> DataFrame:
     return finding(got, "twice_a_matchday", True, F.concat_ws(" / ", "section", "grp", "matchday"), F.col("shown"))
 
 
+#: Missing matchdays in a row up to which each is told.
+LONG_GAP = 50
+
+
 def numbered(m: DataFrame) -> DataFrame:
     return m.where(F.col("phase") == GROUPS).withColumn("n", label_number(F.col("matchday"))).where("n > 0")
 
 
 def matchday_gaps(m: DataFrame) -> DataFrame:
-    """Numbers, and ranges of numbers, that are missing between a page's first matchday and its last."""
+    """Numbers that are missing between a page's first matchday and its last; a gap of over LONG_GAP numbers is told by its ends, so that no label builds a long list."""
     following = F.lead("n").over(Window.partitionBy("page").orderBy("n"))
     days = numbered(m).select("page", "n").distinct().withColumn("next", following)
-    lack = F.when(F.col("next") == F.col("n") + 2, (F.col("n") + 1).cast("string")).when(F.col("next") > F.col("n") + 2, text(F.col("n") + 1, "-", F.col("next") - 1))
+    first, last = F.col("n") + 1, F.col("next") - 1
+    each = F.array_join(F.transform(F.sequence(first, last), lambda k: k.cast("string")), ", ")
+    lack = F.when(last - first + 1 > LONG_GAP, text(first, "-", last)).when(last >= first, each)
     told = F.collect_list(F.when(lack.isNotNull(), F.struct("n", lack.alias("lack"))))  # of distinct matchdays
     got = days.groupBy("page").agg(F.min("n").alias("first"), F.max("n").alias("last"), F.array_sort(told).alias("of")).where("size(of) > 0")
     return finding(got, "matchday_gap", False, text(F.col("first"), "-", F.col("last")), F.array_join(F.transform("of", lambda x: x["lack"]), ", "))

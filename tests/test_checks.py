@@ -51,6 +51,8 @@ def test_checks_fire(spark):
 def test_gaps_and_years(spark):
     rows = [{"home": "A", "away": "B", "matchday": f"Fecha {n}", "date": d} for n, d in ((1, "2000-03-01"), (2, "2000-03-08"), (5, "1999-03-09"), (5, "2000-03-10"), (5, "1999-03-11"))]
     assert found(checks.matchday_gaps(frame(spark, rows))) == [("matchday_gap", "1-5", "3, 4")]
+    far = [*rows, {"home": "A", "away": "B", "matchday": "Fecha 2000000000", "date": "2000-03-12"}]
+    assert found(checks.matchday_gaps(frame(spark, far))) == [("matchday_gap", "1-2000000000", "3, 4, 6-1999999999")]
     assert found(checks.year_order(frame(spark, rows))) == [("year_order", "5 after 2", "1999-03-11 2000-03-08")]
     even = [{"home": "A", "away": "B", "matchday": "Fecha 1", "date": f"2000-01-0{k}"} for k in (4, 1, 3, 2)]
     assert checks.upper_medians(frame(spark, even)).first()["mid"] == "2000-01-03"
