@@ -93,39 +93,43 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     """Each document against its edited text (the last quarter replaced by the beginning of the document with the next id; after the last comes the first) and against that next document.
 
     Rows are range-partitioned by id and sorted (null ids first; equal ids by a hash of the text). A task knows the
-    next row of all its rows but the last, so it hands out its first and last row's texts, and one row for each
-    partition is enough to finish the last ones."""
+    next row of all its rows but the last, so it hands out its first and last row's texts with its number. A window over
+    these numbers (no texts) tells which partition comes next, and a join on it brings each last text the first text
+    of that partition."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["id"]
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, "id").sortWithinPartitions("id", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(n, "id").sortWithinPartitions("id", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
 
-    def batch_of(ids: list, id_type: pa.DataType, got: dict, head: list, tail: list) -> pa.RecordBatch:
+    def batch_of(ids: list, id_type: pa.DataType, got: dict, part: int, head: list, tail: list) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
         cols = [pa.array(v, t) for v, t in zip(got.values(), kinds, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(ids, id_type), *cols, pa.array(head, pa.string()), pa.array(tail, pa.string())], ["id", *got, "head", "tail"])
+        ends = [pa.array([part] * len(ids), pa.int32()), pa.array(head, pa.string()), pa.array(tail, pa.string())]
+        return pa.RecordBatch.from_arrays([pa.array(ids, id_type), *cols, *ends], ["id", *got, "part", "head", "tail"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, begun, id_type = [], [], False, None
+        ids, texts, begun, id_type, part = [], [], False, None, 0
         for b in batches:
-            ids, texts, id_type = ids + b.column("id").to_pylist(), texts + b.column("text").to_pylist(), b.column("id").type
+            if not b.num_rows:
+                continue
+            ids, texts, id_type, part = ids + b.column("id").to_pylist(), texts + b.column("text").to_pylist(), b.column("id").type, b.column("part")[0].as_py()
             for i, j in slices(texts[:-1]):
-                yield batch_of(ids[i:j], id_type, _compared(texts[i:j], texts[i + 1 : j + 1]), [texts[0] if not (begun or i or k) else None for k in range(j - i)], [None] * (j - i))
+                yield batch_of(ids[i:j], id_type, _compared(texts[i:j], texts[i + 1 : j + 1]), part, [texts[0] if not (begun or i or k) else None for k in range(j - i)], [None] * (j - i))
             begun = begun or len(texts) > 1
             ids, texts = ids[-1:], texts[-1:]
         if ids:
-            yield batch_of(ids, id_type, dict.fromkeys((x.split()[0] for x in _DIGEST.split(", ")), [None]), [None if begun else texts[0]], texts)
+            yield batch_of(ids, id_type, dict.fromkeys((x.split()[0] for x in _DIGEST.split(", ")), [None]), part, [None if begun else texts[0]], texts)
 
-    done = cut(ordered.mapInArrow(run, f"id {kind}, {_DIGEST}, head string, tail string"), "compared")
-    # at most two rows for each partition
-    edge = done.where("head is not null or tail is not null").select("id", "head", "tail", F.col("head").isNull().alias("last"))
-    order = Window.orderBy("id", "last")
-    follow = F.coalesce(F.lead("head").over(order), F.first("head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    edge = edge.withColumn("following", follow).where("tail is not null").select("id", "tail", "following")
+    done = cut(ordered.mapInArrow(run, f"id {kind}, {_DIGEST}, part int, head string, tail string"), "compared")
+    heads = done.where("head is not null").select(F.col("part").alias("next"), F.col("head").alias("following"))  # one row for each partition
+    order = Window.orderBy("part")
+    ends = done.where("tail is not null")
+    parts = ends.select("part").withColumn("next", F.coalesce(F.lead("part").over(order), F.first("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    edge = ends.select("id", "part", "tail").join(parts, "part").join(heads, "next").select("id", "tail", "following")
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
         got = _compared(batch.column("tail").to_pylist(), batch.column("following").to_pylist())
-        one = batch_of(batch.column("id").to_pylist(), batch.column("id").type, got, [None] * batch.num_rows, [None] * batch.num_rows)
+        one = batch_of(batch.column("id").to_pylist(), batch.column("id").type, got, 0, [None] * batch.num_rows, [None] * batch.num_rows)
         return one.select(["id", *got])
 
-    return done.where("tail is null").drop("head", "tail").union(map_arrow(edge, finish, f"id {kind}, {_DIGEST}")).withColumnRenamed("id", id_col)
+    return done.where("tail is null").drop("part", "head", "tail").union(map_arrow(edge, finish, f"id {kind}, {_DIGEST}")).withColumnRenamed("id", id_col)

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 
 from matchledger.llm import fingerprints as fp
+from matchledger.llm.common import Words, mix
 
 
 def jaccard(a, b, k=5):
@@ -34,6 +36,61 @@ def test_likeness_estimates_jaccard():
     assert set(fp.pack(low)[3]) == {"0"} and len(fp.pack(low)[0]) == 256
 
 
+def one_by_one(text, bins=fp.BINS, bits=fp.BITS, k=fp.SHINGLE):
+    """A text's low bits, bin by bin: the least remainder of the hashes that fall there, else that of the first full bin that its attempts name."""
+    word = {}
+    tokens = re.findall(r"[^\W_]+", text.lower())
+    for w in tokens:
+        word[w] = int(Words([w]).hash[0])
+    m64 = (1 << 64) - 1
+    one = lambda x: int(mix(np.array([x & m64], np.uint64))[0])
+    held = {}
+    for i in range(max(len(tokens) - k + 1, min(len(tokens), 1))):
+        h = 0
+        for w in tokens[i : i + k]:
+            h = one(h * 0x9E3779B97F4A7C15 + word[w])
+        at, rest = h >> (64 - 8), h & ((1 << 56) - 1)
+        held[at] = min(rest, held.get(at, rest))
+    if not held:
+        return [0] * bins
+    out = []
+    for b in range(bins):
+        at, attempt = b, 0
+        while at not in held:
+            attempt += 1
+            at = one(b + attempt * 0x9E3779B97F4A7C15) % bins
+        out.append(one(held[at]) & ((1 << bits) - 1))
+    return out
+
+
+def test_sketch_against_one_by_one():
+    rng = random.Random(3)
+    texts = ["", "one", "a b c d", " ".join(f"w{rng.randrange(60)}" for _ in range(300)), " ".join(f"x{i}" for i in range(4000)), "same line of five words " * 50]
+    low, has = fp.sketch(texts)
+    assert has.tolist() == [False] + [True] * 5
+    for t, row in zip(texts, low.tolist(), strict=True):
+        assert row == one_by_one(t)
+
+
+def test_more_partitions_than_rows(spark, docs):
+    """Partitions without rows are skipped when the next text is looked up, and the last is followed by the first."""
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        rows = [(i * 10, f"text number {i} has some words of its own") for i in range(6)] + [(10, "text number 1 again")]
+        got = fp.with_next(docs(rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    assert len(got) == 7
+    for r in got:
+        if r["doc_id"] not in (0, 10):
+            t, nxt = rows[r["doc_id"] // 10][1], rows[(r["doc_id"] // 10 + 1) % 6][1]
+            q = len(t) // 4
+            edited = t[: len(t) - q] + nxt[:q]
+            assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+            (a, ha), (e, he) = fp.sketch([t]), fp.sketch([edited])
+            assert r["near_edited"] == pytest.approx(fp.likeness(a, e, ha, he)[0]) and r["edited_fingerprint"] == fp.pack(e)[0]
+
+
 def test_pack_is_big_endian():
     assert fp.pack(np.array([[1, 15, 0, 10]], np.uint8)) == ["1f0a"]
 

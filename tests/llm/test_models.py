@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -80,6 +82,24 @@ def test_language_held_out(spark):
     assert got.where("score < 0 or score > 1").count() == 0
 
 
+def test_language_against_counts_by_hand(spark, docs):
+    """Posteriors of naive Bayes with n-grams counted one by one."""
+    train = [(1, "The cat sat.", "en"), (2, "A dog ran", "en"), (3, "Die Katze saß", "de"), (4, "le chat", "fr")]
+    buckets, sizes, smooth = 1 << 16, (1, 2, 3), 0.5
+
+    def grams(t):
+        t = f" {t.lower()} "
+        return [t[i : i + n] for n in sizes for i in range(len(t) - n + 1)]
+
+    counts = {lang: Counter(g for _, t, own in train if own == lang for g in grams(t)) for lang in ("de", "en", "fr")}
+    asked = {10: "the dog sat", 11: "katze und hund", 12: "chat", 13: "x"}
+    model = langid.fit(docs([(i, t, lang, "a") for i, t, lang in train]), sizes=sizes, buckets=buckets, smooth=smooth)
+    for r in langid.predict(docs(list(asked.items())), model).collect():
+        log_p = {lang: sum(math.log((c[g] + smooth) / (c.total() + smooth * buckets)) for g in grams(asked[r["doc_id"]])) for lang, c in counts.items()}
+        best = max(sorted(log_p), key=log_p.get)
+        assert r["lang_pred"] == best and r["score"] == pytest.approx(1 / sum(math.exp(v - log_p[best]) for v in log_p.values()), rel=1e-3)
+
+
 def test_language_edges(spark, docs):
     train = docs([(1, "the cat and the dog", "en", "a"), (2, "der hund und die katze", "de", "a"), (3, None, "fr", "a"), (4, "le chat", None, "a")])
     model = langid.fit(train)
