@@ -52,13 +52,17 @@ class Built:
     findings: DataFrame
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again, so that what follows does not extract pages anew."""
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the driver and all executors share."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
-    path = f"{at.rstrip('/')}/matchledger-build/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{at.rstrip('/')}/matchledger-build/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again, so that what follows does not extract pages anew."""
+    spark, path = df.sparkSession, folder(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,9 +9,10 @@ from matchledger.operators import checks, joins
 from matchledger.plans import build
 from matchledger.plans.join_queries import ORACLE_SQL as JOIN_SQL
 from matchledger.plans.join_queries import resolved_external
-from matchledger.plans.views import M, matches, read
+from matchledger.plans.views import MATCH, M, SIDES, matches, read, select
 from matchledger.sinks import published as sink
-from matchledger.sources import feeds, wikitext
+from matchledger.sources import feeds, published, wikitext
+from matchledger.streaming import refresh
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,8 +36,7 @@ def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changed_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shaped(spark, sf_dir)
-    new = rows.where("season <> 1997").withColumn("away_score", F.when((F.col("season") == 2000) & (F.col("home_score") == 4), 9).otherwise(F.col("away_score")))
-    return sink.changes(new, rows.where("season <> 1996"))
+    return sink.changes(rescored(rows), rows.where("season <> 1996"))
 
 
 def reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,37 @@ def pipeline_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.duplicates(got).groupBy("page").agg(F.count("*").alias("n"))
 
 
+def rescored(rows: DataFrame) -> DataFrame:
+    """All seasons but one, and other scores in another."""
+    return rows.where("season <> 1997").withColumn("away_score", F.when((F.col("season") == 2000) & (F.col("home_score") == 4), 9).otherwise(F.col("away_score")))
+
+
+def published_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated rows published by season, and again after changes; what is read back from the files then."""
+    rows = build.cut(sink.routed(shaped(spark, sf_dir))[0], "rows")
+    at = build.folder(spark, "published")
+    sink.write(spark, rows, at)
+    sink.write(spark, rescored(rows), at)
+    return published.read(spark, f"{at}/partition=*/*.csv")
+
+
+def live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides of all matches as a stream that ends, and the standings that it leaves."""
+    source = spark.readStream.schema(read(spark, sf_dir, "lineitem").schema).parquet(f"{sf_dir}/lineitem.parque[t]")
+    at_midnight = "timestamp_seconds(unix_date(CAST(l_shipdate AS DATE)) * 86400L) AS at"
+    m = source.selectExpr(*select(MATCH), at_midnight)
+    side = lambda club, gf, gc: F.struct(F.col(club).alias("club"), F.col(gf).alias("gf"), F.col(gc).alias("gc"))
+    played = m.select("at", "season", F.inline(F.array(side("home", "hs", "aws"), side("away", "aws", "hs"))))
+    out = build.folder(spark, "live")
+    query = refresh.live_standings(played).writeStream.outputMode("complete").foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(f"{out}/rows"))
+    query.option("checkpointLocation", f"{out}/stream").trigger(availableNow=True).start().awaitTermination()
+    since = (F.unix_seconds(F.col("window.start")) / 86400).cast("int").alias("since")
+    return spark.read.parquet(f"{out}/rows").select(since, "season", "club", "pj", "gf", "gc", "g", "e", "p")
+
+
 QUERIES = {
+    "publish_and_read": published_twice,
+    "live_standings": live,
     "shape_for_publish": shaped,
     "route_dated": routed,
     "changed_seasons": changed_seasons,
@@ -96,6 +126,9 @@ _FILL, _FILLED = JOIN_SQL["unique_key_fill"].replace("season = 1998", "false").r
 ORACLE_SQL = {
     "fill_then_check": f"""{_FILL}, filled AS (SELECT{_FILLED}), got AS (SELECT page, coalesce(filled.date, m.date) AS date, home, away FROM m LEFT JOIN filled USING (page, row_id))
 SELECT page, count(*) AS n FROM (SELECT page, date, home, away FROM got WHERE date <> '' GROUP BY ALL HAVING count(*) > 1) GROUP BY page""",
+    "publish_and_read": f"WITH {_SHAPED} SELECT * REPLACE (CASE WHEN season = 2000 AND home_score = 4 THEN 9 ELSE away_score END AS away_score) FROM s WHERE trim(date) <> '' AND season <> 1997",
+    "live_standings": f"""WITH {SIDES.replace("AS season", "AS season, CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) // 30 * 30 AS INT) AS since", 1)}
+SELECT since, season, club, count(*) AS pj, sum(gf)::BIGINT AS gf, sum(gc)::BIGINT AS gc, count(*) FILTER (gf > gc) AS g, count(*) FILTER (gf = gc) AS e, count(*) FILTER (gf < gc) AS p FROM sides GROUP BY since, season, club""",
     "shape_for_publish": f"WITH {_SHAPED} SELECT * FROM s",
     "route_dated": f"WITH {_SHAPED} SELECT season, count(*) AS n, CASE WHEN date = '' THEN 'undated' ELSE 'dated' END AS part FROM s GROUP BY season, part",
     "changed_seasons": f"""WITH {_SHAPED}, n AS (SELECT season, count(*) AS n FROM s GROUP BY season)

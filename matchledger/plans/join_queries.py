@@ -93,6 +93,12 @@ def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entities.page_aliases(rows, "name", aliases)
 
 
+def sure_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that must all be known."""
+    own = written(spark, sf_dir).where("name not in ('', 'nobody')").select("c_custkey", "name")
+    return entities.strict(own, "name", entities.name_index(registry(spark, sf_dir)))
+
+
 def unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = read(spark, sf_dir, "nation").select(F.concat(F.lit("p"), (F.col("n_nationkey") % 9).cast("string")).alias("page"), F.when(F.col("n_nationkey") % 4 == 0, F.concat("n_name", F.lit(" B"))).otherwise(F.col("n_name")).alias("name"), F.col("n_name").alias("entity"))
     return entities.unused_aliases(aliases, written(spark, sf_dir))
@@ -161,6 +167,7 @@ QUERIES = {
     "one_sided_names": lambda s, d: joins.one_sided(written(s, d).withColumn("name", F.when(F.substring_index("name", "_", -1).try_cast("int") >= 20, "nobody").otherwise(F.col("name"))), registry(s, d).withColumnRenamed("entity", "name"), "name"),
     "entity_resolution": resolution,
     "canonical_names": canonical,
+    "sure_names": sure_names,
     "unused_aliases": unused,
     "contradictory_links": contradictions,
     "amend_update": updated,
@@ -219,6 +226,7 @@ SELECT page, pos, event_type FROM e WHERE event_type <> 'error' AND NOT EXISTS (
     "entity_resolution": f"WITH {_WRITTEN}, {_NAMES}, {_ARTS} SELECT c_custkey, coalesce(ar.entity, al.entity) AS entity FROM w LEFT JOIN al ON nm = {_NORM.format('w.name')} LEFT JOIN ar ON art = {_NORM.format('w.article')}",
     "canonical_names": f"""WITH {_WRITTEN}, {_NAMES}, c AS (SELECT c_custkey, page, coalesce(entity, name) AS name FROM w LEFT JOIN al ON nm = {_NORM.format('w.name')})
 SELECT c_custkey, page, CASE WHEN page = 'p0' AND name = 'NATION_3' THEN 'NATION_3 (p0)' WHEN page = 'p1' AND name = 'nobody' THEN 'somebody' ELSE name END AS name FROM c""",
+    "sure_names": f"WITH {_WRITTEN} SELECT w.c_custkey, n_name AS name FROM w JOIN customer USING (c_custkey) JOIN nation ON c_nationkey = n_nationkey WHERE name NOT IN ('', 'nobody')",
     "unused_aliases": f"""WITH {_WRITTEN}, al AS (SELECT concat('p', n_nationkey % 9) AS page, CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' B' ELSE n_name END AS name, n_name AS entity FROM nation)
 SELECT page, name, entity FROM al WHERE (page, name) NOT IN (SELECT (page, name) FROM w)""",
     "contradictory_links": f"""WITH {_WRITTEN}, {_NAMES}, {_ARTS} SELECT DISTINCT page, article, name || ' ( )' AS visible, al.entity AS by_name, ar.entity AS by_article FROM w JOIN al ON nm = {_NORM.format('w.name')} JOIN ar ON art = {_NORM.format('w.article')}
