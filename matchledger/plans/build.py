@@ -6,7 +6,6 @@ amendments, false matchdays before dates are filled, dates before checks.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -18,6 +17,7 @@ from matchledger.operators import amend, checks, entities, joins, reconcile
 from matchledger.operators.checks import text
 from matchledger.schema import FINDING, MATCH
 from matchledger.sinks import published as sink
+from matchledger.sinks.shared import cut, folder  # noqa: F401
 from matchledger.sources import published, wikitext
 
 AMENDMENTS = {
@@ -52,21 +52,6 @@ class Built:
     findings: DataFrame
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the driver and all executors share."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
-    return f"{at.rstrip('/')}/matchledger-build/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read again, so that what follows does not extract pages anew."""
-    spark, path = df.sparkSession, folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def findings(df: DataFrame, check: str, severe: bool, *subject) -> DataFrame:
     return df.select("page", F.lit(check).alias("check"), F.lit(severe).alias("severe"), F.concat_ws(" ", *subject).alias("subject"), F.lit("").alias("detail"))
 
