@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import decontam, fingerprints, langid, mixing, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
+from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
 from matchledger.llm.common import crc_mod, shared_dir, table
 
 
@@ -79,6 +79,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.audit(table(spark, sf_dir, "documents"), lambda f: lowered if f == "text" else F.col(f), crc_mod("doc_id", 3, 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_ids": op8_token_ids,
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL
