@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
+from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, prefix_trie, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
 from matchledger.llm.common import crc_mod, shared_dir, table
 
 
@@ -84,6 +84,13 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"), lambda f: lowered if f == "text" else F.col(f), crc_mod("doc_id", 3, 0))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    base = F.col("conv") - F.pmod("conv", F.lit(20))
+    first = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
+    return prefix_trie.trie(*prefix_trie.rebuilt(own, base, first, 3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -96,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_fingerprints": op10_fingerprints,
     "op11_merkle": op11_merkle,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL
