@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, prefix_trie, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
+from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, piece_ids, prefix_trie, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
 from matchledger.llm.common import crc_mod, shared_dir, table
 
 
@@ -91,6 +91,13 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.rebuilt(own, base, first, 3))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    told = piece_ids.decode(piece_ids.encode(table(spark, sf_dir, "documents"), model), model, to="decoded")
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return told.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash": op2_simhash,
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_merkle": op11_merkle,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL
