@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, piece_ids, prefix_trie, secrets, simhash, sql, tokens, toxicity, urlfilter, warc
+from matchledger.llm import decontam, fingerprints, langid, merkle, mixing, piece_ids, prefix_trie, secrets, simhash, sql, sql_trees, tokens, toxicity, urlfilter, warc
 from matchledger.llm.common import crc_mod, shared_dir, table
 
 
@@ -114,4 +114,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_sentencepiece": op13_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL
+ORACLE_SQL: dict[str, str] = sql.ORACLE_SQL | {"op11_merkle": sql_trees.MERKLE, "op12_prefix_trie": sql_trees.TRIE}
