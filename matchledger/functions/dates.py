@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchledger.functions.text import unaccented
+from matchledger.functions.letters import ascii_letters
 from matchledger.schema import MONTHS
 
 #: The month with which a season that crosses years begins.
 FIRST_MONTH = 8
+# How the pages write days.
 DAY_MONTH = r"(?iu)(\d{1,2})\s*de\s+([a-záéíóúñ]+)(?:\s*de\s+(\d{4}))?"
 PLAYED_ON = r"(?iu)se\s+(?:jug[oó]|jugaron|disput[oó]|disputaron)\s+(?:el\s+)?(\d{1,2}\s*de\s+[a-záéíóúñ]+(?:\s*de\s+\d{4})?)"
 TEMPLATE = r"(?i)\{\{\s*fecha\s*\|\s*(\d{1,2})\s*\|\s*(\d{1,2})\s*\|\s*(\d{4})\s*\}\}"
@@ -19,7 +20,7 @@ LOCAL_ZONE, FILLER_ZONE = "America/Argentina/Buenos_Aires", "Europe/Berlin"
 
 def month_number(name: Column) -> Column:
     months = F.create_map(*(F.lit(x) for kv in MONTHS.items() for x in kv))
-    return months[unaccented(F.lower(name))]
+    return months[ascii_letters(F.lower(name))]
 
 
 def season_date(day: Column, month: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:

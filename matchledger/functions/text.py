@@ -7,16 +7,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from matchledger.functions.letters import ascii_letters
 from matchledger.schema import ROUND_SYNONYMS, ROUNDS
 
-ACCENTED, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ", "aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY"
-
-#: What clean() removes or replaces, in order: (pattern, replacement). The order matters. Fixed values.
+# Marks and phrases of the pages, as they are written there.
+#: Notes, which clean() removes first.
+NOTES = ((r"(?is)<ref[^>]*>.*?</ref>", ""), (r"(?i)<ref[^>]*/>", ""))
+#: Opens a template whose text stays, whatever templates are in it.
+WRAPPER = r"\{\{\s*nowrap\s*\|"
+#: What clean() removes or replaces then, in order: (pattern, replacement). The order matters.
 CLEANING = (
-    (r"(?is)<ref[^>]*>.*?</ref>", ""),
-    (r"(?i)<ref[^>]*/>", ""),
-    (r"(?i)\{\{\s*nowrap\s*\|([^{}]*(?:\{\{[^{}]*\}\}[^{}]*)*)\}\}", "$1"),  # its text stays, with templates inside it
-    (r"(?i)\{\{\s*nowrap\s*\|", ""),  # one that is never closed
     (r"\{\{[^{}]*\}\}", ""),
     (r"(?i)\[\[\s*(?:Archivo|File|Imagen|Image)\s*:[^\]]*\]\]", ""),
     (r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1"),
@@ -41,9 +41,39 @@ ROUND_TITLE = (
 )
 
 
+def _replaced(text: Column, steps: tuple[tuple[str, str], ...]) -> Column:
+    return reduce(lambda c, step: F.regexp_replace(c, step[0], step[1]), steps, text)
+
+
+def unwrapped(text: Column) -> Column:
+    """Text without its wrappers, however deep templates nest in them: each closing pair of braces goes with the last
+    open pair, and those of wrappers are left out. From the first wrapper on that is never closed, only openings are."""
+    tokens = F.regexp_extract_all(text, F.lit(rf"(?is)({WRAPPER}|\{{(?={WRAPPER})|\{{\{{|\}}\}}|[^{{}}]+|.)"), 1)
+    numbered = F.transform(tokens, lambda t, i: F.struct(t.alias("t"), i.alias("i"), (t.startswith("{{") & (F.length(t) > 2)).alias("wraps")))
+    less = lambda stack: F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0)))
+
+    def opened(stack: Column, x: Column) -> Column:
+        mark = F.array(F.struct(x["wraps"].alias("wraps"), x["i"].alias("i")))
+        return F.when(x["t"].startswith("{{"), F.concat(stack, mark)).when(x["t"] == "}}", less(stack)).otherwise(stack)
+
+    left = F.aggregate(numbered, F.array().cast("array<struct<wraps:boolean,i:int>>"), opened)
+    until = F.coalesce(F.get(F.filter(left, lambda x: x["wraps"]), 0)["i"], F.size(tokens))
+
+    def kept(state: Column, x: Column) -> Column:
+        out, stack = state["out"], state["stack"]
+        opens, closes = x["t"].startswith("{{"), x["t"] == "}}"
+        drops = x["wraps"] | (closes & F.coalesce(F.try_element_at(stack, F.lit(-1)), F.lit(False)))
+        after = F.when(opens, F.concat(stack, F.array(x["wraps"] & (x["i"] < until)))).when(closes, less(stack)).otherwise(stack)
+        return F.struct(F.when(drops, out).otherwise(F.concat(out, F.array(x["t"]))).alias("out"), after.alias("stack"))
+
+    start = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<boolean>").alias("stack"))
+    return F.aggregate(numbered, start, kept, lambda s: F.array_join(s["out"], ""))
+
+
 def clean(text: Column) -> Column:
     """The visible text of a cell: without notes, templates, links' targets, tags and marks."""
-    return F.trim(reduce(lambda c, step: F.regexp_replace(c, step[0], step[1]), CLEANING, F.trim(text)))
+    told = _replaced(F.trim(text), NOTES)
+    return F.trim(_replaced(F.when(told.rlike("(?i)" + WRAPPER), unwrapped(told)).otherwise(told), CLEANING))
 
 
 def cell_span(raw: Column) -> Column:
@@ -109,15 +139,11 @@ def capitalised(label: Column) -> Column:
     return F.when(named == "Semifinal", "Semifinales").otherwise(named)
 
 
-def unaccented(text: Column) -> Column:
-    return F.translate(text, ACCENTED, PLAIN)
-
-
 def normalized(name: Column) -> Column:
-    """A name as it is compared: one kind of quotes, no accents, lower case, dots as spaces, single spaces."""
-    quotes = F.translate(F.translate(name, "“”«»", '""""'), "‘’´`", "''''")
-    low = F.lower(F.regexp_replace(unaccented(quotes), r"[^\x00-\x7F]", ""))
-    return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"\.", " "), r"\s*\(\s*", " ("), r"\s+", " "))
+    """A name as it is compared: one kind of apostrophe, ASCII letters in lower case, dots as spaces, single spaces."""
+    low = F.lower(ascii_letters(F.translate(name, "`’´", "'''")))
+    tight = F.regexp_replace(F.regexp_replace(F.regexp_replace(low, r"\.", " "), r"\s*\(\s*", " ("), r"\s*\)", ")")
+    return F.trim(F.regexp_replace(tight, r"\s+", " "))
 
 
 def base_name(name: Column) -> Column:
@@ -127,7 +153,7 @@ def base_name(name: Column) -> Column:
 
 def core_name(name: Column) -> Column:
     """Letters and digits of a name outside of parentheses."""
-    plain = F.lower(F.regexp_replace(unaccented(name), r"[^\x00-\x7F]", ""))
+    plain = F.lower(ascii_letters(name))
     return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(plain, r"\(.*?\)", " "), "[^a-z0-9 ]+", " "), " +", " "))
 
 
@@ -170,9 +196,3 @@ def source_page(source: Column) -> Column:
 def pair_key(a: Column, b: Column) -> Column:
     """One key for two names in either order."""
     return F.concat(F.least(a, b), F.lit("\t"), F.greatest(a, b))
-
-
-def unescaped(text: Column) -> Column:
-    """The common character entities of HTML as characters."""
-    pairs = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"), ("&uacute;", "ú"), ("&ntilde;", "ñ"), ("&amp;", "&"))
-    return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, text)

@@ -111,43 +111,46 @@ def filled(rows: DataFrame, columns: int) -> DataFrame:
     none = F.array_repeat(F.struct(F.lit(0).alias("left"), F.lit("").alias("cell")), columns)
 
     def step(state: Column, r: Column) -> Column:
-        free = [(state["pend"][c]["left"] <= 0).cast("int") for c in range(columns)]
-        at = [sum(free[:c], F.lit(0)) for c in range(columns)]
-        cells = [F.when(free[c] == 0, state["pend"][c]["cell"]).otherwise(F.coalesce(F.get(r["cells"], at[c]), F.lit(""))) for c in range(columns)]
-        span = [text.cell_span(cells[c]) for c in range(columns)]
-        left = [F.when(free[c] == 0, state["pend"][c]["left"] - 1).when(at[c] < F.size(r["cells"]), span[c] - 1).otherwise(0) for c in range(columns)]
-        pend = F.array(*(F.struct(left[c].cast("int").alias("left"), cells[c].alias("cell")) for c in range(columns)))
-        done = F.concat(state["done"], F.array(F.struct(r["row_no"].alias("row_no"), F.array(*cells).alias("raw"))))
-        return F.struct(pend.alias("pend"), done.alias("done"))
+        free = lambda p: p["left"] <= 0
+
+        def column(p: Column, c: Column) -> Column:
+            at = F.size(F.filter(F.slice(state["pend"], F.lit(1), c), free))  # free columns before this one
+            own = F.get(r["cells"], at)
+            span = F.when(own.isNotNull(), text.cell_span(own) - 1).otherwise(0)
+            return F.when(free(p), F.struct(span.alias("left"), F.coalesce(own, F.lit("")).alias("cell"))).otherwise(F.struct((p["left"] - 1).alias("left"), p["cell"].alias("cell")))
+
+        pend = F.transform(state["pend"], column)
+        return F.struct(pend.alias("pend"), F.concat(state["done"], F.array(F.struct(r["row_no"].alias("row_no"), pend["cell"].alias("raw")))).alias("done"))
 
     start = F.struct(none.alias("pend"), F.array().cast("array<struct<row_no:bigint,raw:array<string>>>").alias("done"))
     carried = held.select("page", "block", "carry", F.inline(F.aggregate("rs", start, step, lambda s: s["done"])))
     return own.drop("cells").join(carried, ["page", "block", "carry", "row_no"])
 
 
-def _match(df: DataFrame, cols: dict[str, Column]) -> DataFrame:
+def _match(df: DataFrame, cols: dict[str, Column], *more: str) -> DataFrame:
     """The columns of working matches; '' or null for those that are not given."""
     base = {
         "date": F.lit(""), "time": F.lit(""), "hpens": F.lit(None).cast("int"), "apens": F.lit(None).cast("int"), "phase": F.lit(KNOCKOUT), "grp": F.lit(""), "matchday": F.lit(""),
         "section": F.lit(""), "venue": F.lit(""), "neutral": F.lit(None).cast("boolean"), "status": F.lit(""),
     } | cols
     order = ["page", "pos", "leg", "date", "time", "home", "away", "hs", "aws", "hpens", "apens", "phase", "grp", "matchday", "section", "venue", "neutral", "status", "row"]
-    return df.select("page", F.col("pos"), base.pop("leg", F.lit(0)).alias("leg"), *(base.get(c, F.col(c) if c in df.columns else F.lit("")).alias(c) for c in order[3:]))
+    return df.select("page", F.col("pos"), base.pop("leg", F.lit(0)).alias("leg"), *(base.get(c, F.col(c) if c in df.columns else F.lit("")).alias(c) for c in order[3:]), *more)
 
 
 def league_rows(rows: DataFrame, ambiguous: DataFrame) -> DataFrame:
-    """Matches of one-leg tables. rows: table_rows() with section, default_group, outside_league and about's columns."""
+    """Matches of one-leg tables. rows: table_rows() with section, default_group, outside_league, qualifies (whether an
+    ambiguous label is told with its section), kind and about's columns."""
     numbered = rows.withColumn("labels", labels(F.col("row")))
     label = F.try_element_at("labels", F.lit(-1))
     has = F.size("labels") > 0
     is_day = label.rlike(MATCHDAY) & ~F.col("outside_league")
     is_round = ~is_day & (F.col("outside_league") | text.is_round(label))
-    numbered = numbered.withColumn("label", F.when(has, label)).withColumn("kind", F.when(has, F.when(is_day, "day").when(is_round, "round").otherwise("group")))
-    numbered = numbered.withColumn("group_label", F.when(F.col("kind") == "group", text.cross_group(F.col("label"))))
+    numbered = numbered.withColumn("label", F.when(has, label)).withColumn("label_kind", F.when(has, F.when(is_day, "day").when(is_round, "round").otherwise("group")))
+    numbered = numbered.withColumn("group_label", F.when(F.col("label_kind") == "group", text.cross_group(F.col("label"))))
     numbered = numbered.join(ambiguous.select("page", F.col("label").alias("group_label"), F.lit(True).alias("is_ambiguous")), ["page", "group_label"], "left")
-    set_day = F.when(F.col("kind").isin("day", "round"), F.col("label")).when(F.col("title").isNotNull(), F.when(text.is_round(F.col("title")), F.col("title")).otherwise(""))
-    set_round = F.when(F.col("kind") == "round", F.col("label")).when(F.col("kind").isin("day", "group"), "").when(text.is_round(F.col("title")), F.col("title"))
-    qualified = F.when(F.col("is_ambiguous") & (F.col("section") != ""), F.concat("section", F.lit(" - "), "group_label")).otherwise(F.col("group_label"))
+    set_day = F.when(F.col("label_kind").isin("day", "round"), F.col("label")).when(F.col("title").isNotNull(), F.when(text.is_round(F.col("title")), F.col("title")).otherwise(""))
+    set_round = F.when(F.col("label_kind") == "round", F.col("label")).when(F.col("label_kind").isin("day", "group"), "").when(text.is_round(F.col("title")), F.col("title"))
+    qualified = F.when(F.col("is_ambiguous") & F.col("qualifies") & (F.col("section") != ""), F.concat("section", F.lit(" - "), "group_label")).otherwise(F.col("group_label"))
     header = F.col("row").rlike(r"^\s*!")
     set_neutral = F.when(header & F.col("row").rlike(r"(?i)\bequipos?\s*1\b"), True).when(header & F.col("row").rlike(r"(?i)\blocal\b"), False)
     upto = Window.partitionBy("page", "block").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -155,10 +158,10 @@ def league_rows(rows: DataFrame, ambiguous: DataFrame) -> DataFrame:
     start = F.when(F.col("outside_league"), F.coalesce(F.nullif("default_group", F.lit("")), "section")).otherwise("")
     state = numbered.select(
         "*", held(set_day, start).alias("matchday"), held(set_round, start).alias("round"), held(qualified, F.col("default_group")).alias("group"), held(set_neutral, F.lit(False)).alias("neutral_table"),
-        F.sum((F.col("kind").isNotNull() | F.col("title").isNotNull()).cast("int")).over(upto).alias("carry"),
+        F.sum((F.col("label_kind").isNotNull() | F.col("title").isNotNull()).cast("int")).over(upto).alias("carry"),
     )
-    full = filled(state, 6)
-    raw = lambda i: text.cell_text(F.get("raw", i))
+    full = filled(state, 6).withColumn("cells", F.transform("raw", text.cell_text))
+    raw = lambda i: F.get("cells", i)
     got = full.select("*", raw(0).alias("home"), text.score(raw(1)).alias("score"), raw(2).alias("away"), text.shootout(F.get("raw", 1)).alias("pens")).where("score is not null and home <> '' and away <> ''")
     scheduled = dates.iso_date(raw(4), F.col("first_year"), F.col("last_year"), F.col("from_month"))
     played = dates.played_date(F.col("row"), scheduled, F.col("first_year"), F.col("last_year"), F.col("from_month"))
@@ -167,12 +170,12 @@ def league_rows(rows: DataFrame, ambiguous: DataFrame) -> DataFrame:
         "date": F.when(played != "", played).otherwise(scheduled), "time": raw(5), "hs": F.col("score.home"), "aws": F.col("score.away"), "hpens": F.col("pens.home"), "apens": F.col("pens.away"),
         "phase": F.when(in_round, KNOCKOUT).otherwise(GROUPS), "grp": F.when(in_round, "").otherwise(F.col("group")), "matchday": F.col("matchday"), "section": F.col("section"),
         "venue": raw(3), "neutral": F.when(F.col("neutral_table"), True), "status": text.status(F.col("row")), "row": F.col("row"),
-    })
+    }, "kind")
 
 
-def ambiguous_labels(rows: DataFrame) -> DataFrame:
+def ambiguous_labels(outline: DataFrame) -> DataFrame:
     """(page, label): labels of groups that stand under more than one level-2 section."""
-    each = rows.select("page", F.get("under", 2).alias("section"), F.explode(labels(F.col("row"))).alias("label")).where(~(F.col("label").rlike(MATCHDAY) | text.is_round(F.col("label"))))
+    each = outline.where(F.col("line").rlike(LABEL)).select("page", F.get("under", 2).alias("section"), F.explode(labels(F.col("line"))).alias("label")).where(~(F.col("label").rlike(MATCHDAY) | text.is_round(F.col("label"))))
     named = each.select("page", "section", text.as_group(text.cross_group(F.col("label"))).alias("label")).where("label <> ''")
     return named.groupBy("page", "label").agg(F.count_distinct("section").alias("n")).where("n > 1").select("page", "label")
 
@@ -199,7 +202,8 @@ def two_leg_rows(rows: DataFrame, captions: DataFrame) -> DataFrame:
 def cup_rows(rows: DataFrame) -> DataFrame:
     """Matches of cup tables (date, venue, home, score, away) in sections of rounds."""
     own = rows.where("not row rlike '^\\\\s*!'").withColumn("cells", text.row_cells(F.col("row"))).where("size(cells) >= 5")
-    raw = lambda i: text.cell_text(F.get("cells", i))
+    own = own.withColumn("told", F.transform(F.slice("cells", 1, 5), text.cell_text))
+    raw = lambda i: F.get("told", i)
     got = own.select("*", raw(2).alias("home"), text.score(raw(3)).alias("score"), raw(4).alias("away"), text.shootout(F.get("cells", 3)).alias("pens")).where("score is not null and home <> '' and away <> ''")
     name = text.capitalised(F.regexp_extract("cup.title", ROUND_HEADING, 1))
     return _match(got, {"date": dates.iso_date(raw(0), F.col("first_year"), F.col("last_year"), F.col("from_month")), "venue": raw(1), "hs": F.col("score.home"), "aws": F.col("score.away"), "hpens": F.col("pens.home"), "apens": F.col("pens.away"), "matchday": name, "row": F.col("row")})
@@ -230,7 +234,9 @@ def template_rows(pages: DataFrame, outline: DataFrame, about: DataFrame) -> Dat
     pairs = F.filter(F.split("body", r"\n\s*\|"), lambda s: s.contains("="))
     fields = F.transform(pairs, lambda s: F.struct(F.lower(F.trim(F.regexp_replace(F.regexp_extract(s, r"(?s)^([^=]*)=", 1), r"^\|+|[\s]+$", ""))).alias("key"), F.trim(F.regexp_extract(s, r"(?s)^[^=]*=(.*)$", 1)).alias("value")))
     got = found.withColumn("fields", fields).join(about, "page")
-    f = lambda name: text.clean(_field(F.col("fields"), name))
+    # the raw day is read as it is, too
+    got = got.withColumn("told", F.transform("fields", lambda f: F.struct(f["key"].alias("key"), text.clean(f["value"]).alias("value"))))
+    f = lambda name: _field(F.col("told"), name)
     got = got.select("*", text.score(f("resultado")).alias("score"), text.score(f("resultado penalti")).alias("pens"), f("local").alias("home"), f("visita").alias("away")).where("score is not null")
     heads = outline.where("level is not null").select("page", "pos", "level", "title", F.lit(0).alias("kind"))
     marks = heads.unionByName(got.select("page", "pos", F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("title"), F.lit(1).alias("kind")))
@@ -258,43 +264,46 @@ def captions(tabled_lines: DataFrame, block: Column) -> DataFrame:
     return got.select("page", "block", F.coalesce("caption", F.lit("")).alias("caption"), F.array_distinct(F.transform("cs", lambda c: c["name"])).alias("columns"), "headers", "labelled")
 
 
-def matches(pages: DataFrame, about: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
+def outline_of(pages: DataFrame) -> DataFrame:
+    """Lines with what they belong to; write it once where several readers use it."""
+    return tabled(outlined(lines(pages)))
+
+
+def matches(pages: DataFrame, about: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df, outline: DataFrame | None = None) -> DataFrame:
     """All matches of the pages, in the columns of working rows but for competition and season; row_id is page, place and leg.
 
     League pages: sections of results, tables outside of them (two-leg ones first; else those whose header is that of
     matches), and match templates. A row from a table outside is left out if the page already has it. Cup pages: the
-    tables in sections of rounds. keep may write the lines with what they belong to as a table, which is read often."""
+    tables in sections of rounds. keep may write the lines with what they belong to as a table, which is read often;
+    outline is that table where there is one."""
     told = about.select("page", "first_year", "last_year", "from_month", "layout")
-    outline = keep(tabled(outlined(lines(pages))), "outline")
+    outline = keep(outline_of(pages), "outline") if outline is None else outline
     wide = outline.join(told.select("page", "layout"), "page")
     league = wide.where("layout = 'league'")
 
-    in_results = F.when(F.col("results").isNotNull(), F.concat(F.lit("r"), F.col("results.pos")))
-    by_section = table_rows(league, in_results).join(told, "page")
-    parent = F.get("under", F.col("results.level") - 1)
-    stage = F.get("under", F.least(F.col("results.level"), F.lit(3)) - 1)
-    heads = captions(league, in_results)
-    by_section = by_section.join(heads.select("page", "block", "labelled"), ["page", "block"]).withColumn("section", stage).withColumn("default_group", text.as_group(parent))
-    by_section = by_section.withColumn("outside_league", (text.is_round(parent) & ~F.col("labelled")) | stage.rlike(KNOCKOUT_STAGE))
-    ambiguous = ambiguous_labels(table_rows(league, F.coalesce(F.col("table").cast("string"), F.lit("0"))))
-    first = league_rows(by_section, ambiguous).withColumn("kind", F.lit(0))
-
-    outside = F.when(F.col("results").isNull() & F.col("table").isNotNull(), F.concat(F.lit("t"), F.col("table")))
-    shape = captions(league, outside)
+    # a block is a section of results or a table outside of them
+    in_results = F.col("results").isNotNull()
+    block = F.when(in_results, F.concat(F.lit("r"), F.col("results.pos"))).when(F.col("table").isNotNull(), F.concat(F.lit("t"), F.col("table")))
+    heads = captions(league, block)
     is_leg = F.array_contains("columns", "local - ida") & F.array_contains("columns", "local - vuelta")
     is_match = F.lit(False)
     for asked in MATCH_HEADERS:
         is_match = is_match | (F.size(F.array_except(F.lit(list(asked)), "headers")) == 0)
-    rows = table_rows(league, outside).join(told, "page").withColumn("section", F.get("under", 2)).withColumn("default_group", F.lit(""))
-    legs = two_leg_rows(rows, shape.where(is_leg).select("page", "block", "caption", "columns"))
-    single = rows.join(shape.where(~is_leg & is_match).select("page", "block", "labelled"), ["page", "block"])
-    single = single.withColumn("outside_league", ~F.col("labelled") | text.is_round(F.col("section")) | F.col("section").rlike(KNOCKOUT_STAGE))
-    extra = legs.unionByName(league_rows(single, ambiguous.limit(0))).withColumn("kind", F.lit(1))
+    shape = heads.select("page", "block", "caption", "columns", "labelled", is_leg.alias("is_leg"), is_match.alias("is_match"))
+    rows = table_rows(league, block).join(told, "page").join(shape, ["page", "block"]).withColumn("kind", F.when(F.col("results").isNotNull(), 0).otherwise(1))
+    inside = F.col("kind") == 0
 
+    parent = F.get("under", F.col("results.level") - 1)
+    stage = F.when(inside, F.get("under", F.least(F.col("results.level"), F.lit(3)) - 1)).otherwise(F.get("under", 2))
+    rows = rows.withColumn("section", stage).withColumn("default_group", F.when(inside, text.as_group(parent)).otherwise(""))
+    no_league = F.when(inside, text.is_round(parent) & ~F.col("labelled")).otherwise(~F.col("labelled") | text.is_round(F.col("section")))
+    rows = rows.withColumn("outside_league", no_league | F.col("section").rlike(KNOCKOUT_STAGE)).withColumn("qualifies", inside)
+    single = league_rows(rows.where("kind = 0 or (not is_leg and is_match)"), ambiguous_labels(league))
+    legs = two_leg_rows(rows.where("kind = 1 and is_leg").drop("columns", "caption"), shape.where("is_leg").select("page", "block", "caption", "columns")).withColumn("kind", F.lit(1))
     by_template = template_rows(pages.join(told.where("layout = 'league'").select("page"), "page"), outline, told).withColumn("kind", F.lit(2))
+
     key = ["page", "date", "home", "away", "hs", "aws"]
-    sure = first.unionByName(by_template)
-    every = sure.unionByName(extra)
+    every = single.unionByName(legs).unionByName(by_template)
     # a row from a table outside stays only if it is the first of its key and no other reader has the key
     seen = Window.partitionBy(*key)
     ranked = every.withColumn("has_sure", F.max(F.col("kind") != 1).over(seen)).withColumn("nth", F.row_number().over(seen.orderBy("kind", "pos", "leg")))
@@ -316,11 +325,11 @@ def bracket_bodies(pages: DataFrame) -> DataFrame:
     return templates(pages, r"(?:Copa|Cuadro|Llave)[^\n|}]*")
 
 
-def bracket_slots(pages: DataFrame) -> DataFrame:
+def bracket_slots(pages: DataFrame, bodies: DataFrame | None = None) -> DataFrame:
     """(page, pos, rd, slot, name, article): the clubs of brackets; places without a club, marks and walkovers are left out."""
     pattern = r"RD(\d+)-(?:team|equipo)(\d+)\s*=\s*((?:\[\[[^\]]*\]\]|[^\n|}])*)"
     every = [F.regexp_extract_all("body", F.lit(pattern), k) for k in (1, 2, 3)]
-    each = bracket_bodies(pages).select("page", "pos", F.explode(F.arrays_zip(*(c.alias(n) for c, n in zip(every, ("rd", "slot", "raw"), strict=True)))).alias("x"))
+    each = (bracket_bodies(pages) if bodies is None else bodies).select("page", "pos", F.explode(F.arrays_zip(*(c.alias(n) for c, n in zip(every, ("rd", "slot", "raw"), strict=True)))).alias("x"))
     raw = F.col("x.raw")
     link = r"\[\[\s*([^\]|#]+?)\s*(?:\|([^\]]*))?\]\]"
     shown = F.coalesce(F.nullif(F.regexp_extract(raw, link, 2), F.lit("")), F.nullif(F.regexp_extract(raw, link, 1), F.lit("")), raw)
@@ -329,11 +338,11 @@ def bracket_slots(pages: DataFrame) -> DataFrame:
     return got.where(~F.col("name").rlike(r"(?i)^(w/?o|p\.?|libre|bye|[\d\s.:-]*)$") & ~F.col("article").isin("Tiros desde el punto penal", "Prórroga (deporte)"))
 
 
-def bracket_legs(pages: DataFrame) -> DataFrame:
+def bracket_legs(pages: DataFrame, bodies: DataFrame | None = None) -> DataFrame:
     """(page, one, one_article, two, two_article, leg, a, b): scores of ties; a third number that is the sum of two legs is none."""
     pattern = r"RD(\d+)-(?:score|goles)(\d+)(?:-(\d+)|(ida|vuelta))?\s*=\s*([^\n|}]*)"
     every = [F.regexp_extract_all("body", F.lit(pattern), k).alias(f"g{k}") for k in range(1, 6)]
-    each = bracket_bodies(pages).select("page", "pos", F.explode(F.arrays_zip(*every)).alias("x")).select("page", "pos", "x.*")
+    each = (bracket_bodies(pages) if bodies is None else bodies).select("page", "pos", F.explode(F.arrays_zip(*every)).alias("x")).select("page", "pos", "x.*")
     leg = F.when(F.col("g3") != "", F.col("g3").try_cast("int")).when(F.lower("g4") == "vuelta", 2).otherwise(1)
     told = F.regexp_replace(text.clean(F.col("g5")), r"^\(|\)$", "")
     goals = each.select("page", "pos", F.col("g1").cast("int").alias("rd"), F.col("g2").cast("int").alias("slot"), leg.alias("leg"), told.try_cast("int").alias("n")).where("n is not null").groupBy("page", "pos", "rd", "slot", "leg").agg(F.max("n").alias("n"))
@@ -347,15 +356,15 @@ def bracket_legs(pages: DataFrame) -> DataFrame:
     for c in ("a", "b"):
         marked = marked.withColumn(f"sum_{c}", F.sum(c).over(order.rowsBetween(-2, -1)))
     kept = marked.where(~((F.col("of") == 3) & (F.col("k") == 3) & (F.col("a") == F.col("sum_a")) & (F.col("b") == F.col("sum_b"))))
-    slots = bracket_slots(pages)
+    slots = bracket_slots(pages, bodies)
     one = slots.where("slot % 2 = 1").select(*tie, F.col("name").alias("one"), F.col("article").alias("one_article"))
     two = slots.where("slot % 2 = 0").select("page", "pos", "rd", (F.col("slot") - 1).alias("slot"), F.col("name").alias("two"), F.col("article").alias("two_article"))
     return kept.join(one, tie).join(two, tie).select("page", "one", "one_article", "two", "two_article", F.col("k").alias("leg"), "a", "b")
 
 
-def all_rows(pages: DataFrame) -> DataFrame:
+def all_rows(pages: DataFrame, outline: DataFrame | None = None) -> DataFrame:
     """(page, pos, row) of every table's rows."""
-    return table_rows(tabled(outlined(lines(pages))), F.col("table").cast("string")).select("page", "pos", "row")
+    return table_rows(outline_of(pages) if outline is None else outline, F.col("table").cast("string")).select("page", "pos", "row")
 
 
 def _with_cells(rows: DataFrame) -> DataFrame:
@@ -391,9 +400,9 @@ def contradicted_highlights(rows: DataFrame) -> DataFrame:
     return odd.select("page", text.cell_text(cell(-1)).alias("home"), text.cell_text(cell(1)).alias("away"), goals[0].alias("hs"), goals[1].alias("aws"), says.alias("says")).distinct()
 
 
-def standings(pages: DataFrame) -> DataFrame:
+def standings(pages: DataFrame, outline: DataFrame | None = None) -> DataFrame:
     """(page, pos, seq, club, article, pj, gf, gc, g, e, p, pts, diff, closes): rows of standings in both notations: templates under a title of standings, and tables whose header names the columns, but for aggregates of several seasons. closes says whether a table's row agrees with itself; diff is null for templates, which cannot be checked."""
-    outline = tabled(outlined(lines(pages)))
+    outline = outline_of(pages) if outline is None else outline
     upto = Window.partitionBy("page").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     marked = outline.withColumn("own_title", F.last("title", ignorenulls=True).over(upto))
 
