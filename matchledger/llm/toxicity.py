@@ -120,6 +120,27 @@ def logistic(x: np.ndarray, y: np.ndarray, each: np.ndarray, ridge: float = 0.01
     return w
 
 
+def gradient(ids: np.ndarray, y: np.ndarray, first: np.ndarray, own: np.ndarray, weight: np.ndarray, bias: float, log_chain: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Of the log-likelihood of the tokens' states y, each sequence counted `own` times: its derivatives by weight,
+    log_chain and bias, which are what is observed less what is expected."""
+    emit = emission(ids, first, weight, bias)
+    chain = np.exp(log_chain)
+    fwd, bwd, p = forward_backward(emit, first, chain)
+    g = own * (y - p)
+    before, after = neighbours(ids[0], first)
+    grad = np.zeros_like(weight)
+    for k, v in enumerate((ids[0], ids[1], before, after)):
+        grad[k] = np.bincount(v + 1, weights=g, minlength=weight.shape[1] + 1)[1:]
+    cur = np.flatnonzero(before >= 0)
+    prev = cur - 1
+    x = np.exp(np.clip(emit[cur], -30, 30)) * bwd[cur]
+    joint = np.array([[np.full(len(cur), chain[0, 0]), chain[0, 1] * x], [fwd[prev] * chain[1, 0], fwd[prev] * chain[1, 1] * x]])
+    joint *= own[cur] / joint.sum(axis=(0, 1))
+    one, two = y[prev], y[cur]
+    seen = np.array([[own[cur] @ ((1 - one) * (1 - two)), own[cur] @ ((1 - one) * two)], [own[cur] @ (one * (1 - two)), own[cur] @ (one * two)]])
+    return grad, seen - joint.sum(axis=2), float(g.sum())
+
+
 def train(tokens: list[np.ndarray], toxic: np.ndarray, each: np.ndarray | None = None, min_docs: int = 3, gap: float = 2.5, epochs: int = 6, rate: float = 0.3, batch: int = 32) -> Model:
     """tokens: for each document its features(); each: for how many documents it stands (1 where none is given)."""
     each = np.ones(len(toxic)) if each is None else each / each.mean()
@@ -149,22 +170,8 @@ def train(tokens: list[np.ndarray], toxic: np.ndarray, each: np.ndarray | None =
             if not len(at):
                 continue
             i, t = ids[:, at], y[at]
-            emit = emission(i, f, weight, bias)
-            chain = np.exp(log_chain)
-            fwd, bwd, p = forward_backward(emit, f, chain)
-            own = np.repeat(each[part], count[part])
-            g = own * (t - p) / len(part)  # observed less expected
-            before, after = neighbours(i[0], f)
-            grad = np.zeros_like(weight)
-            for k, v in enumerate((i[0], i[1], before, after)):
-                grad[k] = np.bincount(v + 1, weights=g, minlength=len(vocab) + 2)[1:]
-            inner = before >= 0
-            prev, cur = np.flatnonzero(inner) - 1, np.flatnonzero(inner)
-            x = np.exp(np.clip(emit[cur], -30, 30)) * bwd[cur]
-            joint = np.array([[np.full(len(cur), chain[0, 0]), chain[0, 1] * x], [fwd[prev] * chain[1, 0], fwd[prev] * chain[1, 1] * x]])
-            joint *= own[cur] / joint.sum(axis=(0, 1))
-            seen = np.array([[own[cur] @ ((1 - t[prev]) * (1 - t[cur])), own[cur] @ ((1 - t[prev]) * t[cur])], [own[cur] @ (t[prev] * (1 - t[cur])), own[cur] @ (t[prev] * t[cur])]])
-            step = grad - 1e-4 * weight, (seen - joint.sum(axis=2)) / len(part), np.array([g.sum()])
+            told = gradient(i, t, f, np.repeat(each[part], count[part]), weight, bias, log_chain)
+            step = told[0] / len(part) - 1e-4 * weight, told[1] / len(part), np.array([told[2] / len(part)])
             for v, s in zip(step, size, strict=True):
                 s += v * v
             weight += rate * step[0] / np.sqrt(size[0])

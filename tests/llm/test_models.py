@@ -38,6 +38,64 @@ def test_forward_backward_against_enumeration():
             assert np.allclose(p[s:e], ones / total)
 
 
+def likelihood(ids, y, first, own, weight, bias, log_chain):
+    """By enumeration of all states of each sequence."""
+    out = 0.0
+    for s, e in itertools.pairwise(first):
+        def value(states):
+            v = 0.0
+            for i, k in enumerate(states):
+                at = s + i
+                near = [(0, ids[0][at]), (1, ids[1][at]), *([(2, ids[0][at - 1])] if i else []), *([(3, ids[0][at + 1])] if at + 1 < e else [])]
+                v += k * (bias + sum(weight[row][col] for row, col in near)) + (log_chain[states[i - 1], k] if i else 0.0)
+            return v
+        if e > s:
+            every = [value(z) for z in itertools.product((0, 1), repeat=int(e - s))]
+            out += own[s] * (value([int(k) for k in y[s:e]]) - math.log(sum(map(math.exp, every))))
+    return out
+
+
+def test_gradient_against_finite_differences():
+    rng = np.random.default_rng(4)
+    first, n, words = np.array([0, 4, 4, 5, 11]), 11, 3
+    ids = rng.integers(0, words + 1, (2, n))
+    y = rng.integers(0, 2, n).astype(float)
+    own = np.repeat([1.0, 2.5, 0.5, 3.0], np.diff(first))
+    weight, bias, log_chain = rng.normal(size=(4, words + 1)), 0.3, rng.normal(size=(2, 2))
+    grad = toxicity.gradient(ids, y, first, own, weight, bias, log_chain)
+    step = 1e-5
+    for got, at in ((grad[0], weight), (grad[1], log_chain)):
+        for k in np.ndindex(at.shape):
+            at[k] += step
+            up = likelihood(ids, y, first, own, weight, bias, log_chain)
+            at[k] -= 2 * step
+            down = likelihood(ids, y, first, own, weight, bias, log_chain)
+            at[k] += step
+            assert abs(got[k] - (up - down) / (2 * step)) < 1e-6
+    up, down = (likelihood(ids, y, first, own, weight, bias + d, log_chain) for d in (step, -step))
+    assert abs(grad[2] - (up - down) / (2 * step)) < 1e-6
+
+
+def test_score_against_enumeration(spark, docs):
+    """Scores of short texts: marginals over all states, the document's features, the logistic function; by hand."""
+    learn = [(i, ("you idiot go away now " if i % 2 else "what a calm and sunny day ") * 2 + f"w{i}") for i in range(40)]
+    model = toxicity.fit(docs(learn), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    texts = ["you idiot", "a calm day", "go Away, idiot idiot now", "", "sunny idiot", "x y z", "you you you you you"]
+    for r in toxicity.score(docs(list(enumerate(texts))), model).collect():
+        w = Words([texts[r["doc_id"]].lower()])
+        n = int(w.count[0])
+        index = {int(h): k + 1 for k, h in enumerate(model.vocab)}
+        word, prefix = ([index.get(int(h), 0) for h in hs] for hs in toxicity.features(w))
+        emit = [model.bias + model.weight[0][word[i]] + model.weight[1][prefix[i]] + (model.weight[2][word[i - 1]] if i else 0) + (model.weight[3][word[i + 1]] if i + 1 < n else 0) for i in range(n)]
+        total, ones = 0.0, np.zeros(n)
+        for states in itertools.product((0, 1), repeat=n):
+            v = math.exp(sum(e for e, k in zip(emit, states) if k)) * math.prod(model.chain[a, b] for a, b in itertools.pairwise(states))
+            total, ones = total + v, ones + v * np.array(states)
+        p = ones / total
+        x = [1.0, p.max(initial=0), math.log1p((p * p).sum()), math.log1p(n)] if n else [1.0, 0, 0, 0]
+        assert abs(r["score"] - 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.doc))))) < 1e-9
+
+
 def test_scan_over_many_lanes():
     rng = np.random.default_rng(1)
     a, b, c, d = rng.random((4, 30000)) + 0.01
