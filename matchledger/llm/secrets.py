@@ -99,30 +99,47 @@ def _lower(c: str) -> str:
     return c.lower() if c.isascii() else c
 
 
-def _node(kind, value) -> Known:
+#: ASCII letters that letters beyond ASCII match, too, where case is ignored.
+FOLDED = frozenset("iIkKsS")
+
+
+def _known(c: str, flags: int) -> bool:
+    """Whether a literal can only match c, or c in the other case of A-Z."""
+    if not flags & re.IGNORECASE:
+        return True
+    return flags & re.ASCII != 0 or (c.isascii() and c not in FOLDED)
+
+
+def _node(kind, value, flags: int) -> Known:
     if kind is op.LITERAL:
-        return Known(frozenset([_lower(chr(value))]), ANY)
-    if kind is op.IN and all(k is op.LITERAL for k, _ in value):
+        c = chr(value)
+        return Known(frozenset([_lower(c)]), ANY) if _known(c, flags) else Known(None, ANY)
+    if kind is op.IN and all(k is op.LITERAL and _known(chr(v), flags) for k, v in value):
         return Known(frozenset(_lower(chr(v)) for _, v in value), ANY)
     if kind is op.SUBPATTERN:
-        return _sequence([_node(*x) for x in value[3]])
+        inner = (flags | value[1]) & ~value[2]
+        if value[1] & (re.ASCII | re.UNICODE):  # these two exclude each other
+            inner = inner & ~(re.ASCII | re.UNICODE) | value[1] & (re.ASCII | re.UNICODE)
+        return _sequence([_node(*x, inner) for x in value[3]])
     if kind is op.BRANCH:
-        parts = [_sequence([_node(*x) for x in branch]) for branch in value[1]]
+        parts = [_sequence([_node(*x, flags) for x in branch]) for branch in value[1]]
         if all(p.exact is not None for p in parts):
             return Known(frozenset().union(*(p.exact for p in parts)), ANY)
         return Known(None, frozenset().union(*(_loose(p) for p in parts)))
     if kind in (op.MAX_REPEAT, op.MIN_REPEAT):
         low, high, body = value
-        inner = _sequence([_node(*x) for x in body])
+        inner = _sequence([_node(*x, flags) for x in body])
         if (low, high) == (0, 1) and inner.exact is not None:
             return Known(inner.exact | {""}, ANY)
         return Known(None, _loose(inner) if low else ANY)
     return Known(None, ANY)
 
 
-def trigram_query(pattern: str) -> list[frozenset[str]] | None:
-    """Alternatives of lower-case trigrams: a text (lowered) with a match holds all of one of them. None: nothing is mandatory."""
-    need = _loose(_sequence([_node(*x) for x in _parser.parse(pattern)]))
+def trigram_query(pattern: str, flags: int = 0) -> list[frozenset[str]] | None:
+    """Alternatives of lower-case trigrams: a text (lowered) with a match holds all of one of them. None: nothing is
+    mandatory. The pattern is read with its flags, also those that it names itself, for the whole or for a group."""
+    parsed = _parser.parse(pattern, flags)
+    need = _loose(_sequence([_node(*x, parsed.state.flags) for x in parsed]))
     least = [x for x in need if not any(y < x for y in need)]  # what holds more than another alternative adds nothing
     return None if not all(least) else sorted(least, key=sorted)
 
@@ -168,7 +185,7 @@ def candidates(index: DataFrame, queries: dict[int, list[frozenset[str]]]) -> Da
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id_col, spans array<struct<kind,start,end>> by start and then by the order of the rules: one row for each row of docs."""
-    queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern))}
+    queries = {k: q for k, r in enumerate(rules) if (q := trigram_query(r.pattern, r.flags))}
     always = [k for k in range(len(rules)) if k not in queries]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     grams = sorted(set().union(*(g for alts in queries.values() for g in alts)))
