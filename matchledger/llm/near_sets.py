@@ -30,7 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchledger.llm.common import Scratch, Words, cut, map_arrow, mix, shingle_hashes, slices
@@ -113,7 +113,7 @@ def band_keys(h: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def prints_of(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
-    """(id, node, n, f0 .., k0 ..): n is the size of the set that node stands for."""
+    """(id, h: hash of the text, node, n, f0 .., k0 ..): n is the size of the set that node stands for."""
     cols = ["node", "n", *FP, *KEYS]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -123,10 +123,10 @@ def prints_of(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
             h, first = shingle_sets(texts[i:j], k)
             out[i:j, 0], out[i:j, 1] = node_of(h, first), np.diff(first)
             out[i:j, 2 : 2 + WORDS], out[i:j, 2 + WORDS :] = simhash(h, first), band_keys(h, first)
-        return pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(out.T))], ["id", *cols])
+        return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(out.T))], ["id", "h", *cols])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, " + ", ".join(f"{c} long" for c in cols))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, h long, " + ", ".join(f"{c} long" for c in cols))
 
 
 def set_table(docs: DataFrame, text: str, k: int) -> DataFrame:
@@ -267,16 +267,16 @@ def rest_links(dealt: DataFrame, roots: DataFrame, unique: DataFrame, sets: Data
     return whole.repartition(*BLOCK).sortWithinPartitions(*BLOCK).mapInArrow(block_links, "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, part_rows: int = PART_ROWS) -> DataFrame:
-    """(id, component_id): documents whose sets of k-word shingles are alike by 0.8 or more, transitively; component_id is the smallest id. Rows without an id are left out."""
+def labelled(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, part_rows: int = PART_ROWS) -> DataFrame:
+    """(id, h: hash of the text, first: the smallest (id, h) of the row's group) of each row with an id. Groups are those of near_groups()."""
     with Scratch(docs.sparkSession) as at:
         given = docs.where(F.col(id_col).isNotNull())
         prints = at.cut(prints_of(given, id_col, text, k), "prints")
-        unique = at.cut(prints.groupBy("node").agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("n", *FP, *KEYS))), "unique")
+        unique = at.cut(prints.groupBy("node").agg(F.min(F.struct("id", "h")).alias("rep"), *(F.first(c).alias(c) for c in ("n", *FP, *KEYS))), "unique")
         keys = unique.where("n > 0").select("node", "n", F.explode(F.array(*KEYS)).alias("key"))
         leads = at.cut(keys.groupBy("key").agg(F.count("*").alias("rows"), F.min("node").alias("lead")).where("rows > 1").select("key", "lead"), "leads")
         dealt = at.cut(keys.join(leads, "key"), "dealt")
-        ids = at.cut(unique.join(dealt.select("node").distinct(), "node", "left_semi").select(F.col("rep").alias(id_col)), "ids")
+        ids = at.cut(unique.join(dealt.select("node").distinct(), "node", "left_semi").select(F.col("rep.id").alias(id_col)).distinct(), "ids")
         sets = set_table(given.join(ids, id_col, "left_semi"), text, k)
         if prints.groupBy("id").count().where("count > 1").limit(1).count():  # rows of one id may have one set
             sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
@@ -286,17 +286,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k:
         rest = at.cut(rest_links(dealt, components(led), unique, sets, at, part_rows), "rest")
         roots = components(led.union(rest))
         rooted = at.cut(unique.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
-        named = at.cut(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "named")
-        named = at.cut(rooted.join(named, "root").select("node", "component_id"), "components")
-        return cut(prints.select("id", "node").join(named, "node").select("id", "component_id"), "groups")
+        named = at.cut(rooted.groupBy("root").agg(F.min("rep").alias("first")), "named")
+        named = at.cut(rooted.join(named, "root").select("node", "first"), "components")
+        return cut(prints.select("id", "h", "node").join(named, "node").select("id", "h", "first"), "groups")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, part_rows: int = PART_ROWS) -> DataFrame:
+    """(id, component_id): documents whose sets of k-word shingles are alike by 0.8 or more, transitively; component_id is the smallest id. Rows without an id are left out."""
+    return labelled(docs, id_col, text, k, part_rows).select("id", F.col("first.id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
-    """The rows of docs but for those whose id is not the smallest of their near_groups(); of rows with one id, one stays. Rows without an id stay."""
-    labelled = near_groups(docs, id_col, text, k)
-    gone = cut(labelled.where("id <> component_id").select(F.col("id").alias(id_col)).distinct(), "gone")
-    kept = docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    repeated = labelled.groupBy("id").count().where("count > 1").limit(1).count()
-    if not repeated:
-        return kept
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).union(kept.where(F.col(id_col).isNull()))
+    """One row of docs of each of near_groups(), told by id and text, so that rows of one id with texts of different
+    groups all stay: the one with the smallest (id, hash of the text); of rows that are alike in both, the first by a
+    hash of all columns. Rows without an id stay."""
+    own = labelled(docs, id_col, text, k)
+    gone = cut(own.where(F.struct("id", "h") != F.col("first")).select(F.col("id").alias("__id"), F.col("h").alias("__h")).distinct(), "gone")
+    rows = docs.withColumn("__hash", F.xxhash64(text))
+    kept = rows.join(gone, (F.col(id_col) == F.col("__id")) & (F.col("__hash") == F.col("__h")), "left_anti")
+    if not own.where(F.struct("id", "h") == F.col("first")).groupBy("id", "h").count().where("count > 1").limit(1).count():
+        return kept.select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy(id_col, "__hash").orderBy(F.xxhash64(*docs.columns)))
+    once = kept.where(F.col(id_col).isNotNull()).withColumn("__nth", nth).where("__nth = 1")
+    return once.select(*docs.columns).union(kept.where(F.col(id_col).isNull()).select(*docs.columns))

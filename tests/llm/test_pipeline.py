@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from matchledger.llm import mixing, toxicity
+from matchledger.llm import mixing, near_sets, toxicity
 from matchledger.llm.common import table
 
 D = "/root/testdata/sf0.001"
@@ -77,3 +77,18 @@ def test_stages_take_odd_rows(spark, docs, tmp_path):
             if name == "decontamination":
                 assert out.where(F.col("text") == "one two three").count() == 0
         assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_near_duplicates_of_repeated_ids(spark, docs):
+    """Rows are told apart by id and text: texts that nobody else has stay, one row of each group is kept."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    near_b = b + " one two three"
+    got = near_sets.keep_one(docs([(1, a), (5, a), (5, b), (7, c), (7, near_b)])).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, a), (5, b), (7, c)]
+    odd = [(3, b), (3, near_b), (3, b), (2, None), (2, None), (None, a), (None, a), (9, "")]
+    got = near_sets.keep_one(docs(odd)).collect()
+    kept = [(r["doc_id"], r["text"]) for r in got]
+    assert len(kept) == 4 and kept.count((None, a)) == 2 and kept.count((2, None)) == 1 and sum(k == 3 for k, _ in kept) == 1
+    # repeated rows with other columns: the same one in every run
+    twice = spark.createDataFrame([(1, a, "x"), (1, a, "y")], "doc_id long, text string, lang string")
+    assert len({near_sets.keep_one(twice.repartition(n)).collect()[0]["lang"] for n in (1, 2)}) == 1
