@@ -203,6 +203,7 @@ def siblings(proof: bytes) -> str:
 def build(docs: DataFrame, key: str = "doc_id", group: str = "lang", fields: tuple[str, ...] = FIELDS, carried: dict[str, Column] | None = None) -> Manifest:
     """The trees of all groups. leaves also has the key, the group's value and the columns `carried`."""
     rows = docs.select(encoded(F.col(group)).alias("grp"), F.col(group).alias("group_value"), F.col(key).alias("key"), leaf(*(F.col(f) for f in fields)).alias("digest"), *(v.alias(c) for c, v in (carried or {}).items()))
+    rows = cut(rows, "rows")  # ranges are sampled first, which would digest all texts twice
     placed = cut(positions(rows, ["grp"], ["key", "digest"], cut, "pos"), "places")
     sizes = cut(placed.groupBy("grp").agg(F.count("*").alias("n")), "sizes")
     leaves = placed.join(sizes, "grp")
