@@ -45,6 +45,7 @@ def turns(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     x = F.sha2(F.concat(F.octet_length(blank(role)).cast("string"), F.lit(":"), blank(role), blank(text)), 256)
     own = rows.where(F.col(conv).isNotNull()).select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), x.alias("x"), F.regexp_count(blank(text), F.lit(WORD)).cast("long").alias("words"))
+    own = cut(own, "digests")  # ranges are sampled first, which would digest all texts twice
     return positions(own, ["conv"], ["turn", "x"], cut, "pos").select("conv", (F.col("pos") + 1).alias("pos"), "x", "words")
 
 
