@@ -32,7 +32,7 @@ from matchledger.llm.common import slices
 
 MARK = "▁"
 #: Characters whose words share a table.
-SLICE = 1 << 23
+SLICE = 1 << 22
 _MARK_BYTES = np.frombuffer(MARK.encode(), np.uint8)
 
 
