@@ -1,11 +1,14 @@
 """The whole build: from pages to published matches, behind a gate that writes nothing while a severe finding stands.
 
-Every table is a DataFrame; the driver only decides whether to write. The order of the stages matters: names before
-amendments, false matchdays before dates are filled, dates before checks.
+Stages end in tables of the shared folder, so that every plan is small: what pages say (kept by content in a store of
+extracts), named and amended matches, dated matches, and findings, which each check appends to one table by itself. The
+driver only decides whether to write. The order of the stages matters: names before amendments, false matchdays before
+dates are filled, dates before checks.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -18,7 +21,7 @@ from matchledger.operators.checks import text
 from matchledger.schema import FINDING, MATCH
 from matchledger.sinks import published as sink
 from matchledger.sinks.shared import cut, folder  # noqa: F401
-from matchledger.sources import published, wikitext
+from matchledger.sources import extracts, published
 
 AMENDMENTS = {
     "swap": (["page", "matchday", "home", "away", "hs", "aws"], ["home", "away"]),
@@ -62,18 +65,14 @@ def indexes(given: Inputs) -> tuple[DataFrame, DataFrame | None]:
     return names, cut(entities.article_index(given.articles, given.registry), "articles") if given.articles is not None else None
 
 
-def extract(given: Inputs, names: DataFrame, articles: DataFrame | None) -> DataFrame:
-    """Matches of the pages with their clubs' own names."""
-    about = given.catalog.select("page", F.col("season").alias("first_year"), "last_year", "from_month", "layout")
-    told = cut(wikitext.matches(given.pages, about, cut), "extracted")
-    arts = wikitext.links(given.pages)
-    by_page = cut(entities.page_articles(arts), "links")
-    m = told.join(given.catalog.select("page", F.col("tournament").alias("competition"), "season"), "page").withColumn("date_credit", F.lit(""))
+def extract(given: Inputs, told: dict[str, DataFrame], names: DataFrame, articles: DataFrame | None) -> DataFrame:
+    """Matches of the pages with their clubs' own names. told: the tables of sources.extracts."""
+    by_page = cut(entities.page_articles(told["links"]), "links")
+    m = told["matches"].drop("row").join(given.catalog.select("page", F.col("tournament").alias("competition"), "season"), "page").withColumn("date_credit", F.lit(""))
     for side in ("home", "away"):
         linked = m.join(by_page.select("page", F.col("visible").alias(side), F.col("article").alias("__art")), ["page", side], "left").withColumn("__art", F.coalesce("__art", F.lit("")))
         m = entities.canonized(linked, side, "__art", names, articles).drop("__art")
-    columns = [c.split()[0] for c in MATCH.split(", ")]
-    m = m.select(*columns, "row")
+    m = m.select(*(c.split()[0] for c in MATCH.split(", ")))
     if given.ties is not None:
         judged = joins.without_repeats(given.ties, m)
         m = m.unionByName(judged.where("verdict = 'new'").select(*given.ties.columns), allowMissingColumns=True)
@@ -123,57 +122,72 @@ def fill_dates(m: DataFrame, given: Inputs, names: DataFrame) -> tuple[DataFrame
     return kept.drop("cleared"), reduce(DataFrame.union, told)
 
 
-def cross_checked(m: DataFrame, given: Inputs, names: DataFrame, articles: DataFrame | None) -> DataFrame:
-    """Findings of the page's other witnesses: standings, brackets, notes and highlights; none is severe."""
-    outline = wikitext.lines(given.pages)
-    told = entities.resolve(wikitext.standings(given.pages), "club", "article", names, articles, "entity")
-    told = cut(told, "standings")
-    rows = reconcile.table_scopes(told.withColumn("club", F.coalesce("entity", "club")).where("closes"), wikitext.headings(outline), m)
+def cross_checked(m: DataFrame, given: Inputs, pages: dict[str, DataFrame], names: DataFrame, articles: DataFrame | None) -> dict[str, DataFrame]:
+    """Findings of the page's other witnesses by check: standings, brackets, notes and highlights; none is severe. pages: the tables of sources.extracts."""
+    told = cut(entities.resolve(pages["standings"], "club", "article", names, articles, "entity"), "standings")
+    rows = reconcile.table_scopes(told.withColumn("club", F.coalesce("entity", "club")).where("closes"), pages["headings"], m)
     table = cut(reconcile.merged(rows), "tables")
     club = F.col("club")
-    bracket = entities.resolve(cut(wikitext.bracket_slots(given.pages), "slots"), "name", "article", names, articles, "club").select("page", F.col("name").alias("written"), "club").distinct()
-    legs = cut(wikitext.bracket_legs(given.pages), "legs")
+    bracket = entities.resolve(pages["slots"], "name", "article", names, articles, "club").select("page", F.col("name").alias("written"), "club").distinct()
+    legs = pages["legs"]
     for side in ("one", "two"):
         legs = entities.resolve(legs, side, f"{side}_article", names, articles, f"{side}_club")
     legs = legs.where("one_club is not null and two_club is not null").select("page", F.col("one_club").alias("one"), F.col("two_club").alias("two"), "a", "b")
     own_names = entities.alias_rows(given.registry)
-    rows_ = cut(wikitext.all_rows(given.pages), "rows")
-    accused = wikitext.contradicted_highlights(rows_).withColumn("row_id", F.concat_ws(" ", "home", "hs", "aws", "away"))
-    parts = [
-        findings(reconcile.goals_differ(table, m, given.waivers), "standings_goals", False, club),
-        findings(reconcile.results_differ(table, m, given.waivers), "standings_results", False, club, F.col("blame")),
-        findings(reconcile.games_differ(table, m, given.waivers), "standings_games", False, club, F.col("delta")),
-        findings(reconcile.unbalanced(table, m), "standings_unbalanced", False, F.col("scope")),
-        findings(reconcile.without_matches(table, m), "standings_without_matches", False, club),
-        findings(told.where("not closes"), "standings_row_open", False, club),
-        findings(told.where("entity is null").select("page", "club").distinct(), "standings_unknown", False, club),
-        findings(reconcile.bracket_clubs(bracket, m, own_names), "bracket_clubs", False, F.col("kind"), club),
-        findings(reconcile.bracket_scores(legs, m), "bracket_scores", False, F.col("kind"), F.col("one"), F.col("two")),
-        findings(wikitext.voided(rows_), "void_match", False, F.col("home"), F.col("away")),
-        findings(wikitext.unread_rulings(rows_), "unread_ruling", False, F.col("home"), F.col("away")),
-        findings(reconcile.unanswered_highlights(accused, table, m), "highlight", False, F.col("row_id")),
-    ]
+    accused = pages["highlights"].withColumn("row_id", F.concat_ws(" ", "home", "hs", "aws", "away"))
+    parts = {
+        "standings_goals": findings(reconcile.goals_differ(table, m, given.waivers), "standings_goals", False, club),
+        "standings_results": findings(reconcile.results_differ(table, m, given.waivers), "standings_results", False, club, F.col("blame")),
+        "standings_games": findings(reconcile.games_differ(table, m, given.waivers), "standings_games", False, club, F.col("delta")),
+        "standings_unbalanced": findings(reconcile.unbalanced(table, m), "standings_unbalanced", False, F.col("scope")),
+        "standings_without_matches": findings(reconcile.without_matches(table, m), "standings_without_matches", False, club),
+        "standings_row_open": findings(told.where("not closes"), "standings_row_open", False, club),
+        "standings_unknown": findings(told.where("entity is null").select("page", "club").distinct(), "standings_unknown", False, club),
+        "bracket_clubs": findings(reconcile.bracket_clubs(bracket, m, own_names), "bracket_clubs", False, F.col("kind"), club),
+        "bracket_scores": findings(reconcile.bracket_scores(legs, m), "bracket_scores", False, F.col("kind"), F.col("one"), F.col("two")),
+        "void_match": findings(pages["voided"], "void_match", False, F.col("home"), F.col("away")),
+        "unread_ruling": findings(pages["rulings"], "unread_ruling", False, F.col("home"), F.col("away")),
+        "highlight": findings(reconcile.unanswered_highlights(accused, table, m), "highlight", False, F.col("row_id")),
+    }
     if articles is not None:
-        parts.append(findings(entities.contradictory_links(wikitext.links(given.pages), names, articles), "contradictory_link", False, F.col("visible"), F.col("article")))
+        parts["contradictory_link"] = findings(entities.contradictory_links(pages["links"], names, articles), "contradictory_link", False, F.col("visible"), F.col("article"))
     if given.waivers is not None:
-        parts.append(findings(reconcile.stale_waivers(given.waivers, table, m), "stale_waiver", False, club))
+        parts["stale_waiver"] = findings(reconcile.stale_waivers(given.waivers, table, m), "stale_waiver", False, club)
     if "alias" in given.amendments:
         written = checks.sides(m).select("page", F.col("club").alias("name"))
-        parts.append(findings(entities.unused_aliases(given.amendments["alias"].select("page", "name"), written), "unused_alias", False, F.col("name")))
-    return reduce(DataFrame.union, parts)
+        parts["unused_alias"] = findings(entities.unused_aliases(given.amendments["alias"].select("page", "name"), written), "unused_alias", False, F.col("name"))
+    return parts
+
+
+#: Checks that run at a time. Each is a small plan; what one waits for, another uses.
+CHECKS_AT_ONCE = 4
+
 
+def appended(spark: SparkSession, parts: dict[str, DataFrame]) -> DataFrame:
+    """The findings of all checks as one table by check, to which each check adds its own rows. A check that fails stops the build."""
+    at = folder(spark, "findings")
+    with ThreadPoolExecutor(CHECKS_AT_ONCE) as pool:
+        list(pool.map(lambda kv: kv[1].write.parquet(f"{at}/part={kv[0]}"), parts.items()))
+    return spark.read.schema(f"{FINDING}, part string").parquet(at).drop("part")
 
-def process(given: Inputs) -> Built:
+
+def process(given: Inputs, store: str | None = None) -> Built:
+    """store: the folder of extracts of earlier builds; without one, all pages are read."""
+    spark = given.pages.sparkSession
     names, articles = indexes(given)
-    m, problems = amended(extract(given, names, articles).drop("row"), given.amendments)
-    blanked = reconcile.false_matchdays(m)
-    m, dates_told = fill_dates(cut(blanked.drop("blanked"), "amended"), given, names)
+    store = store or folder(spark, "extracts")
+    about = given.catalog.select("page", F.col("season").alias("first_year"), "last_year", "from_month", "layout")
+    pages = extracts.read(store, cut(extracts.refresh(store, given.pages, about), "present"))
+    m, problems = amended(cut(extract(given, pages, names, articles), "named"), given.amendments)
+    blanked = cut(reconcile.false_matchdays(m), "amended")
+    m, dates_told = fill_dates(blanked.drop("blanked"), given, names)
     m = cut(m, "matches")
     known = given.registry.select(F.col("entity").alias("name"))
     unmatched = problems.select(F.lit("").alias("page"), F.concat(F.lit("amendment_"), "step").alias("check"), F.lit(True).alias("severe"), F.col("amendment").alias("subject"), text(F.col("matched")).alias("detail"))
-    told = checks.review(m, known).union(cross_checked(m, given, names, articles)).union(dates_told).union(unmatched)
-    told = told.union(findings(blanked.where("blanked").select("page", "row_id"), "matchday_blanked", False, F.col("row_id")))
-    return Built(m, cut(told, "findings"))
+    parts = {name: check(m) for name, check in checks.CHECKS.items()} | {"unknown_names": checks.unknown_names(m, known)}
+    parts |= cross_checked(m, given, pages, names, articles)
+    parts |= {"dates": dates_told, "amendments": unmatched, "blanked": findings(blanked.where("blanked").select("page", "row_id"), "matchday_blanked", False, F.col("row_id"))}
+    return Built(m, appended(spark, parts))
 
 
 @dataclass(frozen=True)
@@ -190,32 +204,38 @@ def reusable(old: DataFrame, catalog: DataFrame) -> DataFrame:
     return old.withColumn("__url", source_page(F.col("source"))).join(closed, "__url", "left_semi").drop("__url")
 
 
-def run(spark: SparkSession, given: Inputs, out: str, failed: DataFrame | None = None, redo: bool = False, dry: bool = False, force: bool = False) -> Outcome:
-    """Builds and publishes under out/dated and out/undated. code 0: published (or a dry run); 1: nothing was written, because of a severe finding, a page that could not be fetched (`failed`), or fewer rows than before without `force`.
+def release(spark: SparkSession, rows: DataFrame, findings_: DataFrame, out: str, dry: bool = False, force: bool = False) -> Outcome:
+    """Publishes rows (as published) under out, dated and undated at once, unless the gate or the guard against
+    shrinking holds. code 0: published (or a dry run); 1: nothing was written, because of a severe finding, or of fewer
+    rows than before without `force`."""
+    if findings_.where("severe").limit(1).count():
+        return Outcome(1, {}, None, findings_)
+    rows = cut(rows, "rows")
+    dated, undated = sink.routed(rows)
+    old = published.current(spark, out, "dated"), published.current(spark, out, "undated")
+    excused = reconcile.dated_migrations(dated, undated, *old)
+    lost = cut(reconcile.fewer_rows(dated, old[0]).union(reconcile.fewer_rows(undated, old[1], excused)), "lost")
+    if not force and lost.limit(1).count():
+        return Outcome(1, {}, lost, findings_)
+    return Outcome(0, {} if dry else sink.publish(spark, {"dated": dated, "undated": undated}, out), lost, findings_)
+
+
+def run(spark: SparkSession, given: Inputs, out: str, failed: DataFrame | None = None, redo: bool = False, dry: bool = False, force: bool = False, store: str | None = None) -> Outcome:
+    """Builds and publishes: process() and release(). code 1, too, if a page could not be fetched (`failed`).
 
-    Pages that are closed and published already are taken from there unless `redo`."""
+    Pages that are closed and published already are taken from there unless `redo`; open pages are read again only if
+    they have changed, where a store is given."""
     if failed is not None and failed.limit(1).count():
         return Outcome(1, {}, None, spark.createDataFrame([], FINDING))
-    old = published.read_previous(spark, f"{out}/dated/partition=*/*.csv"), published.read_previous(spark, f"{out}/undated/partition=*/*.csv")
-    before = cut(old[0].union(old[1]), "before")
+    before = cut(published.current(spark, out, "dated").union(published.current(spark, out, "undated")), "before")
     kept = before.limit(0) if redo else reusable(before, given.catalog)
     have = kept.select(source_page(F.col("source")).alias("url")).distinct()
-    todo = given.catalog.join(have, "url", "left_anti")
+    todo = cut(given.catalog.join(have, "url", "left_anti"), "todo")
     if todo.limit(1).count():
-        built = process(replace(given, pages=given.pages.join(todo.select("page"), "page", "left_semi"), catalog=todo))
+        built = process(replace(given, pages=given.pages.join(todo.select("page"), "page", "left_semi"), catalog=todo), store)
     else:
         built = Built(spark.createDataFrame([], MATCH), spark.createDataFrame([], FINDING))
-    if built.findings.where("severe").limit(1).count():
-        return Outcome(1, {}, None, built.findings)
-    rows = cut(kept.unionByName(sink.shaped(built.matches, todo)), "rows")
-    dated, undated = sink.routed(rows)
-    excused = reconcile.dated_migrations(dated, undated, *old)
-    lost = reconcile.fewer_rows(dated, old[0]).union(reconcile.fewer_rows(undated, old[1], excused))
-    if not force and lost.limit(1).count():
-        return Outcome(1, {}, lost, built.findings)
-    if dry:
-        return Outcome(0, {}, lost, built.findings)
-    return Outcome(0, {"dated": sink.write(spark, dated, f"{out}/dated"), "undated": sink.write(spark, undated, f"{out}/undated")}, lost, built.findings)
+    return release(spark, kept.unionByName(sink.shaped(built.matches, todo)), built.findings, out, dry, force)
 
 
 def dataset_findings(m: DataFrame, levels: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from matchledger.plans import build
+from matchledger.sinks.shared import cut
 
 PAGE = "page string, fetched timestamp, text string"
 
@@ -20,8 +21,8 @@ def refresh(spark: SparkSession, incoming: str, given: build.Inputs, out: str, c
     A batch holds some pages only, so published rows of all other pages are kept as they are."""
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        pages = df.groupBy("page").agg(F.max_by("text", F.struct("fetched", "text")).alias("text"))
-        arrived = given.catalog.join(F.broadcast(pages.select("page")), "page", "left_semi") if pages.count() <= 10_000 else given.catalog.join(pages.select("page"), "page", "left_semi")
+        pages = cut(df.groupBy("page").agg(F.max_by("text", F.struct("fetched", "text")).alias("text")), "arrived")  # Spark knows its size then
+        arrived = given.catalog.join(pages.select("page"), "page", "left_semi")
         others = given.catalog.join(arrived.select("page"), "page", "left_anti").withColumn("closed", F.lit(True))
         catalog = arrived.withColumn("closed", F.lit(False)).unionByName(others)
         outcome = build.run(spark, replace(given, pages=pages, catalog=catalog), out)

@@ -59,8 +59,9 @@ def test_publish_reuse_and_guards(spark, given, tmp_path):
     assert blocked.code == 1 and [(r["tournament"], r["season"], r["vanished"]) for r in blocked.lost.collect()] == [("Copa", 2010, True)] and files(out) == before
     assert build.run(spark, given, out, failed=given.catalog.select("page").limit(1)).code == 1
     # a season without rows goes
-    kept = published.read(spark, f"{out}/dated/partition=*/*.csv").where("season = 2009").checkpoint()
-    assert sink.write(spark, kept, f"{out}/dated") == {"2010": 0} and [k for k in files(out) if k.startswith("dated")] == [k for k in before if "dated/partition=2009" in k]
+    kept = published.current(spark, out, "dated").where("season = 2009").checkpoint()
+    assert sink.publish(spark, {"dated": kept}, out) == {"dated": {"2010": 0}}
+    assert {r["season"] for r in published.current(spark, out, "dated").collect()} == {2009} and published.current(spark, out, "undated").count() == 1
 
 
 def test_severe_findings_block(spark, given, tmp_path):
