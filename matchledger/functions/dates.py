@@ -19,8 +19,8 @@ LOCAL_ZONE, FILLER_ZONE = "America/Argentina/Buenos_Aires", "Europe/Berlin"
 
 
 def month_number(name: Column) -> Column:
-    months = F.create_map(*(F.lit(x) for kv in MONTHS.items() for x in kv))
-    return months[ascii_letters(F.lower(name))]
+    months = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in MONTHS.items())))
+    return F.try_element_at(months, ascii_letters(F.lower(name))).cast("int")
 
 
 def season_date(day: Column, month: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:

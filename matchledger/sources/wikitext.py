@@ -96,7 +96,7 @@ def table_rows(tabled_lines: DataFrame, block: Column) -> DataFrame:
 
 def labels(row: Column) -> Column:
     """The labels of a row's headers that span columns, without names of columns."""
-    found = F.transform(F.regexp_extract_all(row, F.lit(LABEL), 1), text.clean)
+    found = text.cleaned(F.regexp_extract_all(row, F.lit(LABEL), 1))
     return F.filter(found, lambda c: (c != "") & ~F.lower(c).isin(*COLUMN_NAMES))
 
 
@@ -160,7 +160,7 @@ def league_rows(rows: DataFrame, ambiguous: DataFrame) -> DataFrame:
         "*", held(set_day, start).alias("matchday"), held(set_round, start).alias("round"), held(qualified, F.col("default_group")).alias("group"), held(set_neutral, F.lit(False)).alias("neutral_table"),
         F.sum((F.col("label_kind").isNotNull() | F.col("title").isNotNull()).cast("int")).over(upto).alias("carry"),
     )
-    full = filled(state, 6).withColumn("cells", F.transform("raw", text.cell_text))
+    full = filled(state, 6).withColumn("cells", text.cell_texts(F.col("raw")))
     raw = lambda i: F.get("cells", i)
     got = full.select("*", raw(0).alias("home"), text.score(raw(1)).alias("score"), raw(2).alias("away"), text.shootout(F.get("raw", 1)).alias("pens")).where("score is not null and home <> '' and away <> ''")
     scheduled = dates.iso_date(raw(4), F.col("first_year"), F.col("last_year"), F.col("from_month"))
@@ -184,7 +184,7 @@ def two_leg_rows(rows: DataFrame, captions: DataFrame) -> DataFrame:
     """Two matches of each row of tables that name a column for either leg's home side. captions: (page, block, caption, columns array<string> in order)."""
     known = captions.withColumn("at", F.transform(F.lit(["local - ida", "local - vuelta", "ida", "vuelta"]), lambda c: F.array_position("columns", c).cast("int") - 1))
     own = rows.join(known.where("at[0] >= 0 and at[1] >= 0"), ["page", "block"])
-    cells = F.transform(text.row_cells(F.col("row")), lambda c: text.cell_text(c))
+    cells = text.cell_texts(text.row_cells(F.col("row")))
     own = own.withColumn("cells", cells).where("size(cells) > array_max(transform(columns, (c, i) -> i)) and not row rlike '^\\\\s*!'")
     get = lambda k: F.when(F.col("at")[k] >= 0, F.get("cells", F.col("at")[k])).otherwise("")
     both = own.select("*", get(0).alias("a"), get(1).alias("b"), F.get("cells", F.least(F.col("at")[0], F.col("at")[1])).alias("left"), dates.leg_dates(F.col("caption"), F.col("first_year"), F.col("last_year"), F.col("from_month")).alias("days"))
@@ -202,7 +202,7 @@ def two_leg_rows(rows: DataFrame, captions: DataFrame) -> DataFrame:
 def cup_rows(rows: DataFrame) -> DataFrame:
     """Matches of cup tables (date, venue, home, score, away) in sections of rounds."""
     own = rows.where("not row rlike '^\\\\s*!'").withColumn("cells", text.row_cells(F.col("row"))).where("size(cells) >= 5")
-    own = own.withColumn("told", F.transform(F.slice("cells", 1, 5), text.cell_text))
+    own = own.withColumn("told", text.cell_texts(F.slice("cells", 1, 5)))
     raw = lambda i: F.get("told", i)
     got = own.select("*", raw(2).alias("home"), text.score(raw(3)).alias("score"), raw(4).alias("away"), text.shootout(F.get("cells", 3)).alias("pens")).where("score is not null and home <> '' and away <> ''")
     name = text.capitalised(F.regexp_extract("cup.title", ROUND_HEADING, 1))
@@ -235,7 +235,7 @@ def template_rows(pages: DataFrame, outline: DataFrame, about: DataFrame) -> Dat
     fields = F.transform(pairs, lambda s: F.struct(F.lower(F.trim(F.regexp_replace(F.regexp_extract(s, r"(?s)^([^=]*)=", 1), r"^\|+|[\s]+$", ""))).alias("key"), F.trim(F.regexp_extract(s, r"(?s)^[^=]*=(.*)$", 1)).alias("value")))
     got = found.withColumn("fields", fields).join(about, "page")
     # the raw day is read as it is, too
-    got = got.withColumn("told", F.transform("fields", lambda f: F.struct(f["key"].alias("key"), text.clean(f["value"]).alias("value"))))
+    got = got.withColumn("told", F.arrays_zip(F.col("fields.key").alias("key"), text.cleaned(F.col("fields.value")).alias("value")))
     f = lambda name: _field(F.col("told"), name)
     got = got.select("*", text.score(f("resultado")).alias("score"), text.score(f("resultado penalti")).alias("pens"), f("local").alias("home"), f("visita").alias("away")).where("score is not null")
     heads = outline.where("level is not null").select("page", "pos", "level", "title", F.lit(0).alias("kind"))
@@ -256,7 +256,7 @@ def captions(tabled_lines: DataFrame, block: Column) -> DataFrame:
     own = tabled_lines.withColumn("block", block).where("block is not null")
     leg = r"(?i)^!\s*(?:[^|\n]*\|)?\s*(Local\s*-\s*(?:Ida|Vuelta)|Ida|Vuelta|Global)\s*$"
     column = F.when(F.col("line").rlike(leg), F.struct("pos", F.lower(F.regexp_replace(F.regexp_extract("line", leg, 1), r"\s+", " ")).alias("name")))
-    heads = F.when(F.col("line").rlike("^!"), F.transform(F.split(F.regexp_replace("line", "^!", ""), "!!"), lambda c: F.lower(text.cell_text(c))))
+    heads = F.when(F.col("line").rlike("^!"), F.transform(text.cell_texts(F.split(F.regexp_replace("line", "^!", ""), "!!")), F.lower))
     got = own.groupBy("page", "block").agg(
         F.max(F.when(F.col("line").rlike(r"^\|\+"), F.regexp_extract("line", r"'''\s*(.*?)\s*'''", 1))).alias("caption"), F.array_sort(F.collect_list(column)).alias("cs"),
         F.flatten(F.collect_list(heads)).alias("headers"), F.bool_or(F.exists(labels(F.col("line")), lambda c: c.rlike(MATCHDAY))).alias("labelled"),
@@ -368,7 +368,7 @@ def all_rows(pages: DataFrame, outline: DataFrame | None = None) -> DataFrame:
 
 
 def _with_cells(rows: DataFrame) -> DataFrame:
-    cells = F.transform(text.row_cells(F.col("row")), lambda c: text.cell_text(c))
+    cells = text.cell_texts(text.row_cells(F.col("row")))
     return rows.select("page", "pos", "row", cells.alias("cells")).where("size(cells) >= 3")
 
 
@@ -386,18 +386,17 @@ def unread_rulings(rows: DataFrame) -> DataFrame:
 
 def contradicted_highlights(rows: DataFrame) -> DataFrame:
     """(page, home, away, hs, aws, says): rows of which exactly one of home, score and away is highlighted, against the score. Rows with notes or shootouts say nothing."""
-    raw = rows.where(~F.col("row").rlike(r"(?i)<ref|\{\{\s*refn")).select("page", text.row_cells(F.col("row")).alias("cells"))
-    plain = r"^\s*(\d+)\s*-\s*(\d+)\s*$"
-    first = F.try_element_at(F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("cells") - 2)), lambda k: text.cell_text(F.get("cells", k)).rlike(plain) | F.get("cells", k).rlike(r"(?i)\{\{\s*small|\bpen\.|\(\d+\)")), F.lit(1))
-    got = raw.where("size(cells) >= 3").withColumn("k", first).where("k is not null")
+    raw = rows.where(~F.col("row").rlike(r"(?i)<ref|\{\{\s*refn")).select("page", text.row_cells(F.col("row")).alias("cells")).where("size(cells) >= 3")
+    raw = raw.withColumn("told", text.cell_texts(F.col("cells")))
+    plain, shootout = r"^\s*(\d+)\s*-\s*(\d+)\s*$", r"(?i)\{\{\s*small|\bpen\.|\(\d+\)"
+    is_score = lambda k: F.get("told", k).rlike(plain) | F.get("cells", k).rlike(shootout)
+    got = raw.withColumn("k", F.get(F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("cells") - 2)), is_score), 0)).where("k is not null")
     cell = lambda d: F.get("cells", F.col("k") + d)
     blue = [cell(d).rlike(r"""(?i)bgcolor\s*=\s*["']?#?(?:d0e7ff|doe7ff)\b""").cast("int") for d in (-1, 0, 1)]
-    told = text.cell_text(cell(0))
-    goals = [F.regexp_extract(told, plain, k).try_cast("int") for k in (1, 2)]
-    says = F.when(blue[0] == 1, "home").when(blue[1] == 1, "draw").otherwise("away")
-    by_goals = F.when(goals[0] > goals[1], "home").when(goals[1] > goals[0], "away").otherwise("draw")
-    odd = got.where(told.rlike(plain) & ~cell(0).rlike(r"(?i)\{\{\s*small|\bpen\.|\(\d+\)") & (blue[0] + blue[1] + blue[2] == 1) & (says != by_goals))
-    return odd.select("page", text.cell_text(cell(-1)).alias("home"), text.cell_text(cell(1)).alias("away"), goals[0].alias("hs"), goals[1].alias("aws"), says.alias("says")).distinct()
+    goal = lambda k: F.regexp_extract("score", plain, k).try_cast("int")
+    got = got.select("page", F.get("told", F.col("k") - 1).alias("home"), F.get("told", F.col("k")).alias("score"), F.get("told", F.col("k") + 1).alias("away"), cell(0).rlike(shootout).alias("decided"), *(c.alias(f"b{i}") for i, c in enumerate(blue)))
+    got = got.where("b0 + b1 + b2 = 1 and not decided").where(F.col("score").rlike(plain)).select("page", "home", "away", goal(1).alias("hs"), goal(2).alias("aws"), F.expr("CASE WHEN b0 = 1 THEN 'home' WHEN b1 = 1 THEN 'draw' ELSE 'away' END").alias("says"))
+    return got.where("says <> CASE WHEN hs > aws THEN 'home' WHEN aws > hs THEN 'away' ELSE 'draw' END").distinct()
 
 
 def standings(pages: DataFrame, outline: DataFrame | None = None) -> DataFrame:
@@ -421,7 +420,7 @@ def standings(pages: DataFrame, outline: DataFrame | None = None) -> DataFrame:
     titled = marked.where("table is not null").groupBy("page", F.col("table").cast("string").alias("block")).agg(F.min(F.struct("pos", F.coalesce("own_title", F.lit("")).alias("t"))).alias("s"))
     own = table_rows(marked, block).join(heads.select("page", "block"), ["page", "block"]).join(titled.where(~F.col("s.t").rlike(AGGREGATE_TITLE)).select("page", "block"), ["page", "block"])
     raw = F.filter(text.row_cells(F.col("row")), lambda c: F.trim(c) != "")
-    cells = own.select("page", "pos", raw.alias("raw")).withColumn("cells", F.transform("raw", lambda c: text.cell_text(c)))
+    cells = own.select("page", "pos", raw.alias("raw")).withColumn("cells", text.cell_texts(F.col("raw")))
     numbers = F.filter("cells", lambda c: c.rlike(r"^[-+]?\d+$"))
     names = F.filter(F.sequence(F.lit(0), F.size("cells") - 1), lambda i: F.get("cells", i).rlike(r"[A-Za-zÁ-ú]{3}") & ~F.get("cells", i).contains("="))
     sized = cells.where("size(cells) > 0").select("page", "pos", "raw", "cells", numbers.alias("ns"), names.alias("at")).where("size(ns) >= 8 and size(at) > 0")
