@@ -45,7 +45,7 @@ class ChunkEncoder:
     and numpy lines up the ids. The same pattern never joins a letter to punctuation after it, so a chunk of ASCII
     letters and one mark at its end is two. A text that holds one of the tokenizer's added tokens is encoded as a whole."""
 
-    def __init__(self, path: str, keep: int = 1_600_000):
+    def __init__(self, path: str, keep: int = 1_200_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
