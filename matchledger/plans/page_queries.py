@@ -66,13 +66,30 @@ def match_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rowspans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second order shares the cell of the day of the order before, if that cell reaches down; notes suspend some matches."""
-    day = told('rowspan=1|', c("d"), " de marzo")
-    note = F.when(c("k") % 5 == 0, "<ref>El partido fue suspendido</ref>").otherwise("")
-    line = told("|-\n| ", c("home"), " || ", c("a"), " - ", c("b"), " || ", c("away"), " || Ground || ", day, " || 16:00", note, "\n")
+    """A cell of the day fills three rows at every tenth order, two at other even ones, and the rows below have none of their
+    own; the ground is a cell of two rows at every fourth. Notes suspend matches or tell the day on which they were played."""
+    k = c("k")
+    head = (k % 10 == 0) | ((k % 2 == 0) & (k % 10 != 2))  # a day of its own: three rows from 0, two from 4, 6 and 8, one row at 3
+    span = F.when(k % 10 == 0, 3).when(k % 2 == 0, 2).otherwise(1)
+    day = F.when(head | (k % 10 == 3), told(" || ", F.when(span > 1, told("rowspan=", span, "|")).otherwise(""), c("d"), " de marzo")).otherwise("")
+    ground = F.when(k % 4 == 0, told(" || rowspan=2|Ground ", c("a") + c("b"))).when(k % 4 == 1, "").otherwise(" || Ground")
+    note = F.when(k % 5 == 0, "<ref>El partido fue suspendido</ref>").when(k % 7 == 1, "<ref>Se jugó el 20 de abril</ref>").otherwise("")
+    line = told("|-\n| ", c("home"), " || ", c("a"), " - ", c("b"), " || ", c("away"), ground, day, " || 16:00", note, "\n")
     before = '== Torneo Apertura ==\n=== Resultados ===\n{| class="wikitable"\n! colspan="6" | Interzonales\n|-\n! Local !! Resultado !! Visitante !! Estadio !! Fecha !! Hora\n'
     pages = pages_of(spark, sf_dir, line, before, "|}\n")
-    return wikitext.matches(pages, about(pages, "league"), cut).select("page", "date", "time", "home", "away", "hs", "aws", "status", "grp", "section")
+    return wikitext.matches(pages, about(pages, "league"), cut).select("page", "date", "time", "home", "away", "hs", "aws", "status", "grp", "section", "venue")
+
+
+def ambiguous_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stages with a group of one name each, and another that only one stage has: the first are told with their stage."""
+    line = told("|-\n| ", c("home"), " ", c("k"), " || ", c("a"), "-", c("b"), " || ", c("away"), "\n")
+    rows = read(spark, sf_dir, "orders").selectExpr(*(f"{e} AS {n}" for n, e in ROW.items()))
+    held = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct((c("k") % 3).alias("part"), "k", line.alias("line")))).alias("ls"))  # of one page's range of orders
+    body = lambda part: F.array_join(F.transform(F.filter("ls", lambda x: x["part"] == part), lambda x: x["line"]), "")
+    table = lambda label, part: F.concat(F.lit(f'=== Resultados ===\n{{| class="wikitable"\n! colspan="6" | {label}\n'), body(part), F.lit("|}\n"))
+    text = F.concat(F.lit("== Primera etapa ==\n"), table("Zona A", 0), F.lit("== Segunda etapa ==\n"), table("Zona A", 1), F.lit("== Tercera etapa ==\n"), table("Zona B", 2))
+    pages = cut(held.select("page", text.alias("text")), "pages")
+    return wikitext.matches(pages, about(pages, "league"), cut).select("page", "home", "away", "hs", "aws", "grp", "section", "phase")
 
 
 def standings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +144,19 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page", "date", "matchday", "home", "away", "hs", "aws", "section", "grp", "status")
 
 
+def long_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match is decided by a note that runs on beside the match below; names have brackets."""
+    line = told(
+        "Round ", c("k") % 40 + 1, " [Mar ", c("d"), "]\n", c("home"), " (P)        awd ", c("away"), " (C)      [abandoned at 0-0 (of\n", c("home"), "            ", c("a"), "-", c("b"), " ", c("away"), "      90'), then awarded\n",
+        "                              ", c("b") + 1, "-", c("a"), " by (the) board]\n",
+    )
+    pages = pages_of(spark, sf_dir, line, "Torneo Apertura\nZona A\n")
+    short = report_names(pages)
+    both = short.withColumn("short", F.explode(F.array("short", F.concat("short", F.lit(" (P)")), F.concat("short", F.lit(" (C)")))))
+    rows, _ = feeds.report_matches(pages, both, about(pages, "league"))
+    return rows.select("page", "date", "matchday", "home", "away", "hs", "aws", "status")
+
+
 def report_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = told("First Leg [Jun ", c("d") % 28 + 1, "]\n", c("home"), "          ", c("a"), "-", c("a"), "     ", c("away"), F.when(c("k") % 2 == 0, "     [4-3 pen]").otherwise(""), "\n")
     pages = pages_of(spark, sf_dir, line, "Torneo Final\nZona A\nSemifinals\n")
@@ -139,6 +169,8 @@ QUERIES = {
     "two_leg_pages": two_legs,
     "template_pages": match_templates,
     "rowspan_pages": rowspans,
+    "ambiguous_groups": ambiguous_groups,
+    "report_long_notes": long_notes,
     "standings_pages": standings,
     "bracket_slots": lambda s, d: wikitext.bracket_slots(bracket(s, d)).select("page", "rd", "slot", "name", "article"),
     "bracket_legs": lambda s, d: wikitext.bracket_legs(bracket(s, d)).select("page", "one", "two", "leg", "a", "b"),
@@ -157,7 +189,14 @@ ORACLE_SQL = {
 UNION ALL SELECT page, '2010-06-17', away, concat(home, ' ', k), a, b, 'knockout', 'Final', 'Torneo Clausura' FROM o""",
     "template_pages": f"""WITH {O} SELECT page, {_MARCH} AS date, 'El Gran Campo' AS venue, home, away, a AS hs, b AS aws, CASE WHEN k % 5 = 0 THEN 4 END AS hpens, CASE WHEN k % 5 = 0 THEN 3 END AS apens,
   'knockout' AS phase, 'Final' AS matchday, 'Torneo Clausura' AS section FROM o""",
-    "rowspan_pages": f"""WITH {O} SELECT page, {_MARCH} AS date, '16:00' AS time, home, away, a AS hs, b AS aws, CASE WHEN k % 5 = 0 THEN 'suspended' ELSE '' END AS status, 'Interzonal' AS grp, 'Torneo Apertura' AS section FROM o""",
+    "rowspan_pages": f"""WITH {O}, h AS (SELECT *, k - CASE WHEN k % 10 <= 2 THEN k % 10 WHEN k % 10 = 3 THEN 0 ELSE k % 2 END AS day_of, k - k % 4 % 2 * (k % 4 = 1)::INT AS ground_of FROM o),
+t AS (SELECT h.*, x.d AS day, y.a + y.b AS ground FROM h JOIN o x ON x.k = day_of JOIN o y ON y.k = ground_of)
+SELECT page, CASE WHEN k % 7 = 1 AND k % 5 <> 0 THEN '2010-04-20' ELSE printf('2010-03-%02d', day) END AS date, '16:00' AS time, home, away, a AS hs, b AS aws, CASE WHEN k % 5 = 0 THEN 'suspended' ELSE '' END AS status, 'Interzonal' AS grp, 'Torneo Apertura' AS section,
+  CASE WHEN k % 4 <= 1 THEN 'Ground ' || ground ELSE 'Ground' END AS venue FROM t""",
+    "ambiguous_groups": f"""WITH {O} SELECT page, concat(home, ' ', k) AS home, away, a AS hs, b AS aws, CASE k % 3 WHEN 0 THEN 'Primera etapa - Zona A' WHEN 1 THEN 'Segunda etapa - Zona A' ELSE 'Zona B' END AS grp,
+  CASE k % 3 WHEN 0 THEN 'Primera etapa' WHEN 1 THEN 'Segunda etapa' ELSE 'Tercera etapa' END AS section, 'groups' AS phase FROM o""",
+    "report_long_notes": f"""WITH {O} SELECT page, {_MARCH} AS date, (k % 40 + 1)::INT AS matchday, concat('FC ', home) AS home, concat('FC ', away) AS away, b + 1 AS hs, a AS aws, 'suspended' AS status FROM o
+UNION ALL SELECT page, {_MARCH}, (k % 40 + 1)::INT, concat('FC ', home), concat('FC ', away), a, b, '' FROM o""",
     "standings_pages": f"""WITH {O} SELECT page, concat(home, ' ', k) AS club, concat('Art ', home) AS article, a + b AS pj, a + (k % 5 = 0)::INT AS gf, b AS gc, a AS g, 0 AS e, b AS p, k % 5 <> 0 AS closes FROM o""",
     "bracket_slots": f"""WITH {O} SELECT page, 1 AS rd, 1 AS slot, home AS name, concat('Art ', home) AS article FROM o UNION ALL SELECT page, 1, 2, concat(away, ' ', k), '' FROM o""",
     "bracket_legs": f"""WITH {O} SELECT page, home AS one, concat(away, ' ', k) AS two, 1 AS leg, a, b FROM o UNION ALL SELECT page, home, concat(away, ' ', k), 2, b, 1 FROM o""",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from matchledger.functions import dates, text
+from matchledger.functions.letters import unescaped
 from matchledger.operators import entities, relational
 from matchledger.plans.views import M, matches, read
 
@@ -92,7 +93,17 @@ def first_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches(spark, sf_dir).withColumn("k", F.row_number().over(w)).where("k <= 6").select("page", "k", "row_id")
 
 
+#: Names with letters of many languages, some of which have no base letter.
+LETTERS = "concat(substring('šžőğąęćńśźčěřůțșāēīūķļØłßŠŽŐĞÀÉ', CAST(p_partkey % 31 AS INT) + 1, 3), 'Ş ', p_name, '’', substring('ďťňľĺŕéíóúýäôçãõñåöüâêî', CAST(p_size % 23 AS INT) + 1, 2), ' ( ', p_brand, ' ).')"
+#: Wrappers of three levels, one of them never closed.
+NESTED = "concat('{{nowrap|{{flag|{{x|', p_brand, '}}}} ', p_name, ' {{ nowrap | ', p_type, '}} {{y|z}}}}', CASE WHEN p_size % 3 = 0 THEN ' {{nowrap|open {{nowrap|in}} end' ELSE '' END)"
+ENTITIES = "concat('&#', CAST(161 + p_partkey % 700 AS STRING), ';', p_name, '&eacute;&amp;lt;&copy ', '&#x', {0}, ';&unknown; & &ntilde', p_brand)"
+
+
 QUERIES = {
+    "letters": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{LETTERS} AS n").select("p_partkey", text.normalized(F.col("n")).alias("name")),
+    "nested_wrappers": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{NESTED} AS n").select("p_partkey", text.clean(F.col("n")).alias("clean")),
+    "entities": lambda s, d: read(s, d, "part").selectExpr("p_partkey", ENTITIES.format("lower(hex(161 + p_size))") + " AS n").select("p_partkey", unescaped(F.col("n")).alias("told")),
     "clean_text": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{MESSY} AS raw").select("p_partkey", text.clean(F.col("raw")).alias("clean")),
     "normalize_name": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(text.normalized(F.col("text"))).alias("name_md5")),
     "core_name": lambda s, d: read(s, d, "part").selectExpr("p_partkey", "concat('Ñandú ', p_name, '. (', p_type, ') ', p_brand) AS n").select("p_partkey", text.core_name(F.col("n")).alias("core"), text.base_name(F.concat("n", F.lit(" (x)"))).alias("base")),
@@ -115,13 +126,16 @@ QUERIES = {
     "first_samples": first_samples,
 }
 
-#: What normalized() does, for ASCII, accents and quotes.
-_NORMALIZED = """trim(regexp_replace(regexp_replace(replace(regexp_replace(lower(regexp_replace(translate(translate(translate({0}, '“”«»', '""""'), '‘’´`', ''''''''''), 'áàâäãåéèêëíìîïóòôöõúùûüñçýÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇÝ', 'aaaaaaeeeeiiiiooooouuuuncyAAAAAAEEEEIIIIOOOOOUUUUNCY'), '[^\\x00-\\x7F]', '', 'g')), '\\.', ' ', 'g'), '(', ' ('), '\\s*\\(\\s*', ' (', 'g'), '\\s+', ' ', 'g'), ' ')"""
+#: What normalized() does, for letters with accents and apostrophes.
+_NORMALIZED = r"""trim(regexp_replace(regexp_replace(regexp_replace(replace(lower(regexp_replace(strip_accents(translate({0}, '`’´', '''''''')), '[^\x00-\x7F]', '', 'g')), '.', ' '), '\s*\(\s*', ' (', 'g'), '\s*\)', ')', 'g'), '\s+', ' ', 'g'), ' ')"""
 _MONTH = "CASE month(o_orderdate) WHEN 11 THEN NULL ELSE month(o_orderdate) END"
 _UNFINISHED = "regexp_matches(note, '(?i)suspendid|abandon[oó]|no se present[oó]|interrumpi')"
 _DESK = "regexp_matches(note, '(?i)se le dio por (ganado|perdido)|(mala|indebida) inclusi[oó]n')"
 
 ORACLE_SQL = {
+    "letters": f"SELECT p_partkey, {_NORMALIZED.format(LETTERS)} AS name FROM part",
+    "nested_wrappers": """SELECT p_partkey, concat('{{flag|}} ', p_name, ' ', p_type, CASE WHEN p_size % 3 = 0 THEN ' open in}} end' ELSE '' END) AS clean FROM part""",
+    "entities": """SELECT p_partkey, concat(chr((161 + p_partkey % 700)::INT), p_name, 'é&lt;© ', chr((161 + p_size)::INT), '&unknown; & ñ', p_brand) AS told FROM part""",
     "clean_text": """SELECT p_partkey, concat(p_name, ' ', p_brand, ' (', p_size % 3, ')', CASE p_size % 4 WHEN 0 THEN ' kept' WHEN 1 THEN ' x' ELSE '' END) AS clean FROM part""",
     "normalize_name": f"SELECT doc_id, md5({_NORMALIZED.format('text')}) AS name_md5 FROM documents",
     "core_name": """SELECT p_partkey, concat('nandu ', p_name, ' ', regexp_replace(lower(p_brand), '[^a-z0-9]+', ' ', 'g')) AS core, concat('nandu ', p_name, ' (', lower(p_type), ') ', lower(p_brand)) AS base FROM part""",
