@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from matchledger.functions.dates import day_number
 from matchledger.functions.text import label_number, pair_key, round_name, round_rank, winner
 from matchledger.schema import GROUP, GROUPS, KNOCKOUT, MOST_GOALS, STAGE_GROUP
+from matchledger.sinks.shared import cut
 
 
 def text(*parts: Column | str) -> Column:
@@ -162,45 +163,46 @@ def home_balance(m: DataFrame) -> DataFrame:
     return finding(odd, "home_balance", False, F.concat_ws(" / ", "section", "grp", "one", "two"), text(F.col("at_one"), "/", F.col("n")))
 
 
-def chain(m: DataFrame) -> DataFrame:
+def chain(m: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = cut) -> DataFrame:
     """Knockout rounds must follow from each other: who plays a round after having played before has won the round before.
 
     A page's stages are looked at one by one (a stage with few matches only if the page has several). Rounds are
     ordered by the ladder. Where a label is not on it: a single label is no chain; labels that share no club are
     series of their own; labels with exactly the same clubs are legs of one round, ordered by their first date; else
     the stage can't be reviewed, which is said. New entrants are told; undecided pairs are excused unless both go on.
+
+    The matches are read once: what the check needs of them is written as a table (keep), and so are the rounds.
     """
     key = ["page", "section"]
-    own = m.where((F.col("phase") == KNOCKOUT) & (F.col("date") != "")).withColumn("rung", round_rank(round_name(F.col("matchday"))))
+    won = winner(*(F.col(c) for c in ("home", "away", "hs", "aws", "hpens", "apens")))
+    own = m.where((F.col("phase") == KNOCKOUT) & (F.col("date") != "")).select(*key, "row_id", "date", "matchday", "home", "away", "hs", "aws", won.alias("won"), round_rank(round_name(F.col("matchday"))).alias("rung"))
     stage = Window.partitionBy(*key)
-    own = own.withColumn("n", F.count("*").over(stage)).withColumn("off", F.count_if(F.col("rung").isNull()).over(stage)).where("n >= 3")
+    own = keep(own.withColumn("n", F.count("*").over(stage)).withColumn("off", F.count_if(F.col("rung").isNull()).over(stage)).where("n >= 3"), "knockout")
     # where every label is known, its place on the ladder orders the rounds
     laddered = own.where("off = 0").withColumn("k", F.dense_rank().over(stage.orderBy("rung")))
     folded, told = _by_roster(own.where("off > 0"))
     cols = [*key, "k", "row_id", "home", "away", "won"]
-    won = winner(*(F.col(c) for c in ("home", "away", "hs", "aws", "hpens", "apens")))
-    rounds = laddered.withColumn("won", won).select(*cols).union(folded.withColumn("won", won).select(*cols))
-
-    plays = rounds.select(*key, "k", "row_id", "won", F.explode(F.array("home", "away")).alias("club")).where("club <> ''")
-    held = plays.groupBy(*key, "k", "club").agg(F.max(F.col("won") == F.col("club")).alias("wins"))
-    club = Window.partitionBy(*key, "club").orderBy("k")
-    before = stage.orderBy("k").rangeBetween(-1, -1)
+    # a row for each side of a match, with its club's next round
+    side = lambda club, rival: F.struct(F.col(club).alias("club"), F.col(rival).alias("rival"))
+    plays = laddered.select(*cols).union(folded.select(*cols)).select(*key, "k", "row_id", "won", F.inline(F.array(side("home", "away"), side("away", "home")))).where("club <> ''")
+    of_club = Window.partitionBy(*key, "club").orderBy("k")
+    later = F.min("k").over(of_club.rangeBetween(1, Window.unboundedFollowing))
+    plays = plays.withColumn("on", F.coalesce(later == F.col("k") + 1, F.lit(False)))
+    # a club that goes on from an undecided match is excused, unless its rival goes on too
+    both = F.min("on").over(Window.partitionBy(*key, "k", "row_id")) & (F.count("*").over(Window.partitionBy(*key, "k", "row_id")) == 2) & (F.col("club") != F.col("rival"))
+    plays = keep(plays.withColumn("pardoned", (F.col("won") == "") & (F.col("rival") != "") & ~both), "sides")
+
+    held = plays.groupBy(*key, "k", "club").agg(F.max(F.col("won") == F.col("club")).alias("wins"), F.max("pardoned").alias("pardoned"))
+    last = F.lag("k").over(of_club) == F.col("k") - 1
     seen = held.withColumns({
-        "debut": F.min("k").over(Window.partitionBy(*key, "club")),
-        "passed": (F.lag("k").over(club) == F.col("k") - 1) & F.lag("wins").over(club),
-        "reviewable": F.max("wins").over(before),
+        "debut": F.min("k").over(Window.partitionBy(*key, "club")), "passed": last & F.lag("wins").over(of_club), "excused": last & F.lag("pardoned").over(of_club),
+        "reviewable": F.max("wins").over(stage.orderBy("k").rangeBetween(-1, -1)),
     }).where("reviewable")
-    fresh = seen.where("debut = k")
-    drawn = rounds.where("won = '' and home <> '' and away <> ''").select(*key, (F.col("k") + 1).alias("k"), F.least("home", "away").alias("one"), F.greatest("home", "away").alias("two")).distinct()
-    goes_on = lambda side: held.select(*key, "k", F.col("club").alias(side), F.lit(True).alias(f"{side}_on"))
-    settled = drawn.join(goes_on("one"), [*key, "k", "one"], "left").join(goes_on("two"), [*key, "k", "two"], "left")
-    excused = settled.where("one = two or one_on is null or two_on is null").select(*key, "k", F.explode(F.array("one", "two")).alias("club")).distinct()
-    wrong = seen.where("debut < k and not coalesce(passed, false)").join(excused, [*key, "k", "club"], "left_anti").select(*key, "k", "club")
-    broken = plays.join(wrong, [*key, "k", "club"])
-    return (
-        told.union(finding(fresh, "chain_entrants", False, text(F.col("section"), " / ", F.col("k")), F.col("club")))
-        .union(finding(broken, "chain_broken", False, text(F.col("section"), " / ", F.col("k")), text(F.col("row_id"), " ", F.col("club"))))
-    )
+    where = text(F.col("section"), " / ", F.col("k"))
+    marked = seen.select(*key, "k", "club", F.when(F.col("debut") == F.col("k"), "chain_entrants").when(~F.coalesce("passed", F.lit(False)) & ~F.coalesce("excused", F.lit(False)), "chain_broken").alias("check")).where("check is not null")
+    fresh = finding(marked.where("check = 'chain_entrants'"), "chain_entrants", False, where, F.col("club"))
+    broken = plays.join(marked.where("check = 'chain_broken'").drop("check"), [*key, "k", "club"])
+    return told.union(fresh).union(finding(broken, "chain_broken", False, where, text(F.col("row_id"), " ", F.col("club"))))
 
 
 def _by_roster(own: DataFrame) -> tuple[DataFrame, DataFrame]:

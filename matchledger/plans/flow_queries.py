@@ -106,7 +106,26 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows").select(since, "season", "club", "pj", "gf", "gc", "g", "e", "p")
 
 
+def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches that come in six batches, rows of one key in any of them: duplicates, and clubs that play twice a matchday."""
+    at = build.folder(spark, "batches")
+    matches(spark, sf_dir).repartition(6, "row_id").write.parquet(f"{at}/in")
+    files = lambda: spark.readStream.schema(spark.read.parquet(f"{at}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    twice = ["page", "section", "grp", "matchday", "club"]
+    asked = {
+        "duplicate": (files().where("date <> ''"), ["page", "date", "home", "away"]),
+        "twice_a_matchday": (checks.sides(files().where("phase = 'groups' and matchday <> ''"), *twice[1:4]), twice),
+    }
+    out = []
+    for name, (rows, keys) in asked.items():
+        refresh.repeated(rows, keys, f"{at}/{name}").awaitTermination()
+        found = refresh.found_repeats(spark, keys, f"{at}/{name}")
+        out.append(found.select(F.lit(name).alias("check"), "page", F.concat_ws("/", *keys[1:]).alias("key"), "n"))
+    return out[0].union(out[1])
+
+
 QUERIES = {
+    "stream_repeats": stream_repeats,
     "publish_and_read": published_twice,
     "live_standings": live,
     "shape_for_publish": shaped,
@@ -124,6 +143,8 @@ _SHAPED = f"""{M}, s AS (SELECT date, time, home AS home_team, away AS away_team
 _FILL, _FILLED = JOIN_SQL["unique_key_fill"].replace("season = 1998", "false").rsplit("\nSELECT", 1)  # nothing is settled here
 
 ORACLE_SQL = {
+    "stream_repeats": f"""WITH {SIDES} SELECT 'duplicate' AS "check", page, concat_ws('/', date, home, away) AS key, count(*) AS n FROM m WHERE date <> '' GROUP BY page, date, home, away HAVING count(*) > 1
+UNION ALL SELECT 'twice_a_matchday', page, concat_ws('/', section, grp, matchday, club), count(*) FROM sides WHERE phase = 'groups' AND matchday <> '' GROUP BY page, section, grp, matchday, club HAVING count(*) > 1""",
     "fill_then_check": f"""{_FILL}, filled AS (SELECT{_FILLED}), got AS (SELECT page, coalesce(filled.date, m.date) AS date, home, away FROM m LEFT JOIN filled USING (page, row_id))
 SELECT page, count(*) AS n FROM (SELECT page, date, home, away FROM got WHERE date <> '' GROUP BY ALL HAVING count(*) > 1) GROUP BY page""",
     "publish_and_read": f"WITH {_SHAPED} SELECT * REPLACE (CASE WHEN season = 2000 AND home_score = 4 THEN 9 ELSE away_score END AS away_score) FROM s WHERE trim(date) <> '' AND season <> 1997",

@@ -25,9 +25,9 @@ def voting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolved_external(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By id for clubs under 10, by the registry's names for those from 8 on; club 15 is in neither."""
-    ids = spark.range(10).selectExpr("concat('t', CAST(id AS STRING)) AS ext_id", "concat('Club ', CAST(id AS STRING)) AS club")
     ext = external(spark, sf_dir)
-    mapping = ext.select("page").distinct().join(F.broadcast(ids))  # ten rows
+    n = F.explode(F.sequence(F.lit(0), F.lit(9)).cast("array<string>")).alias("n")
+    mapping = ext.select("page").distinct().select("page", n).select("page", F.concat(F.lit("t"), "n").alias("ext_id"), F.concat(F.lit("Club "), "n").alias("club"))
     names = spark.range(8, 20).where("id <> 15").select(F.concat(F.lit("Club "), F.col("id").cast("string")).alias("entity")).select(normalized(F.col("entity")).alias("name"), "entity")
     return joins.named(ext, mapping, names)
 

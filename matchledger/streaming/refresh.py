@@ -39,3 +39,26 @@ def live_standings(matches: DataFrame, late: str = "7 days") -> DataFrame:
     return seen.groupBy(F.window("at", "30 days"), "season", "club").agg(
         F.count("*").alias("pj"), F.sum("gf").alias("gf"), F.sum("gc").alias("gc"), F.count_if(F.col("gf") > F.col("gc")).alias("g"), F.count_if(F.col("gf") == F.col("gc")).alias("e"), F.count_if(F.col("gf") < F.col("gc")).alias("p"),
     )
+
+
+def repeated(rows: DataFrame, keys: list[str], at: str) -> StreamingQuery:
+    """A stream of rows -> keys that more than one row has, whatever batches these rows come in, under `at`.
+
+    The state is a table of the keys seen, with counts: at/seen, a folder for each batch. A batch adds its own keys and
+    looks up only these in what came before; what it finds is at/found. Both folders are replaced if a batch runs again
+    after a failure, so nothing is counted twice. Rows may come as late as they like; read found_repeats()."""
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        df.groupBy(*keys).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{at}/seen/batch={batch_id}")
+        seen = spark.read.parquet(f"{at}/seen").where(F.col("batch") <= batch_id)
+        own = seen.where(F.col("batch") == batch_id).select(*keys)
+        total = seen.join(own, keys, "left_semi").groupBy(*keys).agg(F.sum("n").alias("n")).where("n > 1")
+        total.write.mode("overwrite").parquet(f"{at}/found/batch={batch_id}")
+
+    return rows.writeStream.foreachBatch(batch).option("checkpointLocation", f"{at}/stream").trigger(availableNow=True).start()
+
+
+def found_repeats(spark: SparkSession, keys: list[str], at: str) -> DataFrame:
+    """(keys, n): the keys that repeated() has found so far, with how many rows have them."""
+    return spark.read.parquet(f"{at}/found").groupBy(*keys).agg(F.max("n").alias("n"))
