@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from matchledger.functions.text import normalized, source_page
 from matchledger.operators import amend, checks, entities, joins, reconcile
 from matchledger.operators.checks import text
-from matchledger.schema import FINDING, MATCH
+from matchledger.schema import FINDING, GROUPS, MATCH
 from matchledger.sinks import published as sink
 from matchledger.sinks.shared import cut, folder  # noqa: F401
-from matchledger.sources import extracts, published
+from matchledger.sources import extracts, feeds, published
 
 AMENDMENTS = {
     "swap": (["page", "matchday", "home", "away", "hs", "aws"], ["home", "away"]),
@@ -30,12 +30,17 @@ AMENDMENTS = {
 }
 
 
+MATCH_COLUMNS = [c.split()[0] for c in MATCH.split(", ")]
+
+
 @dataclass(frozen=True)
 class Inputs:
-    """pages (page, text); catalog (page, url, tournament, season, last_year, from_month, layout, neutral, closed); registry (entity, ext_id, aliases); the rest may be left out.
+    """pages (page, text); catalog (page, url, tournament, season, last_year, from_month, layout, neutral, closed, and gridless if there are such pages); registry (entity, ext_id, aliases); the rest may be left out.
 
     amendments by kind: swap, score, split, missing, alias, venue, replace. sources: external matches by credit, in the
-    order in which they fill dates; their clubs are home_club and away_club, or to be named if mapped by votes."""
+    order in which they fill dates; their clubs are home_club and away_club, or to be named if mapped by votes.
+    Pages that the catalogue flags `gridless` have no results of their own: theirs are read from reports (page, text) by
+    the names in report_names (page, grp, short, club), and from nowhere else."""
 
     pages: DataFrame
     catalog: DataFrame
@@ -47,6 +52,8 @@ class Inputs:
     waivers: DataFrame | None = None
     ties: DataFrame | None = None
     arbitrated: DataFrame | None = None
+    reports: DataFrame | None = None
+    report_names: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -65,14 +72,34 @@ def indexes(given: Inputs) -> tuple[DataFrame, DataFrame | None]:
     return names, cut(entities.article_index(given.articles, given.registry), "articles") if given.articles is not None else None
 
 
+def imported(given: Inputs) -> tuple[DataFrame, DataFrame]:
+    """(matches, findings) of pages without a grid, from their reports. A page whose report is missing or tells no match
+    is left without any, which is severe; what the reports say that cannot be used is told."""
+    spark = given.pages.sparkSession
+    pages = given.catalog.where("gridless").select("page", F.col("season").alias("first_year"), "last_year", "from_month")
+    if given.reports is None or given.report_names is None:
+        return spark.createDataFrame([], MATCH), findings(pages, "import_failed", True, F.lit("no reports"))
+    rows, problems = feeds.report_matches(given.reports.join(pages.select("page"), "page", "left_semi"), given.report_names, pages)
+    rows = cut(rows, "imported")
+    blank, none = F.lit(""), F.lit(None)
+    cols = {
+        "row_id": F.concat_ws("#", "page", F.lit("2"), "section", "grp", F.col("matchday").cast("string"), "home", "away"), "time": blank, "hpens": none.cast("int"), "apens": none.cast("int"), "competition": F.col("tournament"),
+        "phase": F.lit(GROUPS), "matchday": F.concat(F.lit("Fecha "), F.col("matchday").cast("string")), "venue": blank, "neutral": none.cast("boolean"), "date_credit": blank,
+    }
+    m = rows.join(given.catalog.select("page", "tournament", "season"), "page")
+    lost = pages.select("page").join(rows.select("page").distinct(), "page", "left_anti")
+    told = problems.select("page", F.concat(F.lit("import_"), "kind").alias("check"), F.lit(False).alias("severe"), F.col("detail").alias("subject"), blank.alias("detail"))
+    return m.select(*(cols.get(k, F.col(k)).alias(k) for k in MATCH_COLUMNS)), told.union(findings(lost, "import_failed", True, F.lit("the report")))
+
+
 def extract(given: Inputs, told: dict[str, DataFrame], names: DataFrame, articles: DataFrame | None) -> DataFrame:
     """Matches of the pages with their clubs' own names. told: the tables of sources.extracts."""
     by_page = cut(entities.page_articles(told["links"]), "links")
-    m = told["matches"].drop("row").join(given.catalog.select("page", F.col("tournament").alias("competition"), "season"), "page").withColumn("date_credit", F.lit(""))
+    m = told["matches"].drop("row").join(given.catalog.where("not gridless").select("page", F.col("tournament").alias("competition"), "season"), "page").withColumn("date_credit", F.lit(""))
     for side in ("home", "away"):
         linked = m.join(by_page.select("page", F.col("visible").alias(side), F.col("article").alias("__art")), ["page", side], "left").withColumn("__art", F.coalesce("__art", F.lit("")))
         m = entities.canonized(linked, side, "__art", names, articles).drop("__art")
-    m = m.select(*(c.split()[0] for c in MATCH.split(", ")))
+    m = m.select(*MATCH_COLUMNS)
     if given.ties is not None:
         judged = joins.without_repeats(given.ties, m)
         m = m.unionByName(judged.where("verdict = 'new'").select(*given.ties.columns), allowMissingColumns=True)
@@ -142,7 +169,7 @@ def cross_checked(m: DataFrame, given: Inputs, pages: dict[str, DataFrame], name
         "standings_unbalanced": findings(reconcile.unbalanced(table, m), "standings_unbalanced", False, F.col("scope")),
         "standings_without_matches": findings(reconcile.without_matches(table, m), "standings_without_matches", False, club),
         "standings_row_open": findings(told.where("not closes"), "standings_row_open", False, club),
-        "standings_unknown": findings(told.where("entity is null").select("page", "club").distinct(), "standings_unknown", False, club),
+        "standings_unknown": findings(entities.outside(told, "club", "entity"), "standings_unknown", False, club),
         "bracket_clubs": findings(reconcile.bracket_clubs(bracket, m, own_names), "bracket_clubs", False, F.col("kind"), club),
         "bracket_scores": findings(reconcile.bracket_scores(legs, m), "bracket_scores", False, F.col("kind"), F.col("one"), F.col("two")),
         "void_match": findings(pages["voided"], "void_match", False, F.col("home"), F.col("away")),
@@ -174,11 +201,17 @@ def appended(spark: SparkSession, parts: dict[str, DataFrame]) -> DataFrame:
 def process(given: Inputs, store: str | None = None) -> Built:
     """store: the folder of extracts of earlier builds; without one, all pages are read."""
     spark = given.pages.sparkSession
+    if "gridless" not in given.catalog.columns:
+        given = replace(given, catalog=given.catalog.withColumn("gridless", F.lit(False)))
     names, articles = indexes(given)
     store = store or folder(spark, "extracts")
     about = given.catalog.select("page", F.col("season").alias("first_year"), "last_year", "from_month", "layout")
     pages = extracts.read(store, cut(extracts.refresh(store, given.pages, about), "present"))
-    m, problems = amended(cut(extract(given, pages, names, articles), "named"), given.amendments)
+    others, import_told = imported(given) if not given.catalog.where("gridless").isEmpty() else (None, None)
+    m = extract(given, pages, names, articles)
+    if others is not None:
+        m = m.unionByName(entities.canonized(entities.canonized(others, "home", None, names), "away", None, names))
+    m, problems = amended(cut(m, "named"), given.amendments)
     blanked = cut(reconcile.false_matchdays(m), "amended")
     m, dates_told = fill_dates(blanked.drop("blanked"), given, names)
     m = cut(m, "matches")
@@ -186,6 +219,8 @@ def process(given: Inputs, store: str | None = None) -> Built:
     unmatched = problems.select(F.lit("").alias("page"), F.concat(F.lit("amendment_"), "step").alias("check"), F.lit(True).alias("severe"), F.col("amendment").alias("subject"), text(F.col("matched")).alias("detail"))
     parts = {name: check(m) for name, check in checks.CHECKS.items()} | {"unknown_names": checks.unknown_names(m, known)}
     parts |= cross_checked(m, given, pages, names, articles)
+    if import_told is not None:
+        parts["imports"] = import_told
     parts |= {"dates": dates_told, "amendments": unmatched, "blanked": findings(blanked.where("blanked").select("page", "row_id"), "matchday_blanked", False, F.col("row_id"))}
     return Built(m, appended(spark, parts))
 
