@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from matchledger.functions.letters import ascii_letters
 from matchledger.schema import MONTHS
 
 #: The month with which a season that crosses years begins.
@@ -20,7 +19,7 @@ LOCAL_ZONE, FILLER_ZONE = "America/Argentina/Buenos_Aires", "Europe/Berlin"
 
 def month_number(name: Column) -> Column:
     months = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in MONTHS.items())))
-    return F.try_element_at(months, ascii_letters(F.lower(name))).cast("int")
+    return F.try_element_at(months, F.translate(F.lower(name), "áéíóúüñ", "aeiouun")).cast("int")
 
 
 def season_date(day: Column, month: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:
@@ -42,10 +41,14 @@ def template_date(raw: Column) -> Column:
     return F.when(month.between(1, 12) & day.between(1, 31), F.format_string("%d-%02d-%02d", year, month, day)).otherwise("")
 
 
+def noted_date(row: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:
+    """What a note says the match was played on; '' without a note. It may be a year later: see not_before()."""
+    return iso_date(F.regexp_extract(row, PLAYED_ON, 1), first, last, from_month)
+
+
 def played_date(row: Column, scheduled: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:
     """What a note says the match was played on; a year later if that is before the schedule; '' without a note."""
-    played = iso_date(F.regexp_extract(row, PLAYED_ON, 1), first, last, from_month)
-    return not_before(played, scheduled)
+    return not_before(noted_date(row, first, last, from_month), scheduled)
 
 
 def not_before(played: Column, scheduled: Column) -> Column:
@@ -63,13 +66,17 @@ def leg_days(title: Column) -> Column:
     return F.array_distinct(F.filter(F.concat(slashes, named), lambda x: x["day"].between(1, 31) & x["month"].between(1, 12)))
 
 
-def leg_dates(title: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:
-    """struct<one,two>: the dates of two legs if the title has exactly two days, else ''."""
-    days = leg_days(title)
+def two_days(days: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:
+    """struct<one,two>: the dates of two legs if leg_days() found exactly two days, else ''."""
     of = lambda k: F.when(F.size(days) == 2, season_date(F.get(days, k)["day"], F.get(days, k)["month"], first, last, from_month)).otherwise("")
     return F.struct(of(0).alias("one"), of(1).alias("two"))
 
 
+def leg_dates(title: Column, first: Column, last: Column, from_month: int | Column = FIRST_MONTH) -> Column:
+    """two_days() of a title."""
+    return two_days(leg_days(title), first, last, from_month)
+
+
 def local_date(instant: Column, kickoff_known: Column, zone: str = LOCAL_ZONE, filler: str = FILLER_ZONE) -> Column:
     """The local day of an instant in UTC (text or timestamp without zone); '' if it cannot be read."""
     at = F.try_to_timestamp(instant) if not isinstance(instant, str) else F.try_to_timestamp(F.col(instant))

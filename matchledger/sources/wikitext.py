@@ -163,11 +163,12 @@ def league_rows(rows: DataFrame, ambiguous: DataFrame) -> DataFrame:
     full = filled(state, 6).withColumn("cells", text.cell_texts(F.col("raw")))
     raw = lambda i: F.get("cells", i)
     got = full.select("*", raw(0).alias("home"), text.score(raw(1)).alias("score"), raw(2).alias("away"), text.shootout(F.get("raw", 1)).alias("pens")).where("score is not null and home <> '' and away <> ''")
-    scheduled = dates.iso_date(raw(4), F.col("first_year"), F.col("last_year"), F.col("from_month"))
-    played = dates.played_date(F.col("row"), scheduled, F.col("first_year"), F.col("last_year"), F.col("from_month"))
+    season = F.col("first_year"), F.col("last_year"), F.col("from_month")
+    got = got.withColumns({"scheduled": dates.iso_date(raw(4), *season), "noted": dates.noted_date(F.col("row"), *season)})
+    date = F.when(F.col("noted") != "", dates.not_before(F.col("noted"), F.col("scheduled"))).otherwise(F.col("scheduled"))
     in_round = F.col("round") != ""
     return _match(got, {
-        "date": F.when(played != "", played).otherwise(scheduled), "time": raw(5), "hs": F.col("score.home"), "aws": F.col("score.away"), "hpens": F.col("pens.home"), "apens": F.col("pens.away"),
+        "date": date, "time": raw(5), "hs": F.col("score.home"), "aws": F.col("score.away"), "hpens": F.col("pens.home"), "apens": F.col("pens.away"),
         "phase": F.when(in_round, KNOCKOUT).otherwise(GROUPS), "grp": F.when(in_round, "").otherwise(F.col("group")), "matchday": F.col("matchday"), "section": F.col("section"),
         "venue": raw(3), "neutral": F.when(F.col("neutral_table"), True), "status": text.status(F.col("row")), "row": F.col("row"),
     }, "kind")
@@ -187,7 +188,8 @@ def two_leg_rows(rows: DataFrame, captions: DataFrame) -> DataFrame:
     cells = text.cell_texts(text.row_cells(F.col("row")))
     own = own.withColumn("cells", cells).where("size(cells) > array_max(transform(columns, (c, i) -> i)) and not row rlike '^\\\\s*!'")
     get = lambda k: F.when(F.col("at")[k] >= 0, F.get("cells", F.col("at")[k])).otherwise("")
-    both = own.select("*", get(0).alias("a"), get(1).alias("b"), F.get("cells", F.least(F.col("at")[0], F.col("at")[1])).alias("left"), dates.leg_dates(F.col("caption"), F.col("first_year"), F.col("last_year"), F.col("from_month")).alias("days"))
+    own = own.withColumn("leg_days", dates.leg_days(F.col("caption")))
+    both = own.select("*", get(0).alias("a"), get(1).alias("b"), F.get("cells", F.least(F.col("at")[0], F.col("at")[1])).alias("left"), dates.two_days(F.col("leg_days"), F.col("first_year"), F.col("last_year"), F.col("from_month")).alias("days"))
     leg = lambda k, home, away, score, day: F.struct(F.lit(k).alias("leg"), F.col(home).alias("home"), F.col(away).alias("away"), F.regexp_replace(score, r"(?U)\s+", "").alias("told"), F.col(f"days.{day}").alias("date"))
     each = both.withColumn("m", F.explode(F.array(leg(0, "a", "b", get(2), "one"), leg(1, "b", "a", get(3), "two")))).select("*", "m.leg", "m.home", "m.away", "m.told", F.col("m.date").alias("date"))
     pattern = r"^(\d+)(?:\((\d+)\))?[-–](\d+)(?:\((\d+)\))?$"
