@@ -37,6 +37,10 @@ BLOCK = 1024
 Encoder = Callable[[list[str]], list[bytes]]
 
 
+#: Chunks that a worker remembers, about 200 bytes each.
+KEEP = 1_600_000
+
+
 class ChunkEncoder:
     """Encodes with the tokenizers library, each distinct chunk of a text once.
 
@@ -45,7 +49,7 @@ class ChunkEncoder:
     and numpy lines up the ids. The same pattern never joins a letter to punctuation after it, so a chunk of ASCII
     letters and one mark at its end is two. A text that holds one of the tokenizer's added tokens is encoded as a whole."""
 
-    def __init__(self, path: str, keep: int = 1_200_000):
+    def __init__(self, path: str, keep: int = KEEP):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -120,14 +124,14 @@ MARKS = frozenset(".,;:!?)\"")
 EDGE = re.compile(r" (?=\S)")
 INNER = re.compile(r" (?!\S)")  # a space at which a text is not cut
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, int], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, keep: int = KEEP) -> Encoder:
     """One for each tokenizer file and Python worker."""
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    if (path, keep) not in _encoders:
+        _encoders[path, keep] = ChunkEncoder(path, keep)
+    return _encoders[path, keep]
 
 
 def pack(ids: np.ndarray, percentile: float) -> dict:
@@ -185,8 +189,9 @@ def unpack(row: dict, n: int) -> np.ndarray:
 _FORMAT = "shard int, segment int, first long, doc_ids array<{id}>, doc_n array<int>, low array<int>, width array<tinyint>, start array<int>, packed binary, exc_start array<int>, exc_at binary, exc_value binary"
 
 
-def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id", text: str = "text", end_id: int = 0, percentile: float = 0.95, segment: int = 1 << 16, shards: int | None = None) -> None:
-    """encode_with: the path of the tokenizer's file on every machine. shards: range partitions by id, by default spark.sql.shuffle.partitions."""
+def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id", text: str = "text", end_id: int = 0, percentile: float = 0.95, segment: int = 1 << 16, shards: int | None = None, keep: int = KEEP) -> None:
+    """encode_with: the path of the tokenizer's file on every machine. keep: chunks that a worker remembers (which changes
+    its memory and speed, not what is written). shards: range partitions by id, by default spark.sql.shuffle.partitions."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(shards or int(spark.conf.get("spark.sql.shuffle.partitions")), "id").sortWithinPartitions("id", F.xxhash64("text"))
@@ -194,7 +199,7 @@ def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id",
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, shard = encoder(encode_with), TaskContext.get().partitionId()
+        encode, shard = encoder(encode_with, keep), TaskContext.get().partitionId()
         k, first, held_ids, held = 0, 0, [], []
 
         def flush(id_type: pa.DataType) -> pa.RecordBatch:
