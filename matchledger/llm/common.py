@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +14,8 @@ from pyspark.sql.types import StructType
 
 #: Characters that numpy handles at a time; a longer text makes a slice of its own.
 SLICE_CHARS = 1 << 21
+#: Bytes of a batch that the stages of a pipeline handle at a time.
+PIECE = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,17 +66,40 @@ def crc_mod(id_col: str, n: int, equals: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n)) == equals, F.lit(False))
 
 
-def map_arrow(df: DataFrame, of_batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType) -> DataFrame:
-    """mapInArrow for a function of one batch; empty batches are skipped."""
+def map_arrow(df: DataFrame, of_batch: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, most: int = 0) -> DataFrame:
+    """mapInArrow for a function of one batch; empty batches are skipped. most: bytes that the function is given at a
+    time (a larger row comes by itself), after which each task gives its memory back; 0 for whole batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                yield of_batch(b)
+            for part in pieces(b, most) if most else (b,):
+                if part.num_rows:
+                    yield of_batch(part)
+        if most:
+            release()
 
     return df.mapInArrow(run, schema)
 
 
+def pieces(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in halves of halves, until each has at most so many bytes or one row. Nothing is copied."""
+    if batch.num_rows < 2 or batch.nbytes <= most:
+        yield batch
+        return
+    half = batch.num_rows // 2
+    yield from pieces(batch.slice(0, half), most)
+    yield from pieces(batch.slice(half), most)
+
+
+def release() -> None:
+    """Give back what a task has freed. Python workers outlive their tasks, and other stages run beside them."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # GNU only
+        libc.malloc_trim(0)
+
+
 def slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most so many characters, at least one text each."""
     i, n = 0, 0
@@ -101,7 +127,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power(base: int, n: int) -> np.ndarray:
     """base^0 .. base^n modulo 2^64; kept for the next slice."""
     if len(_powers.get(base, ())) <= n:
-        p = np.full(max(n, SLICE_CHARS) + 1, base, np.uint64)
+        p = np.full(1 << n.bit_length(), base, np.uint64)  # over n, and at most twice of it
         p[0] = 1
         _powers[base] = np.multiply.accumulate(p)
     return _powers[base][: n + 1]

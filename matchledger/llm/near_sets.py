@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchledger.llm.common import Scratch, Words, cut, map_arrow, mix, shingle_hashes, slices
+from matchledger.llm.common import PIECE, Scratch, Words, cut, map_arrow, mix, pieces, release, shingle_hashes, slices
 from matchledger.llm.components import components
 
 #: Words of 64 bits of a SimHash, and the bits in which two texts may differ there to be compared by their sets.
@@ -126,14 +126,14 @@ def prints_of(docs: DataFrame, id_col: str, text: str, k: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("id"), batch.column("h"), *(pa.array(c.view(np.int64)) for c in np.ascontiguousarray(out.T))], ["id", "h", *cols])
 
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, h long, " + ", ".join(f"{c} long" for c in cols))
+    return map_arrow(rows, run, f"id {dict(rows.dtypes)['id']}, h long, " + ", ".join(f"{c} long" for c in cols), PIECE)
 
 
 def set_table(docs: DataFrame, text: str, k: int) -> DataFrame:
     """(node, shingles array<int>): the low 32 bits of the distinct shingles of each text, in order."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
+    def of_piece(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = [t or "" for t in piece.column("text").to_pylist()]
         for i, j in slices(texts, 1 << 19):
             h, first = shingle_sets(texts[i:j], k)
             doc = np.repeat(np.arange(j - i, dtype=np.uint64), np.diff(first))
@@ -142,7 +142,13 @@ def set_table(docs: DataFrame, text: str, k: int) -> DataFrame:
             values = (low & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(node_of(h, first).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["node", "shingles"])
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(lambda batches: (x for b in batches if b.num_rows for x in run(b)), "node long, shingles array<int>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for piece in pieces(b, PIECE):
+                yield from of_piece(piece)
+        release()
+
+    return docs.select(F.col(text).alias("text")).mapInArrow(run, "node long, shingles array<int>")
 
 
 def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -248,6 +254,7 @@ def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if a:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
         held = t.slice(done).to_batches() if done < t.num_rows else []
+    release()
 
 
 def rest_links(dealt: DataFrame, roots: DataFrame, unique: DataFrame, sets: DataFrame, at: Scratch, part_rows: int = PART_ROWS) -> DataFrame:

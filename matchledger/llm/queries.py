@@ -64,10 +64,10 @@ def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(spark, table(spark, sf_dir, "documents"))
 
 
-def token_table(spark: SparkSession, docs: DataFrame, keep: int = tokens.KEEP) -> DataFrame:
-    """Writes the token files and reads them back; keep as in tokens.write()."""
+def token_table(spark: SparkSession, docs: DataFrame, keep: int = tokens.KEEP, between: bool = True) -> DataFrame:
+    """Writes the token files and reads them back; keep and between as in tokens.write()."""
     at = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex[:12]}"
-    tokens.write(docs, at, public_tokenizers.path("byte_bpe_50k.json"), keep=keep)
+    tokens.write(docs, at, public_tokenizers.path("byte_bpe_50k.json"), keep=keep, between=between)
     return tokens.read(spark, at, tokens.crc32, "ids_crc32 long").withColumnRenamed("id", "doc_id")
 
 

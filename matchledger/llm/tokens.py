@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from matchledger.llm.common import map_arrow, slices
+from matchledger.llm.common import PIECE, map_arrow, pieces, release, slices
 
 BLOCK = 1024
 #: Token ids of a text, before the end id.
@@ -60,6 +60,10 @@ class ChunkEncoder:
         self.keep, self.later, self.older = keep // 2, {}, {}
         self.mark = {m: self._one(m) for m in MARKS}
 
+    def forget(self) -> None:
+        """All chunks, but not the tokenizer."""
+        self.later, self.older = {}, {}
+
     def _learn(self, chunks: list[str]) -> None:
         """The ids of these chunks, each with a space before it. Many are encoded as one text: of their tokens, those that begin with a space begin a chunk."""
         if len(self.later) > self.keep:  # chunks that are used again come back from the older ones
@@ -189,9 +193,9 @@ def unpack(row: dict, n: int) -> np.ndarray:
 _FORMAT = "shard int, segment int, first long, doc_ids array<{id}>, doc_n array<int>, low array<int>, width array<tinyint>, start array<int>, packed binary, exc_start array<int>, exc_at binary, exc_value binary"
 
 
-def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id", text: str = "text", end_id: int = 0, percentile: float = 0.95, segment: int = 1 << 16, shards: int | None = None, keep: int = KEEP) -> None:
-    """encode_with: the path of the tokenizer's file on every machine. keep: chunks that a worker remembers (which changes
-    its memory and speed, not what is written). shards: range partitions by id, by default spark.sql.shuffle.partitions."""
+def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id", text: str = "text", end_id: int = 0, percentile: float = 0.95, segment: int = 1 << 16, shards: int | None = None, keep: int = KEEP, between: bool = True) -> None:
+    """encode_with: the path of the tokenizer's file on every machine. keep: chunks that a worker remembers, between: also
+    from one task to its next (both change its memory and speed, not what is written). shards: range partitions by id, by default spark.sql.shuffle.partitions."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange(shards or int(spark.conf.get("spark.sql.shuffle.partitions")), "id").sortWithinPartitions("id", F.xxhash64("text"))
@@ -211,7 +215,7 @@ def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id",
             return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(c, pa.binary())) for c, v in row.items()], list(row))
 
         size, id_type = 0, None
-        for b in batches:
+        for b in (x for whole in batches for x in (pieces(whole, PIECE) if not between else (whole,))):
             ids, texts, id_type = b.column("id").to_pylist(), b.column("text").to_pylist(), b.column("id").type
             for i, j in slices(texts, 1 << 22):
                 for doc, got in zip(ids[i:j], encode(texts[i:j]), strict=True):
@@ -223,6 +227,9 @@ def write(docs: DataFrame, path: str, encode_with: str, id_col: str = "doc_id",
                     size += len(got) // 4 + 1
         if held:
             yield flush(id_type)
+        if not between:
+            encode.forget()
+            release()
 
     ordered.mapInArrow(run, _FORMAT.format(id=kind)).write.parquet(path)
 

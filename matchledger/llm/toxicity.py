@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchledger.llm.common import Words, map_arrow, slices
+from matchledger.llm.common import PIECE, Words, map_arrow, slices
 
 LANES = 1024
 PREFIX = 4  # bytes
@@ -275,9 +275,9 @@ def keep_below(docs: DataFrame, model: Model | None, limit: float, text: str = "
         m = shared.value
         texts = [t or "" for t in batch.column(at).to_pylist()]
         keep = np.ones(len(texts), bool)
-        for i, j in slices(texts, 1 << 20) if m else ():
+        for i, j in slices(texts, 1 << 19) if m else ():
             w = Words(fold(texts[i:j]), lower=False)
             keep[i:j] = 1 / (1 + np.exp(-np.clip(doc_features(marginals(w, m), w.first) @ m.doc, -30, 30))) < limit
         return batch.filter(pa.array(keep))
 
-    return map_arrow(docs, run, docs.schema)
+    return map_arrow(docs, run, docs.schema, PIECE)
