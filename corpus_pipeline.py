@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents; what is read back from them: doc_id, start, n_tokens, ids_crc32."""
-    return token_table(spark, docs, keep=400_000)  # workers and executors hold what earlier stages have left, too
+    return token_table(spark, docs, keep=400_000, between=False)  # workers and executors hold what earlier stages have left, too
 
 
 STAGES: list[tuple[str, Stage]] = [
