@@ -14,8 +14,10 @@ find them. Pairs are found, discarded and verified in three steps:
 3. Verifying. The sets of the survivors are compared. No pair under 0.8 is linked.
 
 First each member of a bucket is compared with one member, its lead: as many pairs as rows, which links most of a large
-group of near copies. Only buckets that still hold several components are then compared whole, in blocks of two parts of
-bounded size; parts of the component that the lead is in do not meet each other. Links are told as a spanning forest.
+group of near copies. Buckets that still hold several components get further leads, from what no lead has met. Only what
+is apart after that is compared whole, in blocks of two parts of bounded size; parts of the bucket's largest component do
+not meet each other. Blocks carry fingerprints and keys, and tell which of their rows have a near one at all; only these
+rows' sets are fetched then, for the blocks that they have it in. Links are told as a spanning forest.
 
 Defined results: texts of one set are one node, also texts without words and nulls; a text of fewer than k words has one
 shingle, all its words; rows without an id are left out of groups and stay; an empty table gives an empty result. Sets
@@ -42,7 +44,9 @@ WORDS, MOST = 4, 60
 BANDS, ROWS = 18, 5
 FP, KEYS = [f"f{i}" for i in range(WORDS)], [f"k{i}" for i in range(BANDS)]
 #: A part of a bucket holds about so many rows, and shingles, at most.
-PART_ROWS, PART_SHINGLES = 2048, 4_000_000
+PART_ROWS, PART_SHINGLES = 8192, 4_000_000
+#: Leads that a bucket's members are compared with before any block.
+LEADS = 3
 PIVOTS = 8
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -176,8 +180,9 @@ class Block:
         self.fp = np.array([column[c] for c in FP]).T.copy().view(np.uint64)
         self.keys = np.array([column[c] for c in KEYS]).T.copy()
         self.band = int((self.keys[0] == key).argmax())
-        flat = t.column("shingles").combine_chunks()
-        self.at, self.flat = flat.offsets.to_numpy(), flat.values.to_numpy()
+        if "shingles" in t.column_names:
+            flat = t.column("shingles").combine_chunks()
+            self.at, self.flat = flat.offsets.to_numpy(), flat.values.to_numpy()
         self.left = np.flatnonzero(column["part"] == i)
         self.right = self.left if i == j else np.flatnonzero(column["part"] == j)
 
@@ -206,6 +211,13 @@ class Block:
             keep = ~(self.keys[a, : self.band] == self.keys[b, : self.band]).any(axis=1)
             yield a[keep], b[keep]
 
+    def near(self) -> np.ndarray:
+        """True for rows that are in a proposed pair."""
+        out = np.zeros(len(self.node), bool)
+        for a, b in self.proposed():
+            out[a] = out[b] = True
+        return out
+
     def links(self) -> tuple[list[int], list[int]]:
         """Nodes of a spanning forest of the links between the rows' components."""
         found: tuple[list[int], list[int]] = ([], [])
@@ -234,8 +246,8 @@ class Block:
 BLOCK = ["key", "i", "j"]
 
 
-def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, part, node, comp, n, f0 .., k0 .., shingles), those of a block together -> (a, b)."""
+def whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, Block]]:
+    """Rows (key, i, j, part, node, comp, n, f0 .., k0 .. and maybe shingles), those of a block together -> each block of two rows or more."""
     held: list[pa.RecordBatch] = []
     for batch in chain(batches, [None]):
         if batch is not None and batch.num_rows:
@@ -250,28 +262,66 @@ def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = edge[-1] if batch is None else edge[-2]
         for s, e in zip(edge, edge[1:], strict=False):
             if e <= done and e - s > 1:
-                a, b = Block(t.slice(s, e - s).combine_chunks(), int(where[1, s]), int(where[2, s]), int(where[0, s])).links()
-                if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                rows = t.slice(s, e - s).combine_chunks()
+                yield rows, Block(rows, int(where[1, s]), int(where[2, s]), int(where[0, s]))
         held = t.slice(done).to_batches() if done < t.num_rows else []
     release()
 
 
+def near_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks without shingles -> (key, i, j, part, node, comp) of those that have a near one in their block."""
+    for rows, block in whole_blocks(batches):
+        yield from rows.select([*BLOCK, "part", "node", "comp"]).filter(pa.array(block.near())).to_batches()
+
+
+def block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of blocks with shingles -> (a, b)."""
+    for _, block in whole_blocks(batches):
+        a, b = block.links()
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def placed(dealt: DataFrame, roots: DataFrame) -> DataFrame:
+    """dealt (node ..) with comp, the root of the node; roots: (node, root) of what is linked."""
+    return dealt.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
+
+def lead_links(dealt: DataFrame, unique: DataFrame, sets: DataFrame, at: Scratch, leads: int = LEADS) -> DataFrame:
+    """(a, b): links of a bucket's members with its leads. dealt: (key, node, lead, n). Rounds end early where one finds nothing."""
+    pairs = at.cut(dealt.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "pairs")
+    found = at.cut(alike(survivors(pairs, unique), sets), "led")
+    rows = dealt.select("key", "node", "lead", F.lit(False).alias("met"))
+    for _ in range(leads - 1):
+        rows = at.cut(placed(rows, components(found)), "placed")
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.when(F.col("node") == F.col("lead"), F.col("comp"))).alias("led")).where("low <> high")
+        rows = at.cut(rows.join(mixed, "key").select("key", "node", "comp", (F.col("met") | (F.col("comp") == F.col("led"))).alias("met")), "apart")
+        least = rows.where("not met").groupBy("key").agg(F.min(F.struct("node", "comp")).alias("next"))
+        rows = at.cut(rows.join(least, "key").select("key", "node", "comp", "met", F.col("next.node").alias("lead"), F.col("next.comp").alias("led")), "again")
+        pairs = at.cut(rows.where("comp <> led").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "pairs")
+        more = at.cut(alike(survivors(pairs, unique), sets), "led")
+        if more.isEmpty():
+            break
+        found, rows = found.union(more), rows.select("key", "node", "lead", "met")
+    return found
+
+
 def rest_links(dealt: DataFrame, roots: DataFrame, unique: DataFrame, sets: DataFrame, at: Scratch, part_rows: int = PART_ROWS) -> DataFrame:
     """(a, b): links between components in buckets that hold several. dealt: (key, node, lead, n); roots: (node, root) of what is linked already."""
-    placed = at.cut(dealt.join(roots, "node", "left").select("key", "node", "n", "lead", F.coalesce("root", "node").alias("comp")), "placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max(F.when(F.col("node") == F.col("lead"), F.col("comp"))).alias("main")).where("low <> high")
-    rows = at.cut(placed.join(at.cut(mixed.select("key", "main"), "mixed"), "key").select("key", "node", "n", "comp", (F.col("comp") != F.col("main")).alias("other")), "rows")
+    rows = at.cut(placed(dealt.select("key", "node", "n"), roots), "placed")
+    mixed = rows.groupBy("key", "comp").count().groupBy("key").agg(F.count("*").alias("comps"), F.max(F.struct("count", "comp")).alias("most")).where("comps > 1")
+    rows = at.cut(rows.join(at.cut(mixed.select("key", F.col("most.comp").alias("main")), "mixed"), "key").select("key", "node", "n", "comp", (F.col("comp") != F.col("main")).alias("other")), "rows")
     parts = lambda of: F.ceil(F.greatest(F.sum(F.when(of, 1)) / part_rows, F.sum(F.when(of, F.col("n"))) / PART_SHINGLES)).cast("int")
     sizes = at.cut(rows.groupBy("key").agg(parts(F.col("other")).alias("others"), parts(~F.col("other")).alias("mains")), "parts")
     h = F.xxhash64("node")
     part = F.when(F.col("other"), F.pmod(h, F.col("others"))).otherwise(F.col("others") + F.pmod(h, F.col("mains"))).cast("int")
     meets = F.sequence(F.lit(0), F.when(F.col("other"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1)
-    blocks = rows.join(sizes, "key").select("key", "node", "comp", part.alias("part"), F.explode(meets).alias("with"))
-    blocks = blocks.select("key", F.least("part", "with").alias("i"), F.greatest("part", "with").alias("j"), "part", "node", "comp")
-    facts = unique.select("node", "n", *FP, *KEYS).join(sets, "node")
-    whole = blocks.join(facts, "node").select(*BLOCK, "part", "node", "comp", "n", *FP, *KEYS, "shingles")
-    return whole.repartition(*BLOCK).sortWithinPartitions(*BLOCK).mapInArrow(block_links, "a long, b long")
+    facts = unique.select("node", "n", *FP, *KEYS)
+    blocks = rows.drop("n").join(sizes, "key").join(facts, "node").withColumn("part", part).withColumn("with", F.explode(meets))
+    blocks = blocks.withColumn("i", F.least("part", "with")).withColumn("j", F.greatest("part", "with")).select(*BLOCK, "part", "node", "comp", "n", *FP, *KEYS)
+    together = lambda df, run, schema: df.repartition(*BLOCK).sortWithinPartitions(*BLOCK).mapInArrow(run, schema)
+    near = at.cut(together(blocks, near_rows, "key long, i int, j int, part int, node long, comp long"), "near")
+    return together(near.join(facts, "node").join(sets, "node").select(*BLOCK, "part", "node", "comp", "n", *FP, *KEYS, "shingles"), block_links, "a long, b long")
 
 
 def labelled(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = 5, part_rows: int = PART_ROWS) -> DataFrame:
@@ -288,8 +338,7 @@ def labelled(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int
         if prints.groupBy("id").count().where("count > 1").limit(1).count():  # rows of one id may have one set
             sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
         sets = at.cut(sets, "sets")
-        pairs = at.cut(dealt.where("node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct(), "pairs")
-        led = at.cut(alike(survivors(pairs, unique), sets), "led")
+        led = lead_links(dealt, unique, sets, at)
         rest = at.cut(rest_links(dealt, components(led), unique, sets, at, part_rows), "rest")
         roots = components(led.union(rest))
         rooted = at.cut(unique.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root")), "rooted")
