@@ -182,7 +182,7 @@ class Block:
         self.band = int((self.keys[0] == key).argmax())
         if "shingles" in t.column_names:
             flat = t.column("shingles").combine_chunks()
-            self.at, self.flat = flat.offsets.to_numpy(), flat.values.to_numpy()
+            self.at, self.flat = flat.offsets.to_numpy(), flat.values.to_numpy().view(np.uint32)  # in their order
         self.left = np.flatnonzero(column["part"] == i)
         self.right = self.left if i == j else np.flatnonzero(column["part"] == j)
 

@@ -49,3 +49,15 @@ def test_near_rows_by_all_pairs():
     want = np.flatnonzero(meets.any(axis=1)).tolist()
     whole = block(fp, keys, comp, part)
     assert 20 < len(want) < 200 and near(whole) == want == near(whole.slice(0, 90), whole.slice(90))
+
+
+def test_links_by_sets_of_all_32_bits():
+    """Two sets alike by 0.9, with shingles over 2^31 as well, in one block."""
+    rng = np.random.default_rng(2)
+    fp, keys = given(2)
+    fp[1] = fp[0]
+    union = np.sort(rng.choice(2**32, 200, replace=False).astype(np.uint32))
+    lists = pa.array([union[:190].view(np.int32).tolist(), union[10:].view(np.int32).tolist()], pa.list_(pa.int32()))
+    rows = block(fp, keys, [0, 1], [0, 1]).append_column("shingles", lists)
+    got = [b.to_pydict() for b in ns.block_links(iter([rows]))]
+    assert got == [{"a": [0], "b": [1]}]
