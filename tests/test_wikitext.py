@@ -176,6 +176,12 @@ def test_standings_in_both_notations(pages):
     ]
 
 
+def test_cells_are_cleaned_once(pages):
+    """Filters and lambdas behind a column must not compute it anew: the plan is as long as what it does."""
+    plan = wikitext.standings(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<sup[^>]*>") <= 12
+
+
 def test_bracket(pages):
     slots = {(r["rd"], r["slot"]): (r["name"], r["article"]) for r in wikitext.bracket_slots(pages).collect()}
     assert slots == {(1, 1): ("Norte", "Club Norte"), (1, 2): ("Sur", ""), (1, 4): ("Alfa", ""), (2, 1): ("Norte", ""), (2, 2): ("Alfa", "")}
