@@ -197,6 +197,7 @@ def dated_migrations(dated: DataFrame, undated: DataFrame, old_dated: DataFrame,
 
 def incompatible_levels(m: DataFrame, levels: DataFrame) -> DataFrame:
     """Clubs that play, in one season, competitions two levels or more apart. levels: (competition, level)."""
-    ranked = sides(m, "competition", "season").join(levels, "competition")
+    # each club's competitions once: their rows are few, whatever the number of matches
+    ranked = sides(m, "competition", "season").select("club", "season", "competition").distinct().join(levels, "competition")
     held = ranked.groupBy("club", "season").agg(F.max("level").alias("high"), F.min("level").alias("low"), F.array_join(F.array_sort(F.collect_set("competition")), ", ").alias("competitions"))
     return held.where("high - low >= 2").select("club", "season", (F.col("high") - F.col("low")).alias("apart"), "competitions")

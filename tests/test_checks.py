@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchledger.functions import dates, text
-from matchledger.operators import checks, joins, relational
+from matchledger.operators import checks, joins, reconcile, relational
 from matchledger.schema import MATCH
 
 COLUMNS = [c.split()[0] for c in MATCH.split(", ")]
@@ -134,3 +134,12 @@ def test_carried_stops_at_the_next_value(spark):
     df = spark.createDataFrame([(i, v, n) for i, (v, n) in enumerate([(None, 0), ("a", 3), (None, 0), (None, 0), (None, 0), ("b", 5), ("c", 1), (None, 0)])], "i int, v string, n int").withColumn("k", F.lit(1))
     got = df.select("i", relational.carried(["k"], ["i"], F.col("v"), F.col("n")).alias("x")).orderBy("i").collect()
     assert [r["x"] for r in got] == [None, "a", "a", "a", None, "b", "c", None]
+
+
+def test_levels_join_a_club_once_a_competition(spark):
+    """The matches are grouped before levels are joined, so that no task sorts them."""
+    rows = [{"home": "A", "away": "B", "competition": c} for c in ("One", "One", "Four")]
+    got = reconcile.incompatible_levels(frame(spark, rows), spark.createDataFrame([("One", 1), ("Four", 4)], "competition string, level int"))
+    assert sorted(tuple(r) for r in got.collect()) == [("A", 2000, 3, "Four, One"), ("B", 2000, 3, "Four, One")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Join") : plan.index("Generate")]
