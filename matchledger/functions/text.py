@@ -78,7 +78,7 @@ _UNWRAPPED = _once("ts", f"regexp_extract_all(u, {_raw(_TOKENS)}, 1)", _once("un
 
 
 #: Words with single spaces between them, of characters that no step of cleaning looks for; most cells are like this.
-PLAIN = "^[A-Za-z0-9À-ÿ.,:;+/-]+(?: [A-Za-z0-9À-ÿ.,:;+/-]+)*$"
+PLAIN = r"^[A-Za-z0-9À-ÿ.,:;+/-]+(?: [A-Za-z0-9À-ÿ.,:;+/-]+)*\z"  # not $, which is before a last line break, too
 _LINKS = 3  # so many steps of CLEANING take templates and links away, after which most texts are plain
 
 

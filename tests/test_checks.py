@@ -143,3 +143,10 @@ def test_levels_join_a_club_once_a_competition(spark):
     assert sorted(tuple(r) for r in got.collect()) == [("A", 2000, 3, "Four, One"), ("B", 2000, 3, "Four, One")]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan[plan.index("Join") : plan.index("Generate")]
+
+
+def test_plain_texts_are_cleaned_of_line_breaks(spark):
+    raws = ["El Gran Campo\n", "El {{nowrap|Gran}} Campo\n", "Club 3\t", "a\u00a0b", " a  b ", "a b"]
+    got = spark.createDataFrame([(r,) for r in raws], "v string").select(text.clean(F.col("v")), text.cell_text(F.col("v"))).collect()
+    want = ["El Gran Campo", "El Gran Campo", "Club 3", "a b", "a b", "a b"]
+    assert [r[0] for r in got] == want and [r[1] for r in got] == want
