@@ -12,6 +12,12 @@ def once(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in cols.items())))))
 
 
+def by_page(df: DataFrame) -> DataFrame:
+    """df dealt by page into as many parts as the session's shuffles have. Spark merges parts of its own shuffles by their
+    bytes when compressed; pages are alike, so that such parts are many times larger where they are sorted."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page")
+
+
 def asof(df: DataFrame, keys: list[str], order: list[str], label: Column) -> Column:
     """The last label that is not null at or before a row."""
     return F.last(label, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))

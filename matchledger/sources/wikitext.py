@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchledger.functions import dates, text
-from matchledger.operators.relational import once
+from matchledger.operators.relational import by_page, once
 from matchledger.schema import GROUPS, KNOCKOUT
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -42,7 +42,7 @@ LEVELS = range(1, 7)
 
 def lines(pages: DataFrame) -> DataFrame:
     """(page, line_no, pos, line): pos is the offset of a line in its page."""
-    each = pages.select("page", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    each = by_page(pages.select("page", "text")).select("page", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     before = Window.partitionBy("page").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
     return each.withColumn("pos", F.coalesce(F.sum(F.length("line") + 1).over(before), F.lit(0)).cast("long"))
 
@@ -89,12 +89,12 @@ def tabled(ls: DataFrame) -> DataFrame:
 
 def table_rows(tabled_lines: DataFrame, block: Column) -> DataFrame:
     """(page, block, row_no, row, first: the row's first line with its context): the rows of each block. Rows end at row marks and where a table opens or closes."""
-    own = tabled_lines.withColumn("block", block).where("block is not null")
+    context = F.struct("pos", "under", "results", "cup", "table")
+    own = by_page(tabled_lines.select("page", block.alias("block"), "pos", "line", "title", context.alias("context")).where("block is not null"))
     ends = F.col("line").rlike(r"^\s*(\|-|\{\||\|\})")
     upto = Window.partitionBy("page", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     own = own.withColumn("row_no", F.sum(ends.cast("int")).over(upto)).withColumn("line", F.when(ends, F.regexp_replace("line", r"^\s*(\|-+|\{\|.*|\|\})", "")).otherwise(F.col("line")))
-    context = F.struct("pos", "under", "results", "cup", "table")
-    held = own.groupBy("page", "block", "row_no").agg(F.array_sort(F.collect_list(F.struct("pos", "line", "title"))).alias("ls"), F.min(F.struct("pos", context.alias("c"))).alias("c"))  # of a table's row
+    held = own.groupBy("page", "block", "row_no").agg(F.array_sort(F.collect_list(F.struct("pos", "line", "title"))).alias("ls"), F.min(F.struct("pos", F.col("context").alias("c"))).alias("c"))  # of a table's row
     row = F.array_join(F.transform("ls", lambda x: x["line"]), "\n")
     title = F.try_element_at(F.filter(F.transform("ls", lambda x: x["title"]), lambda t: t.isNotNull()), F.lit(-1))
     return held.select("page", "block", "row_no", row.alias("row"), F.when(F.size(F.filter(F.col("ls.title"), lambda t: t.isNotNull())) > 0, title).alias("title"), F.col("c.c.*"))
@@ -221,7 +221,7 @@ def cup_rows(rows: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame, opener: str) -> DataFrame:
     """(page, pos, body): the templates that begin with a pattern, up to the braces that close them; unclosed ones are left out. The text is cut at braces, and running sums count how deep a piece is."""
-    pieces = pages.select("page", F.posexplode(F.split("text", r"(?=\{\{|\}\})", -1)).alias("k", "piece")).where("piece <> ''")
+    pieces = by_page(pages.select("page", "text")).select("page", F.posexplode(F.split("text", r"(?=\{\{|\}\})", -1)).alias("k", "piece")).where("piece <> ''")
     # a brace behind another brace is a piece of one character that belongs to it
     upto = Window.partitionBy("page").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     step = F.when(F.col("piece").startswith("{{"), 1).when(F.col("piece").startswith("}}"), -1).otherwise(0)
@@ -316,7 +316,7 @@ def matches(pages: DataFrame, about: DataFrame, keep: Keep = lambda df, name: df
     by_template = template_rows(pages.join(told.where("layout = 'league'").select("page"), "page"), outline, told).withColumn("kind", F.lit(2))
 
     key = ["page", "date", "home", "away", "hs", "aws"]
-    every = single.unionByName(legs).unionByName(by_template)
+    every = by_page(single.unionByName(legs).unionByName(by_template))
     # a row from a table outside stays only if it is the first of its key and no other reader has the key
     seen = Window.partitionBy(*key)
     ranked = every.withColumn("has_sure", F.max(F.col("kind") != 1).over(seen)).withColumn("nth", F.row_number().over(seen.orderBy("kind", "pos", "leg")))

@@ -182,6 +182,14 @@ def test_cells_are_cleaned_once(pages):
     assert plan.count("<sup[^>]*>") <= 12
 
 
+def test_pages_are_dealt_in_a_fixed_number_of_parts(spark, pages):
+    """Parts of lines and pieces are not merged by their bytes when compressed."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert n > 1
+    assert wikitext.lines(pages).rdd.getNumPartitions() == n
+    assert wikitext.templates(pages, "Copa").rdd.getNumPartitions() == n
+
+
 def test_bracket(pages):
     slots = {(r["rd"], r["slot"]): (r["name"], r["article"]) for r in wikitext.bracket_slots(pages).collect()}
     assert slots == {(1, 1): ("Norte", "Club Norte"), (1, 2): ("Sur", ""), (1, 4): ("Alfa", ""), (2, 1): ("Norte", ""), (2, 2): ("Alfa", "")}
