@@ -16,6 +16,11 @@ NOTE = "CASE o_orderkey % 7 WHEN 0 THEN 'El partido fue SUSPENDIDO y se jugó el
 DAY = "concat(CASE WHEN o_orderkey % 9 = 0 THEN 'jugado el ' ELSE '' END, CAST(day(o_orderdate) AS STRING), ' de ', CASE month(o_orderdate) WHEN 1 THEN 'enero' WHEN 2 THEN 'Febrero' WHEN 3 THEN 'marzo' WHEN 4 THEN 'abril' WHEN 5 THEN 'mayo' WHEN 6 THEN 'junio' WHEN 7 THEN 'JULIO' WHEN 8 THEN 'agosto' WHEN 9 THEN 'setiembre' WHEN 10 THEN 'octubre' WHEN 11 THEN 'brumario' ELSE 'diciembre' END, CASE WHEN o_orderkey % 4 = 0 THEN concat(' de ', CAST(year(o_orderdate) AS STRING)) ELSE '' END)"
 
 
+def dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table in as many parts as the session's shuffles have: a million short rows may be one small file, which is one task."""
+    return read(spark, sf_dir, name).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def season_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = read(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{DAY} AS told", "1996 AS first", "CASE WHEN o_orderkey % 3 <> 0 THEN 1997 END AS last")
     return own.select("o_orderkey", dates.iso_date(F.col("told"), F.col("first"), F.col("last")).alias("date"))
@@ -101,12 +106,12 @@ ENTITIES = "concat('&#', CAST(161 + p_partkey % 700 AS STRING), ';', p_name, '&e
 
 
 QUERIES = {
-    "letters": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{LETTERS} AS n").select("p_partkey", text.normalized(F.col("n")).alias("name")),
-    "nested_wrappers": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{NESTED} AS n").select("p_partkey", text.clean(F.col("n")).alias("clean")),
-    "entities": lambda s, d: read(s, d, "part").selectExpr("p_partkey", ENTITIES.format("lower(hex(161 + p_size))") + " AS n").select("p_partkey", unescaped(F.col("n")).alias("told")),
-    "clean_text": lambda s, d: read(s, d, "part").selectExpr("p_partkey", f"{MESSY} AS raw").select("p_partkey", text.clean(F.col("raw")).alias("clean")),
+    "letters": lambda s, d: dealt(s, d, "part").selectExpr("p_partkey", f"{LETTERS} AS n").select("p_partkey", text.normalized(F.col("n")).alias("name")),
+    "nested_wrappers": lambda s, d: dealt(s, d, "part").selectExpr("p_partkey", f"{NESTED} AS n").select("p_partkey", text.clean(F.col("n")).alias("clean")),
+    "entities": lambda s, d: dealt(s, d, "part").selectExpr("p_partkey", ENTITIES.format("lower(hex(161 + p_size))") + " AS n").select("p_partkey", unescaped(F.col("n")).alias("told")),
+    "clean_text": lambda s, d: dealt(s, d, "part").selectExpr("p_partkey", f"{MESSY} AS raw").select("p_partkey", text.clean(F.col("raw")).alias("clean")),
     "normalize_name": lambda s, d: read(s, d, "documents").select("doc_id", F.md5(text.normalized(F.col("text"))).alias("name_md5")),
-    "core_name": lambda s, d: read(s, d, "part").selectExpr("p_partkey", "concat('Ñandú ', p_name, '. (', p_type, ') ', p_brand) AS n").select("p_partkey", text.core_name(F.col("n")).alias("core"), text.base_name(F.concat("n", F.lit(" (x)"))).alias("base")),
+    "core_name": lambda s, d: dealt(s, d, "part").selectExpr("p_partkey", "concat('Ñandú ', p_name, '. (', p_type, ') ', p_brand) AS n").select("p_partkey", text.core_name(F.col("n")).alias("core"), text.base_name(F.concat("n", F.lit(" (x)"))).alias("base")),
     "score_parse": lambda s, d: read(s, d, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{SCORE} AS told").select("l_orderkey", "l_linenumber", text.score(F.col("told"))["home"].alias("hs"), text.score(F.col("told"))["away"].alias("aws"), text.label_number(F.col("told")).alias("number")),
     "status_case": lambda s, d: read(s, d, "orders").selectExpr("o_orderkey", f"{NOTE} AS note").select("o_orderkey", text.status(F.col("note")).alias("status"), text.unread_ruling(F.col("note")).alias("unread")),
     "season_year_rule": season_dates,

@@ -67,3 +67,29 @@ def test_wrappers_at_any_depth(spark):
     ]
     assert column(spark, told, text.unwrapped) == [unwrap(t) for t in told]
     assert column(spark, told[:2], text.clean) == ["{{a|}} Colon", "x y z"]
+
+
+def test_entities_are_looked_up_in_small_parts(spark):
+    from html import unescape
+    from html.entities import html5
+
+    from matchledger.functions import letters
+
+    assert max(len(p.split("\x02")) for p in letters._named().split("\x03")) < 9
+    names = sorted(html5)
+    got = spark.createDataFrame([(f"a &{n} b",) for n in names], "t string").select("t", letters.unescaped(F.col("t")).alias("x")).collect()
+    assert [r for r in got if r["x"] != unescape(r["t"])] == []
+
+
+def test_signs_that_are_spelled_out_come_once_each(spark):
+    from matchledger.functions import letters
+
+    got = spark.createDataFrame([("ﬁn ½ ﬁ Ñ 漢 x" * 500,), ("",), ("漢",)], "t string").select(letters.ascii_letters(F.col("t")), letters.lowered(F.lit("ÀÞ×ßZ Σ")), letters.lowered(F.lit("ÀÞ×ßZ"))).collect()
+    assert [r[0] for r in got] == ["fin 12 fi N  x" * 500, "", ""]
+    assert {tuple(r)[1:] for r in got} == {("àþ×ßz σ", "àþ×ßz")}
+
+
+def test_small_files_are_dealt(spark):
+    from matchledger.plans import text_queries
+
+    assert text_queries.QUERIES["core_name"](spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 2
