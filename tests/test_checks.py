@@ -150,3 +150,8 @@ def test_plain_texts_are_cleaned_of_line_breaks(spark):
     got = spark.createDataFrame([(r,) for r in raws], "v string").select(text.clean(F.col("v")), text.cell_text(F.col("v"))).collect()
     want = ["El Gran Campo", "El Gran Campo", "Club 3", "a b", "a b", "a b"]
     assert [r[0] for r in got] == want and [r[1] for r in got] == want
+
+
+def test_the_next_round_is_no_frame_to_the_end(spark, capsys):
+    checks.chain(frame(spark, [ko("Final", "a", "b")]), lambda df, name: df).explain()
+    assert "rangeframe, 1, unboundedfollowing" not in capsys.readouterr().out.lower()
