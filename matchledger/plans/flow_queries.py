@@ -106,11 +106,21 @@ def live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows").select(since, "season", "club", "pj", "gf", "gc", "g", "e", "p")
 
 
+BATCHES = 6
+
+
+def in_batches(rows: DataFrame, at: str) -> int:
+    """Writes rows in files of which a sixth is a batch, and tells how many that are. Each task deals its own rows, so none holds a batch."""
+    rows.withColumn("dealt", F.pmod(F.xxhash64("row_id"), F.lit(BATCHES))).write.partitionBy("dealt").parquet(at)
+    return -(-len(rows.sparkSession.read.parquet(at).inputFiles()) // BATCHES)
+
+
 def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches that come in six batches, rows of one key in any of them: duplicates, and clubs that play twice a matchday."""
     at = build.folder(spark, "batches")
-    matches(spark, sf_dir).repartition(6, "row_id").write.parquet(f"{at}/in")
-    files = lambda: spark.readStream.schema(spark.read.parquet(f"{at}/in").schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    own = matches(spark, sf_dir)
+    each = in_batches(own, f"{at}/in")
+    files = lambda: spark.readStream.schema(own.schema).option("maxFilesPerTrigger", each).parquet(f"{at}/in")
     twice = ["page", "section", "grp", "matchday", "club"]
     asked = {
         "duplicate": (files().where("date <> ''"), ["page", "date", "home", "away"]),
