@@ -217,3 +217,15 @@ def test_links_and_templates(pages):
     found = wikitext.templates(pages, r"Partidos?\s*\n").collect()
     assert len(found) == 1 and "El {{nowrap|Gran}} Campo" in found[0]["body"]
     assert wikitext.headings(wikitext.lines(pages)).where(F.col("page") == "cup").count() == 2
+
+
+def test_cells_that_reach_down_need_no_join(spark, capsys):
+    cells = ["a || 1-1 || b || rowspan=2| g", "c || 2-0 || d || e", "f || 0-0 || h || i || j"]
+    rows = spark.createDataFrame([("p", "t", c, k, f"| {x}") for c in (0, 1) for k, x in enumerate(cells[c:])], "page string, block string, carry int, row_no long, row string")
+    got = wikitext.filled(rows, 5)
+    assert {(r["carry"], r["row_no"]): [x.strip() for x in r["raw"]] for r in got.collect()} == {
+        (0, 0): ["a", "1-1", "b", "rowspan=2| g", ""], (0, 1): ["c", "2-0", "d", "rowspan=2| g", "e"], (0, 2): ["f", "0-0", "h", "i", "j"],
+        (1, 0): ["c", "2-0", "d", "e", ""], (1, 1): ["f", "0-0", "h", "i", "j"],
+    }
+    got.explain()
+    assert "Join" not in capsys.readouterr().out
