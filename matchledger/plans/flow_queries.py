@@ -74,7 +74,7 @@ def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates filled and checked: the duplicates that remain by page."""
-    got = joins.verified_fill(matches(spark, sf_dir), resolved_external(spark, sf_dir), "second").drop("fill")
+    got = joins.verified_fill(matches(spark, sf_dir), resolved_external(spark, sf_dir, fold=True), "second").drop("fill")
     return checks.duplicates(got).groupBy("page").agg(F.count("*").alias("n"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchledger.functions.text import normalized
 from matchledger.operators import amend, entities, joins
 from matchledger.plans.views import EXTERNAL, MATCH, M, X, external, matches, read, select, sql
+from matchledger.sinks.shared import cut
 
 #: Finer pages, so that scores are often unique in a matchday.
 FINER = {"page": "concat(CAST(l_orderkey % 400 AS STRING), ' ', {0})"}
@@ -23,9 +24,11 @@ def voting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.vote_mapping(line.selectExpr(*select(finer(MATCH))), line.selectExpr(*select(finer(EXTERNAL))))
 
 
-def resolved_external(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By id for clubs under 10, by the registry's names for those from 8 on; club 15 is in neither."""
+def resolved_external(spark: SparkSession, sf_dir: str, fold: bool = False) -> DataFrame:
+    """By id for clubs under 10, by the registry's names for those from 8 on; club 15 is in neither. fold: as joins.folded() has them."""
     ext = external(spark, sf_dir)
+    if fold:
+        ext = joins.folded(ext, cut)
     n = F.explode(F.sequence(F.lit(0), F.lit(9)).cast("array<string>")).alias("n")
     mapping = ext.select("page").distinct().select("page", n).select("page", F.concat(F.lit("t"), "n").alias("ext_id"), F.concat(F.lit("Club "), "n").alias("club"))
     names = spark.range(8, 20).where("id <> 15").select(F.concat(F.lit("Club "), F.col("id").cast("string")).alias("entity")).select(normalized(F.col("entity")).alias("name"), "entity")
@@ -35,7 +38,7 @@ def resolved_external(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = matches(spark, sf_dir)
     settled = m.where("home = 'Club 7' and season = 1998").select("page", "matchday", "home", "away")
-    got = joins.verified_fill(m, resolved_external(spark, sf_dir), "second", settled)
+    got = joins.verified_fill(m, resolved_external(spark, sf_dir, fold=True), "second", settled)
     return got.where("fill is not null").select("page", "row_id", "date", "date_credit", "fill")
 
 
