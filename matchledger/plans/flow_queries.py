@@ -25,7 +25,8 @@ def credited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sink.shaped(credited(spark, sf_dir), catalog(spark, sf_dir))
+    # as a table, so that Spark knows how small the catalogue is and moves no match to join it
+    return sink.shaped(credited(spark, sf_dir), build.cut(catalog(spark, sf_dir), "catalog"))
 
 
 def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
