@@ -30,9 +30,21 @@ def finding(df: DataFrame, check: str, severe: bool, subject: Column, detail: Co
 def sides(m: DataFrame, *more: str) -> DataFrame:
     """A row for each club of a match: club, rival, gf, gc, at_home and the columns named."""
     side = lambda a, b, x, y, home: F.struct(F.col(a).alias("club"), F.col(b).alias("rival"), F.col(x).alias("gf"), F.col(y).alias("gc"), F.lit(home).alias("at_home"))
+    if "hs" not in m.columns:  # folded matches tell no score
+        m = m.withColumns({k: F.lit(None).cast("int") for k in ("hs", "aws")})
     return m.select("page", *more, F.inline(F.array(side("home", "away", "hs", "aws", True), side("away", "home", "aws", "hs", False))))
 
 
+def played(m: DataFrame, when: Column | None = None) -> Column:
+    """How many matches rows stand for, or those of them for which `when` holds: folded() says it in `times`, else each row is one."""
+    each = F.col("times") if "times" in m.columns else F.lit(1)
+    return F.sum(each if when is None else F.when(when, each).otherwise(0))
+
+
+def times(m: DataFrame) -> list[str]:
+    return ["times"] if "times" in m.columns else []
+
+
 def sample(df: DataFrame, keys: list[str], order: list[str], n: int, shown: Column) -> DataFrame:
     """keys, total, shown: the first n of each group in this order, joined; how many there are."""
     total = df.groupBy(*keys).agg(F.count("*").alias("total"))
@@ -64,13 +76,16 @@ def unknown_names(m: DataFrame, known: DataFrame) -> DataFrame:
 
 def shootouts(m: DataFrame) -> DataFrame:
     """A shootout of a match that was no draw, unless it decided a series of exactly two legs that is level on aggregate."""
-    pair = pair_key(F.col("home"), F.col("away"))
-    series = Window.partitionBy("page", "section", "matchday", "phase", pair)
+    # series are summed up, and only shootouts that were no draw look them up
+    series = [*(F.col(k) for k in ("page", "section", "matchday")), pair_key(F.col("home"), F.col("away")).alias("__pair")]
     first = F.least("home", "away")
-    a = F.sum(F.when(F.col("home") == first, F.col("hs")).otherwise(F.col("aws"))).over(series)
-    b = F.sum(F.when(F.col("home") == first, F.col("aws")).otherwise(F.col("hs"))).over(series)
-    level = (F.col("phase") == KNOCKOUT) & (F.count("*").over(series) == 2) & (a == b)
-    odd = m.withColumn("level", level).where("hpens is not null and hs <> aws and not coalesce(level, false)")
+    a = F.sum(F.when(F.col("home") == first, F.col("hs")).otherwise(F.col("aws")))
+    b = F.sum(F.when(F.col("home") == first, F.col("aws")).otherwise(F.col("hs")))
+    keys = ["page", "section", "matchday", "__pair"]
+    level = m.where(F.col("phase") == KNOCKOUT).groupBy(*series).agg(F.count("*").alias("__n"), a.alias("__a"), b.alias("__b")).where("__n = 2 and __a = __b")
+    level = level.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)))
+    odd = m.where("hpens is not null and hs <> aws").select("page", "row_id", "phase", "hs", "aws", "hpens", "apens", *(e.alias(f"__s{i}") for i, e in enumerate(series)))
+    odd = odd.join(level, reduce(Column.__and__, (F.col(f"__s{i}").eqNullSafe(F.col(f"__k{i}")) for i in range(len(keys))), F.coalesce(F.col("phase") == KNOCKOUT, F.lit(False))), "left_anti")
     return finding(odd, "shootout_without_draw", True, F.col("row_id"), text(F.col("hs"), "-", F.col("aws"), " (", F.col("hpens"), "-", F.col("apens"), ")"))
 
 
@@ -85,7 +100,7 @@ def self_play(m: DataFrame) -> DataFrame:
 
 def partial_groups(m: DataFrame) -> DataFrame:
     """Stages some of whose matches have a group and others none."""
-    held = m.where(F.col("phase") == GROUPS).groupBy("page", "section").agg(F.count("*").alias("n"), F.count_if(F.col("grp") == "").alias("missing"))
+    held = m.where(F.col("phase") == GROUPS).groupBy("page", "section").agg(played(m).alias("n"), played(m, F.col("grp") == "").alias("missing"))
     return finding(held.where("missing > 0 and missing < n"), "partial_groups", True, F.col("section"), text(F.col("missing"), "/", F.col("n")))
 
 
@@ -93,7 +108,7 @@ def round_robin(m: DataFrame, by_section: bool = False) -> DataFrame:
     """Groups whose clubs have played unequal numbers of matches, or numbers that make no whole round robin."""
     keys = ["page", *(["section"] if by_section else []), "grp"]
     own = m.where((F.col("phase") == GROUPS) & F.col("grp").rlike(GROUP))
-    clubs = sides(own, *keys[1:]).groupBy(*keys, "club").agg(F.count("*").alias("n"))
+    clubs = sides(own, *keys[1:], *times(m)).groupBy(*keys, "club").agg(played(m).alias("n"))
     held = clubs.groupBy(*keys).agg(F.count("*").alias("clubs"), F.min("n").alias("least"), F.max("n").alias("most"), F.sum("n").alias("total"))
     where = F.concat_ws(" ", *keys[1:])
     unequal = finding(held.where("least <> most"), "unequal_games", False, where, text(F.col("least"), "-", F.col("most")))
@@ -104,7 +119,7 @@ def round_robin(m: DataFrame, by_section: bool = False) -> DataFrame:
 
 def once_per_matchday(m: DataFrame) -> DataFrame:
     keys = ["page", "section", "grp", "matchday"]
-    twice = sides(m.where((F.col("phase") == GROUPS) & (F.col("matchday") != "")), *keys[1:]).groupBy(*keys, "club").agg(F.count("*").alias("n")).where("n > 1")
+    twice = sides(m.where((F.col("phase") == GROUPS) & (F.col("matchday") != "")), *keys[1:], *times(m)).groupBy(*keys, "club").agg(played(m).alias("n")).where("n > 1")
     got = sample(twice, keys, ["club"], 4, F.col("club"))
     return finding(got, "twice_a_matchday", True, F.concat_ws(" / ", "section", "grp", "matchday"), F.col("shown"))
 
@@ -149,7 +164,7 @@ def one_group(m: DataFrame) -> DataFrame:
     """Clubs with more than one group in one stage."""
     keys = ["page", "section", "club"]
     own = m.where((F.col("phase") == GROUPS) & F.col("grp").rlike(STAGE_GROUP))
-    held = sides(own, "section", "grp").groupBy(*keys, "grp").agg(F.count("*").alias("n"))
+    held = sides(own, "section", "grp", *times(m)).groupBy(*keys, "grp").agg(played(m).alias("n"))
     got = held.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("grp", "n"))).alias("of")).where("size(of) > 1")  # of a club's groups
     return finding(got, "two_groups", True, F.concat_ws(" / ", "section", "club"), F.array_join(F.transform("of", lambda x: F.concat(x["grp"], F.lit(" "), x["n"])), ", "))
 
@@ -157,8 +172,8 @@ def one_group(m: DataFrame) -> DataFrame:
 def home_balance(m: DataFrame) -> DataFrame:
     """Pairs that meet an even number of times in a group, but not half of it at either's home."""
     own = m.where((F.col("phase") == GROUPS) & (F.col("matchday") != "") & (F.col("home") != "") & (F.col("away") != ""))
-    pairs = own.select("page", "section", "grp", F.least("home", "away").alias("one"), F.greatest("home", "away").alias("two"), "home")
-    got = pairs.groupBy("page", "section", "grp", "one", "two").agg(F.count("*").alias("n"), F.count_if(F.col("home") == F.col("one")).alias("at_one"))
+    pairs = own.select("page", "section", "grp", F.least("home", "away").alias("one"), F.greatest("home", "away").alias("two"), "home", *times(m))
+    got = pairs.groupBy("page", "section", "grp", "one", "two").agg(played(m).alias("n"), played(m, F.col("home") == F.col("one")).alias("at_one"))
     odd = got.where("n % 2 = 0 and (at_one * 2 <> n or one = two)")
     return finding(odd, "home_balance", False, F.concat_ws(" / ", "section", "grp", "one", "two"), text(F.col("at_one"), "/", F.col("n")))
 
@@ -233,7 +248,20 @@ CHECKS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+#: Checks that count matches by these columns, whatever else is in them.
+FOLDS = ("partial_groups", "round_robin", "once_per_matchday", "matchday_gaps", "one_group", "home_balance")
+ALIKE = ["page", "phase", "section", "grp", "matchday", "home", "away"]
+
+
+def folded(m: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = cut) -> DataFrame:
+    """Matches for FOLDS and unknown_names(), as a table: those alike in page, stage, group, matchday and clubs are one row, and `times` says how many."""
+    return keep(m.groupBy(*ALIKE).agg(F.count("*").alias("times")), "folded")
+
+
 def review(m: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """The findings of all checks; unknown_names() only with a registry of known names. Sort by severe for a report."""
-    found = [check(m) for check in CHECKS.values()] + ([unknown_names(m, known)] if known is not None else [])
+    """The findings of all checks; unknown_names() only with a registry of known names. Sort by severe for a report.
+
+    What only counts matches reads them folded, so that all those checks together read them once."""
+    few = folded(m)
+    found = [check(few if name in FOLDS else m) for name, check in CHECKS.items()] + ([unknown_names(few, known)] if known is not None else [])
     return reduce(DataFrame.union, found)
